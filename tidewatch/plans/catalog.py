@@ -119,3 +119,241 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_fn, sql) in REGISTRY.items() if sql is not None}
+
+
+# ---------------------------------------------------------------------------
+# shared pieces for the annotate / co-occurrence / suppression queries
+# ---------------------------------------------------------------------------
+
+from ..functions.text import (CO_OCCURRENCE_NOTE, IMPACT_FALLBACK, IMPACT_RULES,  # noqa: E402
+                              NEAR_ZERO_TEXT, SEVERITY_BANDS, SEVERITY_FALLBACK)
+from ..operators.annotate import SUMMARY_COLUMNS, summarize  # noqa: E402
+from ..operators.cooccur import attach_notes, co_occurrences  # noqa: E402
+from ..operators.suppress import apply_suppression, observed_from_metrics  # noqa: E402
+from ..options import CoOccurrenceOptions, SuppressOptions  # noqa: E402
+
+RUN_CUTOFF = "1998-05-01"      # run 1 sees days before it, run 2 the days from it on
+RUN_TS = "2024-06-30 00:00:00"  # injected run clock
+
+
+def flagship_anomalies(spark, sf_dir, where: str | None = None):
+    cube = T.orders_daily(spark, sf_dir)
+    if where is not None:
+        cube = cube.filter(where)
+    return detect_anomalies(cube, "ts", T.ORDER_METRICS, options=FLAGSHIP)
+
+
+def _anoms_cte(where: str = "") -> str:
+    cond = f"WHERE {where}" if where else ""
+    return f"""cube AS (SELECT * FROM ({T.ORDERS_DAILY_SQL}) {cond}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+scored AS ({_rolling_sql('long', 30, 30)}),
+anom AS (SELECT metric, ts, value, coalesce(m, 0) AS m, z, abs(z) AS az,
+                row_number() OVER (PARTITION BY metric ORDER BY ts) AS rn
+         FROM scored WHERE value IS NOT NULL AND z IS NOT NULL AND abs(z) > 3)"""
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _severity_sql(z: str) -> str:
+    parts = " ".join(f"WHEN abs({z}) >= {b} THEN {_sql_str(lbl)}" for b, lbl in SEVERITY_BANDS)
+    return f"CASE {parts} ELSE {_sql_str(SEVERITY_FALLBACK)} END"
+
+
+def _impact_sql(metric: str) -> str:
+    whens = []
+    for needles, label in IMPACT_RULES:
+        cond = " OR ".join(f"contains(lower({metric}), {_sql_str(n)})" for n in needles)
+        whens.append(f"WHEN {cond} THEN {_sql_str(label)}")
+    return f"CASE {' '.join(whens)} ELSE {_sql_str(IMPACT_FALLBACK)} END"
+
+
+def _summary_cols_sql(a: str = "a") -> str:
+    pct = f"printf('%+.1f', ({a}.value - {a}.m) / {a}.m * 100.0)"
+    pct_text = (f"CASE WHEN {a}.m <> 0 AND abs({a}.m) >= 1e-9 THEN {pct} || '% vs baseline' "
+                f"ELSE {_sql_str(NEAR_ZERO_TEXT)} END")
+    return f"""{a}.metric, strftime({a}.ts, '%Y-%m-%d') AS timestamp,
+  CASE WHEN {a}.z > 0 THEN 'up' ELSE 'down' END AS direction,
+  {_severity_sql(f'{a}.z')} AS severity, {r6(f'{a}.z')} AS z_score, {r6(f'{a}.value')} AS actual,
+  {r6(f'{a}.m')} AS rolling_mean,
+  {a}.metric || ' ' || CASE WHEN {a}.z > 0 THEN 'spiked' ELSE 'dropped' END || ' from a baseline of '
+    || printf('%.2f', {a}.m) || ' to ' || printf('%.2f', {a}.value) || ' (' || {pct_text} || ') on '
+    || strftime({a}.ts, '%Y-%m-%d') || '.' AS what_changed,
+  'Z-score of ' || printf('%+.2f', {a}.z) || ' - this is ' || {_severity_sql(f'{a}.z')}
+    || ' (threshold: ±3.0 std deviations).' AS significance,
+  'Given the column name ''' || {a}.metric || ''', this likely affects ' || {_impact_sql(f'{a}.metric')}
+    || '. Confirm against your internal business glossary before acting on it.' AS possible_impact"""
+
+
+_NOTE_HEAD, _NOTE_TAIL = CO_OCCURRENCE_NOTE.split("{others}")
+
+
+def _note_sql(others: str) -> str:
+    return (f"CASE WHEN coalesce({others}, '') <> '' THEN {_sql_str(_NOTE_HEAD)} || {others} || "
+            f"{_sql_str(_NOTE_TAIL)} ELSE '' END")
+
+
+def _co_sql(n_days: int = 0) -> str:
+    cond = "a.date = b.date" if n_days == 0 else \
+        f"b.date BETWEEN a.date - {n_days} AND a.date + {n_days}"
+    return f"""md AS (SELECT DISTINCT metric, CAST(ts AS DATE) AS date FROM anom),
+co AS (SELECT a.metric, a.date,
+              coalesce(string_agg(DISTINCT b.metric, ', ' ORDER BY b.metric), '') AS others
+       FROM md a LEFT JOIN md b ON {cond} AND a.metric <> b.metric GROUP BY 1, 2)"""
+
+
+def with_text_lists(df, col="co_occurrences"):
+    return df.withColumn(col, F.array_join(F.col(col), ", "))
+
+
+# ---------------------------------------------------------------------------
+# summaries and co-occurrence
+# ---------------------------------------------------------------------------
+
+@register("anomaly_summaries", f"""
+WITH {_anoms_cte()}, {_co_sql(0)}
+SELECT {_summary_cols_sql('a')}, co.others AS co_occurrences,
+       {_note_sql('co.others')} AS correlation_note, false AS is_escalation
+FROM anom a JOIN co ON co.metric = a.metric AND co.date = CAST(a.ts AS DATE)""")
+def q_anomaly_summaries(spark, sf_dir):
+    annotated = attach_notes(summarize(flagship_anomalies(spark, sf_dir)))
+    return finish(with_text_lists(annotated.select(*SUMMARY_COLUMNS)))
+
+
+@register("co_occurrence_by_date", f"""
+WITH {_anoms_cte()}, {_co_sql(0)}
+SELECT metric, strftime(date, '%Y-%m-%d') AS date, others AS co_occurrences FROM co""")
+def q_co_occurrence_by_date(spark, sf_dir):
+    co = co_occurrences(flagship_anomalies(spark, sf_dir), CoOccurrenceOptions(0, "window"))
+    return finish(with_text_lists(co.withColumnRenamed("others", "co_occurrences")))
+
+
+@register("co_occurrence_pm_n_days", f"""
+WITH {_anoms_cte()}, {_co_sql(3)}
+SELECT metric, strftime(date, '%Y-%m-%d') AS date, others AS co_occurrences FROM co""")
+def q_co_occurrence_pm_n_days(spark, sf_dir):
+    co = co_occurrences(flagship_anomalies(spark, sf_dir), CoOccurrenceOptions(3, "window"))
+    return finish(with_text_lists(co.withColumnRenamed("others", "co_occurrences")))
+
+
+@register("co_occurrence_strict", f"""
+WITH {_anoms_cte()}, {_co_sql(0)}
+SELECT metric, arg_max(others, date) AS co_occurrences FROM co WHERE others <> '' GROUP BY metric""")
+def q_co_occurrence_strict(spark, sf_dir):
+    co = co_occurrences(flagship_anomalies(spark, sf_dir), CoOccurrenceOptions(0, "strict"))
+    return finish(with_text_lists(co.withColumnRenamed("others", "co_occurrences")))
+
+
+# ---------------------------------------------------------------------------
+# suppression / escalation over two runs
+# ---------------------------------------------------------------------------
+
+def _fold_sql(name: str, src: str, init: str | None, delta: float = 2.0) -> str:
+    """Recursive fold of one run's anomalies (``src`` has metric, rn, az)."""
+    if init is None:
+        first_z, first_dec = "a.az", "'new'"
+    else:
+        prev = "coalesce(abs(s.last_alert_z), 0.0)"
+        act = "s.state = 'active_anomaly'"
+        first_z = f"CASE WHEN {act} THEN (CASE WHEN a.az - {prev} >= {delta} THEN a.az ELSE {prev} END) ELSE a.az END"
+        first_dec = (f"CASE WHEN {act} THEN (CASE WHEN a.az - {prev} >= {delta} THEN 'escalation' "
+                     f"ELSE 'suppressed' END) ELSE 'new' END")
+    join = f"LEFT JOIN {init} s ON s.metric = a.metric" if init else ""
+    return f"""{name}(metric, rn, lz, decision) AS (
+  SELECT a.metric, a.rn, {first_z}, {first_dec} FROM {src} a {join} WHERE a.rn = 1
+  UNION ALL
+  SELECT a.metric, a.rn,
+         CASE WHEN a.az - f.lz >= {delta} THEN a.az ELSE f.lz END,
+         CASE WHEN a.az - f.lz >= {delta} THEN 'escalation' ELSE 'suppressed' END
+  FROM {name} f JOIN {src} a ON a.metric = f.metric AND a.rn = f.rn + 1)"""
+
+
+def _state_after_sql(fold: str, src: str, init: str | None) -> str:
+    """State rows of metrics with anomalies in the run."""
+    prev_at = "s.last_alert_at" if init else "CAST(NULL AS VARCHAR)"
+    join = f"LEFT JOIN {init} s ON s.metric = x.metric" if init else ""
+    return f"""SELECT x.metric, 'active_anomaly' AS state, x.lz AS last_alert_z,
+       coalesce(k.at, {prev_at}) AS last_alert_at, x.actual AS last_value
+FROM (SELECT f.metric, arg_max(f.lz, f.rn) AS lz, arg_max(a.value, f.rn) AS actual
+      FROM {fold} f JOIN {src} a USING (metric, rn) GROUP BY f.metric) x
+LEFT JOIN (SELECT f.metric, arg_max(strftime(a.ts, '%Y-%m-%d'), f.rn) AS at
+           FROM {fold} f JOIN {src} a USING (metric, rn) WHERE f.decision <> 'suppressed'
+           GROUP BY f.metric) k ON k.metric = x.metric
+{join}"""
+
+
+def _two_run_sql(final: str) -> str:
+    metrics_list = ", ".join(f"('{m}')" for m in T.ORDER_METRICS)
+    a1 = _anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")
+    a2 = _anoms_cte(f"ts >= DATE '{RUN_CUTOFF}'").replace("cube AS", "cube2 AS").replace(
+        "FROM cube", "FROM cube2").replace("long AS", "long2 AS").replace(
+        "FROM long", "FROM long2").replace("scored AS", "scored2 AS").replace(
+        "FROM scored", "FROM scored2").replace("anom AS", "anom2 AS")
+    return f"""WITH RECURSIVE {a1}, {a2},
+{_fold_sql('fold1', 'anom', None)},
+state1 AS ({_state_after_sql('fold1', 'anom', None)}),
+{_fold_sql('fold2', 'anom2', 'state1')},
+observed(metric) AS (VALUES {metrics_list}),
+upd2 AS ({_state_after_sql('fold2', 'anom2', 'state1')}),
+reset2 AS (SELECT s.metric, 'normal' AS state, CAST(NULL AS DOUBLE) AS last_alert_z,
+                  CAST(NULL AS VARCHAR) AS last_alert_at, s.last_value
+           FROM state1 s JOIN observed o USING (metric)
+           WHERE s.state = 'active_anomaly' AND s.metric NOT IN (SELECT metric FROM anom2)),
+state2 AS (SELECT * FROM upd2 UNION ALL SELECT * FROM reset2
+           UNION ALL SELECT * FROM state1 WHERE metric NOT IN (SELECT metric FROM upd2)
+                                            AND metric NOT IN (SELECT metric FROM reset2))
+{final}"""
+
+
+def _decisions_view(decisions):
+    return finish(decisions.select("metric", "timestamp", "z_score", "decision", "is_escalation"))
+
+
+def _state_view(state):
+    return finish(state.select("metric", "state", "last_alert_z", "last_alert_at", "last_value"))
+
+
+def _two_runs(spark, sf_dir, enabled: bool = True):
+    opts = SuppressOptions(enabled=enabled, escalation_z_delta=2.0)
+    observed = observed_from_metrics(spark, T.ORDER_METRICS)
+    run1 = summarize(flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'"))
+    dec1, state1 = apply_suppression(run1, None, observed, opts, RUN_TS)
+    run2 = summarize(flagship_anomalies(spark, sf_dir, f"ts >= DATE'{RUN_CUTOFF}'"))
+    dec2, state2 = apply_suppression(run2, state1, observed, opts, RUN_TS)
+    return dec1, state1, dec2, state2
+
+
+@register("suppression_first_run", f"""
+WITH RECURSIVE {_anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")},
+{_fold_sql('fold', 'anom', None)}
+SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score, f.decision,
+       f.decision = 'escalation' AS is_escalation
+FROM anom a JOIN fold f USING (metric, rn)""")
+def q_suppression_first_run(spark, sf_dir):
+    return _decisions_view(_two_runs(spark, sf_dir)[0])
+
+
+@register("suppression_second_run", _two_run_sql(f"""
+SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score, f.decision,
+       f.decision = 'escalation' AS is_escalation
+FROM anom2 a JOIN fold2 f USING (metric, rn)"""))
+def q_suppression_second_run(spark, sf_dir):
+    return _decisions_view(_two_runs(spark, sf_dir)[2])
+
+
+@register("state_snapshot", _two_run_sql(f"""
+SELECT metric, state, {r6('last_alert_z')} AS last_alert_z, last_alert_at,
+       {r6('last_value')} AS last_value FROM state2"""))
+def q_state_snapshot(spark, sf_dir):
+    return _state_view(_two_runs(spark, sf_dir)[3])
+
+
+@register("suppression_disabled", f"""
+WITH {_anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")}
+SELECT metric, 'active_anomaly' AS state, {r6('arg_max(az, rn)')} AS last_alert_z,
+       arg_max(strftime(ts, '%Y-%m-%d'), rn) AS last_alert_at, {r6('arg_max(value, rn)')} AS last_value
+FROM anom GROUP BY metric""")
+def q_suppression_disabled(spark, sf_dir):
+    return _state_view(_two_runs(spark, sf_dir, enabled=False)[1])
