@@ -195,13 +195,13 @@ def _note_sql(others: str) -> str:
             f"{_sql_str(_NOTE_TAIL)} ELSE '' END")
 
 
-def _co_sql(n_days: int = 0) -> str:
+def _co_sql(n_days: int = 0, src: str = "anom", md: str = "md", co: str = "co") -> str:
     cond = "a.date = b.date" if n_days == 0 else \
         f"b.date BETWEEN a.date - {n_days} AND a.date + {n_days}"
-    return f"""md AS (SELECT DISTINCT metric, CAST(ts AS DATE) AS date FROM anom),
-co AS (SELECT a.metric, a.date,
+    return f"""{md} AS (SELECT DISTINCT metric, CAST(ts AS DATE) AS date FROM {src}),
+{co} AS (SELECT a.metric, a.date,
               coalesce(string_agg(DISTINCT b.metric, ', ' ORDER BY b.metric), '') AS others
-       FROM md a LEFT JOIN md b ON {cond} AND a.metric <> b.metric GROUP BY 1, 2)"""
+       FROM {md} a LEFT JOIN {md} b ON {cond} AND a.metric <> b.metric GROUP BY 1, 2)"""
 
 
 def with_text_lists(df, col="co_occurrences"):
@@ -315,14 +315,19 @@ def _state_view(state):
     return finish(state.select("metric", "state", "last_alert_z", "last_alert_at", "last_value"))
 
 
-def _two_runs(spark, sf_dir, enabled: bool = True):
+def _run1(spark, sf_dir, enabled: bool = True):
     opts = SuppressOptions(enabled=enabled, escalation_z_delta=2.0)
     observed = observed_from_metrics(spark, T.ORDER_METRICS)
-    run1 = summarize(flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'"))
-    dec1, state1 = apply_suppression(run1, None, observed, opts, RUN_TS)
-    run2 = summarize(flagship_anomalies(spark, sf_dir, f"ts >= DATE'{RUN_CUTOFF}'"))
-    dec2, state2 = apply_suppression(run2, state1, observed, opts, RUN_TS)
-    return dec1, state1, dec2, state2
+    run1 = attach_notes(summarize(flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'")))
+    return apply_suppression(run1, None, observed, opts, RUN_TS)
+
+
+def _run2(spark, sf_dir, enabled: bool = True):
+    opts = SuppressOptions(enabled=enabled, escalation_z_delta=2.0)
+    observed = observed_from_metrics(spark, T.ORDER_METRICS)
+    _dec1, state1 = _run1(spark, sf_dir, enabled)
+    run2 = attach_notes(summarize(flagship_anomalies(spark, sf_dir, f"ts >= DATE'{RUN_CUTOFF}'")))
+    return apply_suppression(run2, state1, observed, opts, RUN_TS)
 
 
 @register("suppression_first_run", f"""
@@ -332,7 +337,7 @@ SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score
        f.decision = 'escalation' AS is_escalation
 FROM anom a JOIN fold f USING (metric, rn)""")
 def q_suppression_first_run(spark, sf_dir):
-    return _decisions_view(_two_runs(spark, sf_dir)[0])
+    return _decisions_view(_run1(spark, sf_dir)[0])
 
 
 @register("suppression_second_run", _two_run_sql(f"""
@@ -340,14 +345,14 @@ SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score
        f.decision = 'escalation' AS is_escalation
 FROM anom2 a JOIN fold2 f USING (metric, rn)"""))
 def q_suppression_second_run(spark, sf_dir):
-    return _decisions_view(_two_runs(spark, sf_dir)[2])
+    return _decisions_view(_run2(spark, sf_dir)[0])
 
 
 @register("state_snapshot", _two_run_sql(f"""
 SELECT metric, state, {r6('last_alert_z')} AS last_alert_z, last_alert_at,
        {r6('last_value')} AS last_value FROM state2"""))
 def q_state_snapshot(spark, sf_dir):
-    return _state_view(_two_runs(spark, sf_dir)[3])
+    return _state_view(_run2(spark, sf_dir)[1])
 
 
 @register("suppression_disabled", f"""
@@ -356,4 +361,121 @@ SELECT metric, 'active_anomaly' AS state, {r6('arg_max(az, rn)')} AS last_alert_
        arg_max(strftime(ts, '%Y-%m-%d'), rn) AS last_alert_at, {r6('arg_max(value, rn)')} AS last_value
 FROM anom GROUP BY metric""")
 def q_suppression_disabled(spark, sf_dir):
-    return _state_view(_two_runs(spark, sf_dir, enabled=False)[1])
+    return _state_view(_run1(spark, sf_dir, enabled=False)[1])
+
+
+# ---------------------------------------------------------------------------
+# alert digest and report tables (kept rows of run 1)
+# ---------------------------------------------------------------------------
+
+from ..operators.digest import alert_body_lines, alert_subject, digest_items, item_text  # noqa: E402
+from ..operators.ranking import top_per_series  # noqa: E402
+from ..operators.report import chart_series, report_table  # noqa: E402
+from ..operators.suppress import kept_only  # noqa: E402
+
+_NL = "chr(10)"
+
+
+def _kept2_sql(final: str) -> str:
+    """Two-run SQL plus ``numbered``: kept run-1 summaries with notes and item numbers."""
+    return _two_run_sql(f""",
+{_co_sql(0, 'anom', 'md1', 'co1')},
+summ1 AS (SELECT {_summary_cols_sql('a')}, a.ts AS ts_raw, a.rn, a.z AS z_raw FROM anom a),
+kept AS (SELECT s.*, f.decision = 'escalation' AS is_escalation, co.others,
+                {_note_sql('co.others')} AS note
+         FROM summ1 s JOIN fold1 f USING (metric, rn)
+         JOIN co1 co ON co.metric = s.metric AND co.date = CAST(s.ts_raw AS DATE)
+         WHERE f.decision <> 'suppressed'),
+numbered AS (SELECT *, row_number() OVER (ORDER BY is_escalation DESC, ts_raw, metric) AS item_no,
+                    '#' || CAST(row_number() OVER (ORDER BY is_escalation DESC, ts_raw, metric) AS VARCHAR)
+                    || CASE WHEN is_escalation THEN '. [ESCALATION] ' ELSE '. ' END || metric || '  ('
+                    || timestamp || ')  -  ' || upper(direction) AS header
+             FROM kept)
+{final}""").replace("\n),\n,", "\n),").replace("AND metric NOT IN (SELECT metric FROM reset2))\n,",
+                                              "AND metric NOT IN (SELECT metric FROM reset2)),")
+
+
+def _item_lines_sql() -> list[str]:
+    return ["header",
+            f"'    Severity : ' || severity || '  (z = ' || printf('%+.2f', z_raw) || ')'",
+            "'    What changed: ' || what_changed",
+            "'    Significance: ' || significance",
+            "'    Possible impact: ' || possible_impact"]
+
+
+def _kept_run1(spark, sf_dir):
+    return kept_only(_run1(spark, sf_dir)[0])
+
+
+@register("alert_digest_items", _kept2_sql(f"""
+SELECT item_no, metric, timestamp, is_escalation,
+       {f" || {_NL} || ".join(_item_lines_sql())}
+       || CASE WHEN note <> '' THEN {_NL} || '    Correlation: ' || note ELSE '' END AS text
+FROM numbered"""))
+def q_alert_digest_items(spark, sf_dir):
+    return finish(item_text(digest_items(_kept_run1(spark, sf_dir))))
+
+
+@register("alert_subject", _kept2_sql(f"""
+SELECT n AS n_items, n - e AS n_new, e AS n_escalations,
+       CASE WHEN e > 0 AND n - e = 0 THEN '[ANOMALY ESCALATION] ' || e || ' escalated anomaly/ies - {RUN_TS}'
+            WHEN e > 0 THEN '[ANOMALY ALERT] ' || n || ' anomalies detected (' || e || ' escalated) - {RUN_TS}'
+            ELSE '[ANOMALY ALERT] ' || n || ' anomalies detected - {RUN_TS}' END AS subject,
+       'Anomaly Detection Agent - ' || n || ' alert item(s) at {RUN_TS}' AS title,
+       '  New anomalies: ' || (n - e) || '  |  Escalations: ' || e AS counts
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e FROM kept) WHERE n > 0"""))
+def q_alert_subject(spark, sf_dir):
+    return finish(alert_subject(_kept_run1(spark, sf_dir), RUN_TS))
+
+
+def _body_sql() -> str:
+    parts = [f"SELECT 1 AS section, item_no, {i} AS line_no, {e} AS line FROM numbered"
+             for i, e in enumerate(_item_lines_sql())]
+    parts.append("SELECT 1, item_no, 5, CASE WHEN note <> '' THEN '    Correlation: ' || note "
+                 "ELSE '' END FROM numbered")
+    parts.append("SELECT 1, item_no, 6, '' FROM numbered WHERE note <> ''")
+    head = [f"SELECT 0, CAST(0 AS BIGINT), {i}, {e} FROM hdr" for i, e in enumerate([
+        f"'Anomaly Detection Agent - ' || n || ' alert item(s) at {RUN_TS}'",
+        "'  New anomalies: ' || (n - e) || '  |  Escalations: ' || e",
+        "'" + "=" * 60 + "'", "''"])]
+    foot = ["SELECT 2, CAST(0 AS BIGINT), 0, "
+            "'This is an automated alert. Investigate each item above.' FROM hdr"]
+    return _kept2_sql(""",
+hdr AS (SELECT n, e FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e
+                          FROM kept) WHERE n > 0)
+""" + "\nUNION ALL ".join(parts + head + foot)).replace("FROM kept)\n,\nhdr", "FROM kept),\nhdr")
+
+
+@register("alert_body_lines", _body_sql())
+def q_alert_body_lines(spark, sf_dir):
+    return finish(alert_body_lines(_kept_run1(spark, sf_dir), RUN_TS))
+
+
+@register("report_table", _kept2_sql("""
+SELECT metric, timestamp AS date, direction, severity, printf('%+.2f', z_raw) AS z_text,
+       is_escalation AS escalation FROM kept"""))
+def q_report_table(spark, sf_dir):
+    return finish(report_table(_kept_run1(spark, sf_dir)))
+
+
+@register("chart_series", _kept2_sql("""
+SELECT l.metric, strftime(l.ts, '%Y-%m-%d') AS ts, round(l.value, 6) + 0.0 AS value,
+       coalesce(k.flag, false) AS is_anomaly
+FROM long l
+LEFT JOIN (SELECT DISTINCT metric, ts_raw, true AS flag FROM kept) k
+       ON k.metric = l.metric AND k.ts_raw = l.ts
+WHERE l.value IS NOT NULL AND l.metric IN (SELECT metric FROM kept)"""))
+def q_chart_series(spark, sf_dir):
+    cube = T.orders_daily(spark, sf_dir).filter(f"ts < DATE'{RUN_CUTOFF}'")
+    long = to_long(cube, "ts", T.ORDER_METRICS)
+    return finish(chart_series(long, _kept_run1(spark, sf_dir)))
+
+
+@register("top_anomalies_per_metric", f"""
+WITH {_anoms_cte()}
+SELECT metric, strftime(ts, '%Y-%m-%d') AS timestamp, {r6('z')} AS z_score, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY abs(z) DESC, ts) AS rank FROM anom)
+WHERE rank <= 3""")
+def q_top_anomalies_per_metric(spark, sf_dir):
+    top = top_per_series(flagship_anomalies(spark, sf_dir), 3, F.abs(F.col("z_score")))
+    return finish(top.select("metric", "timestamp", "z_score", F.col("rank").cast("long")))
