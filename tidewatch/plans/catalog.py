@@ -57,11 +57,12 @@ def _unpivot_sql(cube_cte: str, metrics: list[str], ids: str = "ts") -> str:
             f"UNPIVOT INCLUDE NULLS (value FOR metric IN ({', '.join(metrics)}))")
 
 
-def _rolling_sql(long_cte: str, w: int, mp: int, partition: str = "metric") -> str:
-    return f"""SELECT *, CASE WHEN n_obs >= {mp} AND sd <> 0 THEN (value - m) / sd END AS z
-FROM (SELECT *, count(value) OVER w AS n_obs,
-             CASE WHEN count(value) OVER w >= {mp} THEN avg(value) OVER w END AS m,
-             CASE WHEN count(value) OVER w >= {mp} THEN stddev_pop(value) OVER w END AS sd
+def _rolling_sql(long_cte: str, w: int, mp: int, partition: str = "metric",
+                 col: str = "value") -> str:
+    return f"""SELECT *, CASE WHEN n_obs >= {mp} AND sd <> 0 THEN ({col} - m) / sd END AS z
+FROM (SELECT *, count({col}) OVER w AS n_obs,
+             CASE WHEN count({col}) OVER w >= {mp} THEN avg({col}) OVER w END AS m,
+             CASE WHEN count({col}) OVER w >= {mp} THEN stddev_pop({col}) OVER w END AS sd
       FROM {long_cte}
       WINDOW w AS (PARTITION BY {partition} ORDER BY ts ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW))"""
 
@@ -479,3 +480,192 @@ WHERE rank <= 3""")
 def q_top_anomalies_per_metric(spark, sf_dir):
     top = top_per_series(flagship_anomalies(spark, sf_dir), 3, F.abs(F.col("z_score")))
     return finish(top.select("metric", "timestamp", "z_score", F.col("rank").cast("long")))
+
+
+# ---------------------------------------------------------------------------
+# sources and shape changes
+# ---------------------------------------------------------------------------
+
+from ..operators.halo import halo_rolling_stats  # noqa: E402
+from ..operators.rolling import flag_anomalies  # noqa: E402
+from ..operators.seasonal import (gap_fill, history_gate, seasonal_anomalies,  # noqa: E402
+                                  stl_components)
+from ..sources.metrics import align_union, clean_wide, drop_all_null_rows, to_wide  # noqa: E402
+
+
+@register("metrics_long_keep_nulls", f"""
+WITH cube AS ({T.PRIORITY_DAILY_SQL})
+SELECT metric, {day('ts')} AS ts, {r6('value')} AS value
+FROM ({_unpivot_sql('cube', T.PRIORITY_METRICS)})""")
+def q_metrics_long_keep_nulls(spark, sf_dir):
+    return finish(to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS))
+
+
+@register("long_to_wide", f"""
+SELECT {day('ts')} AS ts, {r6('line_count')} AS line_count, {r6('quantity')} AS quantity,
+       {r6('gross')} AS gross, {r6('avg_discount')} AS avg_discount
+FROM ({T.LINES_DAILY_SQL})""")
+def q_long_to_wide(spark, sf_dir):
+    long = to_long(T.lines_daily(spark, sf_dir), "ts", T.LINE_METRICS)
+    return finish(to_wide(long, "ts", metrics=T.LINE_METRICS))
+
+
+@register("clean_timestamps", """
+SELECT o_orderkey, strftime(TRY_CAST(ts_text AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS ts_text,
+       round(o_totalprice, 6) + 0.0 AS o_totalprice
+FROM (SELECT o_orderkey, o_totalprice,
+             CASE WHEN o_orderstatus = 'P' THEN 'not a date'
+                  ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS ts_text FROM orders)
+WHERE TRY_CAST(ts_text AS TIMESTAMP) IS NOT NULL""")
+def q_clean_timestamps(spark, sf_dir):
+    o = T.table(spark, sf_dir, "orders")
+    raw = o.select("o_orderkey", "o_totalprice",
+                   F.when(F.col("o_orderstatus") == "P", F.lit("not a date"))
+                   .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("ts_text"))
+    wide = clean_wide(raw, "ts_text", ["o_totalprice"], keys=["o_orderkey"])
+    return finish(wide.df.select("o_orderkey", "ts_text", "o_totalprice"))
+
+
+@register("drop_all_null_rows", f"""
+SELECT {day('ts')} AS ts, {r6('p1_urgent')} AS p1_urgent, {r6('p2_high')} AS p2_high
+FROM ({T.PRIORITY_DAILY_SQL}) WHERE p1_urgent IS NOT NULL OR p2_high IS NOT NULL""")
+def q_drop_all_null_rows(spark, sf_dir):
+    cube = T.priority_daily(spark, sf_dir).select("ts", "p1_urgent", "p2_high")
+    return finish(drop_all_null_rows(cube, ["p1_urgent", "p2_high"]))
+
+
+@register("align_union_by_name", f"""
+SELECT {day('ts')} AS ts, {r6('revenue')} AS revenue, {r6('order_count')} AS order_count,
+       {r6('avg_price')} AS avg_price, {r6('max_price')} AS max_price, {r6('f_share')} AS f_share,
+       {r6('line_count')} AS line_count, {r6('quantity')} AS quantity, {r6('gross')} AS gross,
+       {r6('avg_discount')} AS avg_discount
+FROM (SELECT * FROM ({T.ORDERS_DAILY_SQL}) UNION ALL BY NAME SELECT * FROM ({T.LINES_DAILY_SQL}))""")
+def q_align_union_by_name(spark, sf_dir):
+    return finish(align_union([T.orders_daily(spark, sf_dir), T.lines_daily(spark, sf_dir)]))
+
+
+# ---------------------------------------------------------------------------
+# detection variants
+# ---------------------------------------------------------------------------
+
+SPARSE = DetectOptions(window_size=30, z_threshold=3.0, min_periods=10)
+
+
+@register("zscore_sparse_min_periods", f"""
+WITH cube AS ({T.PRIORITY_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.PRIORITY_METRICS)}),
+scored AS ({_rolling_sql('long', 30, 10)})
+{_anomaly_select_sql('scored', 3.0)}""")
+def q_zscore_sparse_min_periods(spark, sf_dir):
+    a = detect_anomalies(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS,
+                         options=SPARSE)
+    return finish(a.drop("seasonal_period"))
+
+
+ENTITY = DetectOptions(window_size=12, z_threshold=2.5)
+
+
+@register("zscore_by_entity", f"""
+WITH cube AS ({T.NATION_MONTHLY_SQL}),
+long AS ({_unpivot_sql('cube', ['revenue', 'order_count'], 'nation, ts')}),
+scored AS ({_rolling_sql('long', 12, 12, 'nation, metric')})
+{_anomaly_select_sql('scored', 2.5, 'nation, ')}""")
+def q_zscore_by_entity(spark, sf_dir):
+    a = detect_anomalies(T.nation_monthly(spark, sf_dir), "ts", ["revenue", "order_count"],
+                         keys=["nation"], options=ENTITY)
+    return finish(a.drop("seasonal_period"))
+
+
+HOURLY = DetectOptions(window_size=24, z_threshold=3.0)
+
+
+@register("events_hourly_zscore", f"""
+WITH cube AS ({T.EVENTS_HOURLY_SQL}),
+long AS ({_unpivot_sql('cube', T.EVENT_METRICS)}),
+scored AS ({_rolling_sql('long', 24, 24)})
+{_anomaly_select_sql('scored', 3.0, ts_fmt='hour')}""")
+def q_events_hourly_zscore(spark, sf_dir):
+    a = detect_anomalies(T.events_hourly(spark, sf_dir), "ts", T.EVENT_METRICS, options=HOURLY)
+    return finish(a.drop("seasonal_period"))
+
+
+@register("history_gate", f"""
+WITH cube AS ({T.PRIORITY_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.PRIORITY_METRICS)})
+SELECT metric, count(value) AS n_valid, count(*) AS n_rows, count(value) >= 730 AS enough
+FROM long GROUP BY metric""")
+def q_history_gate(spark, sf_dir):
+    long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
+    return finish(history_gate(long, 365, 2))
+
+
+_FILL_SQL = """coalesce(
+  last_value(value IGNORE NULLS) OVER (PARTITION BY metric ORDER BY ts
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(value IGNORE NULLS) OVER (PARTITION BY metric ORDER BY ts
+                                        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+
+@register("gap_fill", f"""
+WITH cube AS ({T.PRIORITY_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.PRIORITY_METRICS)})
+SELECT metric, {day('ts')} AS ts, {r6('value')} AS value, {r6(_FILL_SQL)} AS filled FROM long""")
+def q_gap_fill(spark, sf_dir):
+    long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
+    return finish(gap_fill(long))
+
+
+CLASSICAL = DetectOptions(window_size=30, z_threshold=3.0, mode="classical", seasonal_period=7)
+
+
+@register("classical_seasonal_anomalies", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+g AS (SELECT metric, count(value) >= 14 AND count(*) >= 14 AS usable FROM long GROUP BY metric),
+f AS (SELECT l.*, {_FILL_SQL} AS filled
+      FROM long l JOIN g USING (metric) WHERE g.usable),
+c AS (SELECT f.*, (row_number() OVER w0 - 1) % 7 AS phase,
+             CASE WHEN count(filled) OVER w7 = 7 THEN avg(filled) OVER w7 END AS trend
+      FROM f WINDOW w0 AS (PARTITION BY metric ORDER BY ts),
+                    w7 AS (PARTITION BY metric ORDER BY ts ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+pm AS (SELECT metric, phase, avg(filled - trend) AS pm FROM c GROUP BY 1, 2),
+sea AS (SELECT metric, phase, pm - avg(pm) OVER (PARTITION BY metric) AS seasonal FROM pm),
+r AS (SELECT c.metric, c.ts, c.value, c.filled - c.trend - s.seasonal AS resid
+      FROM c JOIN sea s USING (metric, phase)),
+scored AS ({_rolling_sql('r', 30, 30, col='resid')}),
+plain AS ({_rolling_sql('(SELECT l.* FROM long l JOIN g USING (metric) WHERE NOT g.usable)', 30, 30)})
+SELECT *, 7 AS seasonal_period FROM ({_anomaly_select_sql('scored', 3.0).replace("'zscore'", "'classical'")})
+UNION ALL
+SELECT *, CAST(NULL AS INTEGER) FROM ({_anomaly_select_sql('plain', 3.0)})""")
+def q_classical_seasonal_anomalies(spark, sf_dir):
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
+    return finish(seasonal_anomalies(long, CLASSICAL))
+
+
+STL_OPTS = DetectOptions(window_size=30, z_threshold=3.0, mode="seasonal", seasonal_period=7)
+
+
+@register("stl_components", None)
+def q_stl_components(spark, sf_dir):
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
+    return finish(stl_components(gap_fill(long), 7))
+
+
+@register("stl_anomalies", None)
+def q_stl_anomalies(spark, sf_dir):
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
+    return finish(seasonal_anomalies(long, STL_OPTS))
+
+
+HALO = DetectOptions(window_size=30, z_threshold=3.0, chunk_rows=64)
+
+
+@register("halo_rolling_zscore", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+scored AS ({_rolling_sql('long', 30, 30)})
+{_anomaly_select_sql('scored', 3.0)}""")
+def q_halo_rolling_zscore(spark, sf_dir):
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
+    scored = halo_rolling_stats(long, HALO)
+    return finish(flag_anomalies(scored, 3.0).drop("seasonal_period"))
