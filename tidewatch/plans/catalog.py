@@ -669,3 +669,69 @@ def q_halo_rolling_zscore(spark, sf_dir):
     long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
     scored = halo_rolling_stats(long, HALO)
     return finish(flag_anomalies(scored, 3.0).drop("seasonal_period"))
+
+
+# ---------------------------------------------------------------------------
+# Structured Streaming (run to completion with availableNow, read the sink back)
+# ---------------------------------------------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..streaming.cube import read_table_stream, stream_metric_cube  # noqa: E402
+from ..streaming.sinks import (latest_by_key, new_stream_dir, read_batches,  # noqa: E402
+                               run_available_now)
+from ..streaming.stateful import stream_suppression, stream_zscore  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = T.table(spark, sf_dir, "events").schema
+    return read_table_stream(spark, sf_dir, "events.parquet", schema)
+
+
+@register("stream_metric_cube", """
+SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS ts,
+       count(*) AS n_events, round(sum(value), 6) + 0.0 AS total_value
+FROM events GROUP BY 1, 2""")
+def q_stream_metric_cube(spark, sf_dir):
+    stream = _events_stream(spark, sf_dir).select("ts", "event_type", "value")
+    cube = stream_metric_cube(stream, "ts", {"n_events": F.count(F.lit(1)),
+                                            "total_value": F.sum("value")},
+                              bucket="1 hour", dims=["event_type"], watermark="1 hour")
+    path = run_available_now(cube, new_stream_dir(spark, "metric_cube"), "update")
+    return finish(latest_by_key(spark, path, ["event_type", "ts"]))
+
+
+STREAM_Z = DetectOptions(window_size=30, z_threshold=3.0)
+
+
+@register("stream_zscore", f"""
+WITH long AS (SELECT event_type AS metric, event_id, ts, value FROM events),
+scored AS ({_rolling_sql('long', 30, 30)})
+SELECT metric, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, {r6('value')} AS value,
+       n_obs, {r6('m')} AS rolling_mean, {r6('sd')} AS rolling_std, {r6('z')} AS z
+FROM scored""")
+def q_stream_zscore(spark, sf_dir):
+    stream = _events_stream(spark, sf_dir).select(F.col("event_type").alias("metric"),
+                                                  "event_id", "ts", "value")
+    scored = stream_zscore(stream, STREAM_Z, carry=["event_id"])
+    path = run_available_now(scored, new_stream_dir(spark, "zscore"), "append")
+    return finish(read_batches(spark, path).drop("batch_id"))
+
+
+@register("stream_suppression", f"""
+WITH RECURSIVE {_anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")},
+{_fold_sql('fold', 'anom', None)}
+SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score, f.decision,
+       f.decision = 'escalation' AS is_escalation
+FROM anom a JOIN fold f USING (metric, rn)""")
+def q_stream_suppression(spark, sf_dir):
+    # the batch job writes its anomaly table; the stream decides them as they arrive
+    anomalies = summarize(flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'"))
+    table_dir = scratch_path(spark, "tables", new_stream_dir(spark, "anomalies").rsplit("/", 1)[1])
+    (anomalies.select("metric", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
+                      "timestamp", "z_score", "actual")
+     .write.mode("overwrite").parquet(table_dir))
+    schema = spark.read.parquet(table_dir).schema
+    stream = spark.readStream.schema(schema).parquet(table_dir)
+    decided = stream_suppression(stream, SuppressOptions(True, 2.0))
+    path = run_available_now(decided, new_stream_dir(spark, "suppression"), "append")
+    return _decisions_view(read_batches(spark, path))

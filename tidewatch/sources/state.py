@@ -36,10 +36,14 @@ def state_versions(spark: SparkSession, base: str) -> list[str]:
 
 
 def read_state(spark: SparkSession, base: str | None, keys: Sequence[str] = (),
-               key_types: str = "", run_id: str | None = None) -> DataFrame:
-    """The newest committed snapshot (or ``run_id``); an empty table when there is none."""
+               key_types: str = "", run_id: str | None = None,
+               before: str | None = None) -> DataFrame:
+    """The newest committed snapshot (or ``run_id``, or the newest older than ``before``);
+    an empty table when there is none. Run ids must sort in run order (zero-padded)."""
     if base:
         versions = state_versions(spark, base)
+        if before is not None:
+            versions = [v for v in versions if v < before]
         if run_id is None and versions:
             run_id = versions[-1]
         if run_id is not None:
