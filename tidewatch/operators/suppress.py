@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -92,16 +93,20 @@ def _escalation_chain(ev: DataFrame, init: DataFrame, sk: list[str], delta: floa
                 .unionByName(firsts.filter(active).select(
                     *sk, F.lit(None).cast(ord_type).alias("f_ord"),
                     F.coalesce(F.abs(F.col("_z0")), F.lit(0.0)).alias("f_z"))))
-    frontier = cut_lineage(frontier)
-    kept = [cut_lineage(new_rows.select(*sk, "_ord", F.lit("new").alias("decision")))]
+    # frontier and steps hold one row per series: persist them (lineage of a few joins on
+    # the checkpointed anomalies, cheap to recompute) and test emptiness in the same job
+    frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
+    remaining = frontier.count()
+    kept = [new_rows.select(*sk, "_ord", F.lit("new").alias("decision"))]
     slim = ev.select(*sk, "_ord", "_az")
-    while not frontier.isEmpty():
+    while remaining:
         after = F.col("f_ord").isNull() | (F.col("_ord") > F.col("f_ord"))
         step = (slim.join(frontier, sk)
                 .filter(after & ((F.col("_az") - F.col("f_z")) >= F.lit(delta)))
                 .groupBy(*sk).agg(F.min("_ord").alias("_ord"),
                                   F.min_by("_az", "_ord").alias("_az")))
-        step = cut_lineage(step)
+        step = step.persist(StorageLevel.MEMORY_AND_DISK)
+        remaining = step.count()
         kept.append(step.select(*sk, "_ord", F.lit("escalation").alias("decision")))
         frontier = step.select(*sk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
     out = kept[0]

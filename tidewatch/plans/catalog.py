@@ -132,16 +132,19 @@ from ..operators.annotate import SUMMARY_COLUMNS, summarize  # noqa: E402
 from ..operators.cooccur import attach_notes, co_occurrences  # noqa: E402
 from ..operators.suppress import apply_suppression, observed_from_metrics  # noqa: E402
 from ..options import CoOccurrenceOptions, SuppressOptions  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
 
 RUN_CUTOFF = "1998-05-01"      # run 1 sees days before it, run 2 the days from it on
 RUN_TS = "2024-06-30 00:00:00"  # injected run clock
 
 
 def flagship_anomalies(spark, sf_dir, where: str | None = None):
+    """Flagship anomalies, materialised once: summaries, co-occurrence self-joins and the
+    suppression loop all read them, so the detection shuffle runs a single time."""
     cube = T.orders_daily(spark, sf_dir)
     if where is not None:
         cube = cube.filter(where)
-    return detect_anomalies(cube, "ts", T.ORDER_METRICS, options=FLAGSHIP)
+    return cut_lineage(detect_anomalies(cube, "ts", T.ORDER_METRICS, options=FLAGSHIP))
 
 
 def _anoms_cte(where: str = "") -> str:

@@ -19,6 +19,7 @@ from ..operators.rolling import detect_long
 from ..operators.suppress import apply_suppression, kept_only, observed_series
 from ..options import CoOccurrenceOptions, DetectOptions, SuppressOptions
 from ..sources.metrics import WideMetrics, to_long
+from ..session import cut_lineage
 from ..sources.state import read_state, write_state
 
 
@@ -38,7 +39,8 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
                 state: DataFrame | None = None) -> dict[str, DataFrame]:
     keys = list(wide.keys)
     long = to_long(wide.df, wide.ts, wide.metrics, keys, carry=list(config.tiebreak))
-    anomalies = detect_long(long, config.detect, keys, "ts", list(config.tiebreak))
+    # one pass over all points; everything after reads the (small) anomaly table
+    anomalies = cut_lineage(detect_long(long, config.detect, keys, "ts", list(config.tiebreak)))
     annotated = attach_notes(summarize(anomalies), config.co_occurrence, keys)
     if state is None:
         state = read_state(spark, config.state_base, keys, before=config.run_id)

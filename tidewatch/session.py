@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,7 +70,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, "tidewatch", *parts)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    One write job (an RDD checkpoint of an unpersisted plan computes it twice), columnar on
+    disk, and it survives executor loss: the files live in the shared folder, not on the
+    executors. The read-back plan has no lineage above the files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
