@@ -100,3 +100,32 @@ def test_state_versions_roundtrip(spark, tmp_dir):
     assert read_state(spark, base).collect()[0].last_alert_z == pytest.approx(9.9)
     assert read_state(spark, base, before="000000000002").collect()[0].last_alert_z == \
         pytest.approx(3.1)
+
+
+def test_point_scope_batch(spark):
+    # anomalies and in-range points of one run; every in-range point resets the series
+    pts = [(True, 3.5), (True, 4.0), (False, 0.2), (True, 3.6), (True, 6.0), (False, 0.1),
+           (True, 3.1)]
+    rows = []
+    for i, (flag, z) in enumerate(pts):
+        ts = dt.datetime(2024, 1, 1 + i)
+        rows.append(("m", ts, ts.strftime("%Y-%m-%d"), z, float(i), flag))
+    df = spark.createDataFrame(rows, EV_DDL + ", is_anomaly boolean")
+    ev = df.filter("is_anomaly").drop("is_anomaly")
+    in_range = df.filter("NOT is_anomaly").select("metric", "event_ts")
+    opts = SuppressOptions(reset_scope="point")
+    dec, st = apply_suppression(ev, None, None, opts, in_range=in_range)
+    assert decided(dec) == ["new", "suppressed", "new", "escalation", "new"]
+    assert state_of(st, "m").state == "active_anomaly"
+    # a run ending on an in-range point ends normal, keeping the last value
+    dec, st = apply_suppression(ev.filter("event_ts < '2024-01-06'"), None, None, opts,
+                                in_range=in_range)
+    s = state_of(st, "m")
+    assert (s.state, s.last_alert_z, s.last_alert_at, s.last_value) == ("normal", None, None, 4.0)
+    # stored active state carries into the first segment only
+    prior = spark.createDataFrame(
+        [("m", "active_anomaly", 3.0, "2023-12-31", 1.0, dt.datetime(2024, 1, 1))], ST_DDL)
+    dec, _ = apply_suppression(ev, prior, None, opts, in_range=in_range)
+    assert decided(dec) == ["suppressed", "suppressed", "new", "escalation", "new"]
+    with pytest.raises(ValueError):
+        apply_suppression(ev, None, None, opts)

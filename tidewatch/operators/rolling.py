@@ -76,7 +76,7 @@ def zscore_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str
         scored = halo_rolling_stats(long, opts, keys, ts, "value", tiebreak)
     else:
         scored = rolling_stats(long, opts, keys, ts, "value", tiebreak)
-    return flag_anomalies(scored, opts.z_threshold, keys, ts)
+    return flag_anomalies(scored, opts.z_threshold, keys, ts, extra=tiebreak)
 
 
 def detect_anomalies(wide: DataFrame, ts: str, metrics: Sequence[str] | None = None,

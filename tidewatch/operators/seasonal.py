@@ -117,7 +117,8 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
         rolling_columns(F.col("value"), opts.window_size, opts.periods, keys, [ts, *tiebreak]))
     plain_scored = plain_scored.withColumn(
         "z", safe_ratio(F.col("value") - F.col("rolling_mean"), F.col("rolling_std")))
-    out = flag_anomalies(plain_scored, opts.z_threshold, keys, ts, "value", "zscore", None)
+    out = flag_anomalies(plain_scored, opts.z_threshold, keys, ts, "value", "zscore", None,
+                         extra=tiebreak)
 
     decomposed = gap_fill(routed.filter(F.col("_route") != "zscore"), keys, ts, tiebreak)
     parts = []
@@ -130,5 +131,6 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
     parts.append((cls_part, "classical"))
     for comp, mode in parts:
         scored = _residual_scores(comp, opts, keys, ts, tiebreak)
-        out = out.unionByName(flag_anomalies(scored, opts.z_threshold, keys, ts, "value", mode, p))
+        out = out.unionByName(flag_anomalies(scored, opts.z_threshold, keys, ts, "value", mode, p,
+                                             extra=tiebreak))
     return out

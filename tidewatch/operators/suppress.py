@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..options import SuppressOptions
@@ -43,16 +43,23 @@ def _ts_lit(run_ts) -> F.Column:
 
 def apply_suppression(events: DataFrame, state: DataFrame | None, observed: DataFrame | None,
                       options: SuppressOptions = SuppressOptions(), run_ts="1970-01-01 00:00:00",
-                      keys: Sequence[str] = (), order: Sequence[str] = ("event_ts",)
-                      ) -> tuple[DataFrame, DataFrame]:
+                      keys: Sequence[str] = (), order: Sequence[str] = ("event_ts",),
+                      in_range: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Decide every anomaly and produce the next state version.
 
     events   summarised anomalies: keys, metric, ``order`` columns, timestamp (date text),
              z_score, actual.
     state    previous state table (keys, STATE_COLUMNS) or None.
     observed series seen in this run ``(keys, metric)``; None = series with anomalies.
+    in_range for ``reset_scope='point'``: the run's non-anomalous observations (keys, metric,
+             ``order`` columns); each one resets its series to normal.
     Returns ``(decisions, new_state)``; decisions = events + decision + is_escalation.
     """
+    point = options.reset_scope == "point"
+    if options.reset_scope not in ("run", "point"):
+        raise ValueError(f"Unknown reset_scope: {options.reset_scope}")
+    if point and in_range is None:
+        raise ValueError("reset_scope='point' needs the in_range observations")
     spark = events.sparkSession
     sk = [*keys, "metric"]
     if state is None:
@@ -61,6 +68,10 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
     ev = (events
           .withColumn("_ord", F.struct(*[F.col(c) for c in order]))
           .withColumn("_az", F.abs(F.col("z_score"))))
+    if point:
+        ev = ev.join(_segments(ev, in_range, sk, order), [*sk, "_ord"], "left")
+    else:
+        ev = ev.withColumn("_seg", F.lit(0).cast("long"))
     ev = cut_lineage(ev)  # re-read by every step of the loop
     init = state.select(*sk, F.col("state").alias("_s0"), F.col("last_alert_z").alias("_z0"),
                         F.col("last_alert_at").alias("_at0"), F.col("last_value").alias("_v0"))
@@ -74,41 +85,71 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
     decisions = decisions.withColumn("is_escalation", F.col("decision") == "escalation")
 
     updates = _anomalous_updates(decisions, init, sk, options.enabled, run_ts)
+    if point:
+        updates = _end_in_range(updates, ev, in_range, sk, order)
     if observed is not None:
         updates = updates.unionByName(_resets(observed, ev, init, sk, run_ts))
     new_state = (state.join(updates.select(*sk), sk, "left_anti").select(*sk, *STATE_COLUMNS[1:])
                  .unionByName(updates.select(*sk, *STATE_COLUMNS[1:])))
-    return decisions.drop("_ord", "_az"), new_state
+    return decisions.drop("_ord", "_az", "_seg"), new_state
+
+
+def _segments(ev: DataFrame, in_range: DataFrame, sk: list[str], order: Sequence[str]) -> DataFrame:
+    """``(sk, _ord, _seg)``: in-range observations seen before each anomaly in this run."""
+    marks = (ev.select(*sk, "_ord", F.lit(0).alias("_reset"))
+             .unionByName(in_range.select(*sk, F.struct(*[F.col(c) for c in order]).alias("_ord"),
+                                          F.lit(1).alias("_reset"))))
+    upto = Window.partitionBy(*sk).orderBy("_ord", "_reset").rowsBetween(
+        Window.unboundedPreceding, 0)
+    return (marks.withColumn("_seg", F.sum("_reset").over(upto).cast("long"))
+            .filter(F.col("_reset") == 0).select(*sk, "_ord", "_seg"))
+
+
+def _end_in_range(updates: DataFrame, ev: DataFrame, in_range: DataFrame, sk: list[str],
+                  order: Sequence[str]) -> DataFrame:
+    """Series whose last observation of the run is in range end the run normal."""
+    last_in = in_range.groupBy(*sk).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_li"))
+    last_an = ev.groupBy(*sk).agg(F.max("_ord").alias("_la"))
+    ends = last_in.join(last_an, sk).filter(F.col("_li") > F.col("_la")).select(
+        *sk, F.lit(True).alias("_ends_normal"))
+    normal = F.coalesce(F.col("_ends_normal"), F.lit(False))
+    return (updates.join(ends, sk, "left")
+            .withColumn("state", F.when(normal, F.lit(STATE_NORMAL)).otherwise(F.col("state")))
+            .withColumn("last_alert_z", F.when(~normal, F.col("last_alert_z")))
+            .withColumn("last_alert_at", F.when(~normal, F.col("last_alert_at")))
+            .drop("_ends_normal"))
 
 
 def _escalation_chain(ev: DataFrame, init: DataFrame, sk: list[str], delta: float) -> DataFrame:
-    """Kept anomalies ``(sk, _ord, decision)`` by the frontier loop."""
+    """Kept anomalies ``(sk, _ord, decision)`` by the frontier loop, per (series, segment);
+    only segment 0 continues from the stored state, later segments start normal."""
     ord_type = ev.schema["_ord"].dataType
-    firsts = (ev.groupBy(*sk).agg(F.min("_ord").alias("_ord"),
+    gk = [*sk, "_seg"]
+    firsts = (ev.groupBy(*gk).agg(F.min("_ord").alias("_ord"),
                                   F.min_by("_az", "_ord").alias("_az"))
               .join(init, sk, "left"))
-    active = F.coalesce(F.col("_s0") == STATE_ACTIVE, F.lit(False))
+    active = F.coalesce(F.col("_s0") == STATE_ACTIVE, F.lit(False)) & (F.col("_seg") == 0)
     new_rows = firsts.filter(~active)
-    frontier = (new_rows.select(*sk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
+    frontier = (new_rows.select(*gk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
                 .unionByName(firsts.filter(active).select(
-                    *sk, F.lit(None).cast(ord_type).alias("f_ord"),
+                    *gk, F.lit(None).cast(ord_type).alias("f_ord"),
                     F.coalesce(F.abs(F.col("_z0")), F.lit(0.0)).alias("f_z"))))
     # frontier and steps hold one row per series: persist them (lineage of a few joins on
     # the checkpointed anomalies, cheap to recompute) and test emptiness in the same job
     frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
     remaining = frontier.count()
-    kept = [new_rows.select(*sk, "_ord", F.lit("new").alias("decision"))]
-    slim = ev.select(*sk, "_ord", "_az")
+    kept = [new_rows.select(*gk, "_ord", F.lit("new").alias("decision"))]
+    slim = ev.select(*gk, "_ord", "_az")
     while remaining:
         after = F.col("f_ord").isNull() | (F.col("_ord") > F.col("f_ord"))
-        step = (slim.join(frontier, sk)
+        step = (slim.join(frontier, gk)
                 .filter(after & ((F.col("_az") - F.col("f_z")) >= F.lit(delta)))
-                .groupBy(*sk).agg(F.min("_ord").alias("_ord"),
+                .groupBy(*gk).agg(F.min("_ord").alias("_ord"),
                                   F.min_by("_az", "_ord").alias("_az")))
         step = step.persist(StorageLevel.MEMORY_AND_DISK)
         remaining = step.count()
-        kept.append(step.select(*sk, "_ord", F.lit("escalation").alias("decision")))
-        frontier = step.select(*sk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
+        kept.append(step.select(*gk, "_ord", F.lit("escalation").alias("decision")))
+        frontier = step.select(*gk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
     out = kept[0]
     for k in kept[1:]:
         out = out.unionByName(k)

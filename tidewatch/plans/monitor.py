@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.annotate import summarize, summary_view
 from ..operators.cooccur import attach_notes
@@ -44,9 +44,19 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
     annotated = attach_notes(summarize(anomalies), config.co_occurrence, keys)
     if state is None:
         state = read_state(spark, config.state_base, keys, before=config.run_id)
+    order = ("event_ts", *config.tiebreak)
+    in_range = None
+    if config.suppress.reset_scope == "point":
+        # every non-null point that was not flagged resets its series; the anti-join's
+        # small side is the anomaly table
+        points = long.filter(F.col("value").isNotNull()).select(
+            *keys, "metric", F.col("ts").alias("event_ts"), *config.tiebreak)
+        flagged = anomalies.select(*keys, "metric", F.col("timestamp").alias("event_ts"),
+                                   *config.tiebreak)
+        in_range = points.join(flagged, [*keys, "metric", *order], "left_anti")
     decisions, new_state = apply_suppression(
         annotated, state, observed_series(long, keys), config.suppress, config.run_ts, keys,
-        order=("event_ts", *config.tiebreak))
+        order=order, in_range=in_range)
     kept = kept_only(decisions)
     if config.state_base:
         write_state(new_state, config.state_base, config.run_id)
