@@ -96,12 +96,15 @@ def stl_components(filled: DataFrame, period: int, keys: Sequence[str] = (), ts:
     return filled.groupBy(*sk).applyInPandas(decompose, schema)
 
 
-def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
-                       ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Seasonal (STL) or classical residual z-score, with the per-series fallbacks."""
+def series_routes(long: DataFrame, options: DetectOptions, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, metric, n_valid, n_rows, route)``: which path scores each series.
+
+    seasonal: gate passed and short enough for STL; classical: gate passed (classical mode,
+    or longer than ``stl_max_points``); zscore: not enough history (fallback). Series with
+    fewer than ``window_size`` rows still route but can yield nothing, as in the job.
+    """
     opts = options.validated()
     p = opts.seasonal_period
-    sk = [*keys, "metric"]
     gate = history_gate(long, p, opts.min_cycles, keys)
     # the decomposition needs >= 2 full periods of (filled) rows as well
     usable = F.col("enough") & (F.col("n_rows") >= F.lit(2 * p))
@@ -110,7 +113,17 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
             .when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
     else:
         route = F.when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
-    routed = long.join(gate.select(*sk, route.alias("_route")), sk, "inner")
+    return gate.select(*keys, "metric", "n_valid", "n_rows", route.alias("route"))
+
+
+def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
+                       ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Seasonal (STL) or classical residual z-score, with the per-series fallbacks."""
+    opts = options.validated()
+    p = opts.seasonal_period
+    sk = [*keys, "metric"]
+    routes = series_routes(long, opts, keys).select(*sk, F.col("route").alias("_route"))
+    routed = long.join(routes, sk, "inner")
 
     plain = routed.filter(F.col("_route") == "zscore")
     plain_scored = plain.withColumns(

@@ -738,3 +738,72 @@ def q_stream_suppression(spark, sf_dir):
     decided = stream_suppression(stream, SuppressOptions(True, 2.0))
     path = run_available_now(decided, new_stream_dir(spark, "suppression"), "append")
     return _decisions_view(read_batches(spark, path))
+
+
+# ---------------------------------------------------------------------------
+# more sources: a drifted folder of files, a Spark SQL source; seasonal routing
+# ---------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from ..operators.seasonal import series_routes  # noqa: E402
+from ..sources.metrics import MetricSource, read_metrics  # noqa: E402
+
+
+@register("folder_source_drift", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL})
+SELECT {day('ts')} AS ts, {r6('revenue')} AS revenue, {r6('order_count')} AS order_count,
+       CAST(NULL AS DOUBLE) AS avg_price, CAST(NULL AS DOUBLE) AS f_share
+FROM cube WHERE ts < DATE '1997-01-01'
+UNION ALL
+SELECT {day('ts')}, CAST(NULL AS DOUBLE), {r6('order_count')}, {r6('avg_price')}, CAST(NULL AS DOUBLE)
+FROM cube WHERE ts >= DATE '1997-01-01' AND ts < DATE '2000-01-01'""")
+def q_folder_source_drift(spark, sf_dir):
+    # one file per slice, each with its own columns: A (ts, revenue, order_count),
+    # B (ts, order_count, avg_price), C names its timestamp 'day' so its rows lose the
+    # timestamp of the aligned table, D carries no metric value and is quarantined
+    cube = T.orders_daily(spark, sf_dir)
+    folder = scratch_path(spark, "tables", f"folder-{uuid.uuid4().hex}")
+    cube.filter("ts < DATE'1997-01-01'").select("ts", "revenue", "order_count") \
+        .write.parquet(f"{folder}/a")
+    cube.filter("ts >= DATE'1997-01-01' AND ts < DATE'2000-01-01'") \
+        .select("ts", "order_count", "avg_price").write.parquet(f"{folder}/b")
+    cube.filter("ts >= DATE'2000-01-01'").select(F.col("ts").alias("day"), "revenue") \
+        .write.parquet(f"{folder}/c")
+    cube.filter("ts >= DATE'2001-01-01'").select("ts", F.lit(None).cast("double").alias("f_share")) \
+        .write.parquet(f"{folder}/d")
+    wide = read_metrics(spark, MetricSource(kind="folder", path=f"{folder}/*", format="parquet",
+                                            timestamp_column="ts"))
+    return finish(wide.df.select("ts", "revenue", "order_count", "avg_price", "f_share"))
+
+
+_SQL_SOURCE = """SELECT CAST(o_orderdate AS DATE) AS ts,
+       sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END) AS urgent,
+       sum(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END) AS high
+FROM {orders} GROUP BY 1"""
+
+
+@register("sql_source_metrics", f"""
+SELECT {day('ts')} AS ts, {r6('urgent')} AS urgent, {r6('high')} AS high
+FROM ({_SQL_SOURCE.format(orders='orders')}) WHERE urgent IS NOT NULL OR high IS NOT NULL""")
+def q_sql_source_metrics(spark, sf_dir):
+    T.table(spark, sf_dir, "orders").createOrReplaceTempView("tidewatch_orders")
+    wide = read_metrics(spark, MetricSource(kind="sql",
+                                            query=_SQL_SOURCE.format(orders="tidewatch_orders")))
+    return finish(wide.df.select("ts", "urgent", "high"))
+
+
+ROUTES = DetectOptions(window_size=30, mode="seasonal", seasonal_period=7, min_cycles=2,
+                       stl_max_points=1000)
+
+
+@register("seasonal_routes", f"""
+WITH cube AS ({T.PRIORITY_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.PRIORITY_METRICS)})
+SELECT metric, count(value) AS n_valid, count(*) AS n_rows,
+       CASE WHEN count(value) >= 14 AND count(*) >= 14 AND count(*) <= 1000 THEN 'seasonal'
+            WHEN count(value) >= 14 AND count(*) >= 14 THEN 'classical' ELSE 'zscore' END AS route
+FROM long GROUP BY metric""")
+def q_seasonal_routes(spark, sf_dir):
+    long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
+    return finish(series_routes(long, ROUTES))
