@@ -96,6 +96,16 @@ def stl_components(filled: DataFrame, period: int, keys: Sequence[str] = (), ts:
     return filled.groupBy(*sk).applyInPandas(decompose, schema)
 
 
+def _route_expr(opts: DetectOptions, n_valid, n_rows):
+    p = opts.seasonal_period
+    # enough non-null history, and >= 2 full periods of (filled) rows for a decomposition
+    usable = (n_valid >= F.lit(p * opts.min_cycles)) & (n_rows >= F.lit(2 * p))
+    if opts.mode == "seasonal":
+        return F.when(usable & (n_rows <= F.lit(opts.stl_max_points)), F.lit("seasonal")) \
+            .when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
+    return F.when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
+
+
 def series_routes(long: DataFrame, options: DetectOptions, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys, metric, n_valid, n_rows, route)``: which path scores each series.
 
@@ -104,26 +114,26 @@ def series_routes(long: DataFrame, options: DetectOptions, keys: Sequence[str] =
     fewer than ``window_size`` rows still route but can yield nothing, as in the job.
     """
     opts = options.validated()
-    p = opts.seasonal_period
-    gate = history_gate(long, p, opts.min_cycles, keys)
-    # the decomposition needs >= 2 full periods of (filled) rows as well
-    usable = F.col("enough") & (F.col("n_rows") >= F.lit(2 * p))
-    if opts.mode == "seasonal":
-        route = F.when(usable & (F.col("n_rows") <= F.lit(opts.stl_max_points)), F.lit("seasonal")) \
-            .when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
-    else:
-        route = F.when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
-    return gate.select(*keys, "metric", "n_valid", "n_rows", route.alias("route"))
+    gate = history_gate(long, opts.seasonal_period, opts.min_cycles, keys)
+    return gate.select(*keys, "metric", "n_valid", "n_rows",
+                       _route_expr(opts, F.col("n_valid"), F.col("n_rows")).alias("route"))
 
 
 def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
                        ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Seasonal (STL) or classical residual z-score, with the per-series fallbacks."""
+    """Seasonal (STL) or classical residual z-score, with the per-series fallbacks.
+
+    The gate is a whole-partition window on the same series spec as every later window, so
+    the input is shuffled and sorted once; the route filters sit above that Window node
+    (they cannot be pushed below it) and the three branches reuse one exchange.
+    """
     opts = options.validated()
     p = opts.seasonal_period
     sk = [*keys, "metric"]
-    routes = series_routes(long, opts, keys).select(*sk, F.col("route").alias("_route"))
-    routed = long.join(routes, sk, "inner")
+    whole = Window.partitionBy(*sk).orderBy(ts, *tiebreak).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    routed = long.withColumn("_route", _route_expr(opts, F.count("value").over(whole),
+                                                   F.count(F.lit(1)).over(whole)))
 
     plain = routed.filter(F.col("_route") == "zscore")
     plain_scored = plain.withColumns(

@@ -330,6 +330,7 @@ def _run2(spark, sf_dir, enabled: bool = True):
     opts = SuppressOptions(enabled=enabled, escalation_z_delta=2.0)
     observed = observed_from_metrics(spark, T.ORDER_METRICS)
     _dec1, state1 = _run1(spark, sf_dir, enabled)
+    state1 = cut_lineage(state1, "state")   # runs hand state over as a written table
     run2 = attach_notes(summarize(flagship_anomalies(spark, sf_dir, f"ts >= DATE'{RUN_CUTOFF}'")))
     return apply_suppression(run2, state1, observed, opts, RUN_TS)
 

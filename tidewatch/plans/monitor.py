@@ -16,7 +16,7 @@ from ..operators.cooccur import attach_notes
 from ..operators.digest import alert_body_lines, alert_subject, digest_items, item_text
 from ..operators.report import report_tables, write_report
 from ..operators.rolling import detect_long
-from ..operators.suppress import apply_suppression, kept_only, observed_series
+from ..operators.suppress import apply_suppression, kept_only, observed_from_metrics
 from ..options import CoOccurrenceOptions, DetectOptions, SuppressOptions
 from ..sources.metrics import WideMetrics, to_long
 from ..session import cut_lineage
@@ -54,8 +54,15 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
         flagged = anomalies.select(*keys, "metric", F.col("timestamp").alias("event_ts"),
                                    *config.tiebreak)
         in_range = points.join(flagged, [*keys, "metric", *order], "left_anti")
+    # observed series: every metric column of the run, even all-null ones (from the schema;
+    # with entity keys, every key present in the run times every metric)
+    if keys:
+        observed = wide.df.select(*keys).distinct().withColumn(
+            "metric", F.explode(F.array(*[F.lit(m) for m in wide.metrics])))
+    else:
+        observed = observed_from_metrics(spark, wide.metrics)
     decisions, new_state = apply_suppression(
-        annotated, state, observed_series(long, keys), config.suppress, config.run_ts, keys,
+        annotated, state, observed, config.suppress, config.run_ts, keys,
         order=order, in_range=in_range)
     kept = kept_only(decisions)
     if config.state_base:

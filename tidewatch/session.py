@@ -80,4 +80,4 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no inference pass
