@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..options import SuppressOptions
-from ..session import cut_lineage
 
 STATE_NORMAL = "normal"
 STATE_ACTIVE = "active_anomaly"
@@ -72,7 +71,10 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
         ev = ev.join(_segments(ev, in_range, sk, order), [*sk, "_ord"], "left")
     else:
         ev = ev.withColumn("_seg", F.lit(0).cast("long"))
-    ev = cut_lineage(ev)  # re-read by every step of the loop
+    # re-read by every step of the loop: cache it (filled by the first loop job). Callers
+    # hand in anomalies derived from a materialised anomaly table, so recomputing a lost
+    # partition only repeats narrow steps and small joins.
+    ev = ev.persist(StorageLevel.MEMORY_AND_DISK)
     init = state.select(*sk, F.col("state").alias("_s0"), F.col("last_alert_z").alias("_z0"),
                         F.col("last_alert_at").alias("_at0"), F.col("last_value").alias("_v0"))
 
