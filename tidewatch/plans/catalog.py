@@ -808,3 +808,66 @@ FROM long GROUP BY metric""")
 def q_seasonal_routes(spark, sf_dir):
     long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
     return finish(series_routes(long, ROUTES))
+
+
+# ---------------------------------------------------------------------------
+# cluster count, and entity-keyed co-occurrence / suppression
+# ---------------------------------------------------------------------------
+
+from ..operators.cooccur import cluster_count  # noqa: E402
+
+
+@register("co_occurrence_clusters", f"""
+WITH {_anoms_cte()}
+SELECT CAST(count(*) FILTER (WHERE n >= 2) AS BIGINT) AS clusters
+FROM (SELECT CAST(ts AS DATE) AS d, count(DISTINCT metric) AS n FROM anom GROUP BY 1)""")
+def q_co_occurrence_clusters(spark, sf_dir):
+    return finish(cluster_count(flagship_anomalies(spark, sf_dir)))
+
+
+def _entity_anoms_cte() -> str:
+    return f"""cube AS ({T.NATION_MONTHLY_SQL}),
+long AS ({_unpivot_sql('cube', ['revenue', 'order_count'], 'nation, ts')}),
+scored AS ({_rolling_sql('long', 12, 12, 'nation, metric')}),
+anom AS (SELECT nation, metric, ts, value, z, abs(z) AS az,
+                row_number() OVER (PARTITION BY nation, metric ORDER BY ts) AS rn
+         FROM scored WHERE value IS NOT NULL AND z IS NOT NULL AND abs(z) > 2.5)"""
+
+
+def entity_anomalies(spark, sf_dir):
+    return cut_lineage(detect_anomalies(T.nation_monthly(spark, sf_dir), "ts",
+                                        ["revenue", "order_count"], keys=["nation"],
+                                        options=ENTITY))
+
+
+@register("entity_co_occurrence", f"""
+WITH {_entity_anoms_cte()},
+md AS (SELECT DISTINCT nation, metric, CAST(ts AS DATE) AS date FROM anom)
+SELECT a.nation, a.metric, strftime(a.date, '%Y-%m-%d') AS date,
+       coalesce(string_agg(DISTINCT b.metric, ', ' ORDER BY b.metric), '') AS co_occurrences
+FROM md a LEFT JOIN md b ON a.nation = b.nation AND a.date = b.date AND a.metric <> b.metric
+GROUP BY 1, 2, 3""")
+def q_entity_co_occurrence(spark, sf_dir):
+    co = co_occurrences(entity_anomalies(spark, sf_dir), CoOccurrenceOptions(0, "window"),
+                        keys=["nation"])
+    return finish(with_text_lists(co.withColumnRenamed("others", "co_occurrences")))
+
+
+@register("entity_suppression", f"""
+WITH RECURSIVE {_entity_anoms_cte()},
+fold(nation, metric, rn, lz, decision) AS (
+  SELECT nation, metric, rn, az, 'new' FROM anom WHERE rn = 1
+  UNION ALL
+  SELECT a.nation, a.metric, a.rn,
+         CASE WHEN a.az - f.lz >= 0.5 THEN a.az ELSE f.lz END,
+         CASE WHEN a.az - f.lz >= 0.5 THEN 'escalation' ELSE 'suppressed' END
+  FROM fold f JOIN anom a ON a.nation = f.nation AND a.metric = f.metric AND a.rn = f.rn + 1)
+SELECT a.nation, a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score,
+       f.decision, f.decision = 'escalation' AS is_escalation
+FROM anom a JOIN fold f USING (nation, metric, rn)""")
+def q_entity_suppression(spark, sf_dir):
+    events = summarize(entity_anomalies(spark, sf_dir))
+    dec, _ = apply_suppression(events, None, None, SuppressOptions(True, 0.5), RUN_TS,
+                               keys=["nation"])
+    return finish(dec.select("nation", "metric", "timestamp", "z_score", "decision",
+                             "is_escalation"))
