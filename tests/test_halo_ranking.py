@@ -59,3 +59,18 @@ def test_top_per_series(spark):
     out = top_per_series(df, 2, F.abs(F.col("z_score"))).collect()
     got = sorted((r.metric, r.timestamp) for r in out)
     assert got == [("a", 6), ("a", 13), ("b", 3), ("b", 4)]
+
+
+def test_hot_series_split_equals_plain(spark):
+    df = long_frame(spark, 400, 3, seed=3)          # series of 400, 363 and 326 rows
+    plain = rolling_stats(df, DetectOptions(window_size=30)).collect()
+    from tidewatch.operators.rolling import split_hot_rolling_stats
+    split = split_hot_rolling_stats(df, DetectOptions(window_size=30, hot_series_rows=350))
+    assert "pos" not in split.columns
+    got = {(r.metric, r.ts): (r.n_obs, r.rolling_mean, r.rolling_std, r.z) for r in split.collect()}
+    assert len(got) == len(plain)
+    for r in plain:
+        g = got[(r.metric, r.ts)]
+        assert g[0] == r.n_obs
+        for a, b in zip(g[1:], (r.rolling_mean, r.rolling_std, r.z)):
+            assert (a is None and b is None) or abs(a - b) < 1e-9

@@ -73,12 +73,35 @@ def zscore_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str
     opts = options.validated()
     if opts.chunk_rows:
         from .halo import halo_rolling_stats
-        scored = halo_rolling_stats(long, opts, keys, ts, "value", tiebreak)
+        scored = halo_rolling_stats(long, opts, keys, ts, "value", tiebreak).drop("pos")
+    elif opts.hot_series_rows:
+        scored = split_hot_rolling_stats(long, opts, keys, ts, tiebreak)
     else:
         scored = rolling_stats(long, opts, keys, ts, "value", tiebreak)
     return flag_anomalies(scored, opts.z_threshold, keys, ts, extra=tiebreak)
 
 
+def split_hot_rolling_stats(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
+                            ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Rolling statistics with hot series split into halo chunks.
+
+    Series sizes come from one partially aggregated count (a hot series costs one row per
+    task). At most ``rows / hot_series_rows`` series can be hot, so the hot list has a
+    proven size bound and is broadcast to split the input without a shuffle.
+    """
+    from .halo import halo_rolling_stats
+    opts = options.validated()
+    limit = int(opts.hot_series_rows)
+    sk = [*keys, "metric"]
+    hot = F.broadcast(long.groupBy(*sk).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > F.lit(limit)).select(*sk))
+    cold = rolling_stats(long.join(hot, sk, "left_anti"), opts, keys, ts, "value", tiebreak)
+    chunked = DetectOptions(**{**opts.__dict__, "chunk_rows": limit, "hot_series_rows": None})
+    warm = halo_rolling_stats(long.join(hot, sk, "left_semi"), chunked, keys, ts, "value",
+                              tiebreak).drop("pos")
+    return cold.unionByName(warm)
+
+
 def detect_anomalies(wide: DataFrame, ts: str, metrics: Sequence[str] | None = None,
                      keys: Sequence[str] = (), options: DetectOptions = DetectOptions(),
                      tiebreak: Sequence[str] = ()) -> DataFrame:

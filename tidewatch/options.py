@@ -21,6 +21,9 @@ class DetectOptions:
     # rows per chunk for the halo plan of very long series (None = one window
     # partition per series)
     chunk_rows: int | None = None
+    # automatic split: series longer than this many rows use halo chunks of this size,
+    # the rest one window partition each (costs one partially aggregated size pass)
+    hot_series_rows: int | None = None
 
     def validated(self) -> "DetectOptions":
         if self.window_size < 2:
@@ -35,6 +38,8 @@ class DetectOptions:
             raise ValueError("seasonal_period must be >= 2.")
         if self.chunk_rows is not None and self.chunk_rows < self.window_size - 1:
             raise ValueError("chunk_rows must be >= window_size - 1.")
+        if self.hot_series_rows is not None and self.hot_series_rows < self.window_size - 1:
+            raise ValueError("hot_series_rows must be >= window_size - 1.")
         return self
 
     @property

@@ -871,3 +871,17 @@ def q_entity_suppression(spark, sf_dir):
                                keys=["nation"])
     return finish(dec.select("nation", "metric", "timestamp", "z_score", "decision",
                              "is_escalation"))
+
+
+HOT = DetectOptions(window_size=30, z_threshold=3.0, hot_series_rows=2000)
+
+
+@register("hot_series_zscore", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+scored AS ({_rolling_sql('long', 30, 30)})
+{_anomaly_select_sql('scored', 3.0)}""")
+def q_hot_series_zscore(spark, sf_dir):
+    # series longer than 2000 rows are split into halo chunks, the rest use plain windows
+    a = detect_anomalies(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS, options=HOT)
+    return finish(a.drop("seasonal_period"))
