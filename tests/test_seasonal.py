@@ -96,3 +96,32 @@ def test_filled_rows_are_not_flagged(spark):
     out = seasonal_anomalies(series_frame(spark, vals), DetectOptions(mode="seasonal",
                                                                       z_threshold=0.1))
     assert out.filter(F.col("actual").isNull()).count() == 0
+
+
+def test_hot_series_chunked_classical_equals_windows(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(8)
+    rows = []
+    for m, n in (("hot", 260), ("cold", 90)):
+        for i in range(n):
+            v = None if (i < 2 or rng.random() < 0.08) else \
+                float(10 + 3 * np.sin(2 * np.pi * i / 7) + rng.normal(0, 1))
+            if m == "hot" and i == 200:
+                v = 40.0
+            rows.append((m, i, v))
+    df = spark.createDataFrame(rows, "metric string, i long, value double").select(
+        "metric", F.timestamp_seconds(F.col("i") * 86400).cast("timestamp_ntz").alias("ts"),
+        "value")
+    base = DetectOptions(window_size=20, z_threshold=2.5, mode="classical")
+    plain = seasonal_anomalies(df, base).collect()
+    split = seasonal_anomalies(df, DetectOptions(window_size=20, z_threshold=2.5,
+                                                 mode="classical", hot_series_rows=100)).collect()
+    key = lambda r: (r.metric, r.timestamp)
+    assert {key(r) for r in plain} == {key(r) for r in split}
+    got = {key(r): r.z_score for r in split}
+    assert all(abs(got[key(r)] - r.z_score) < 1e-9 for r in plain)
+    assert any(r.metric == "hot" for r in plain)
+    seasonal = seasonal_anomalies(df, DetectOptions(window_size=20, z_threshold=2.5,
+                                                    mode="seasonal", hot_series_rows=100))
+    modes = {(r.metric, r.detection_mode_used) for r in seasonal.collect()}
+    assert ("hot", "seasonal") not in modes and ("hot", "classical") in modes

@@ -128,6 +128,8 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
     (they cannot be pushed below it) and the three branches reuse one exchange.
     """
     opts = options.validated()
+    if opts.hot_series_rows:
+        return _split_hot_seasonal(long, opts, keys, ts, tiebreak)
     p = opts.seasonal_period
     sk = [*keys, "metric"]
     whole = Window.partitionBy(*sk).orderBy(ts, *tiebreak).rowsBetween(
@@ -157,3 +159,39 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
         out = out.unionByName(flag_anomalies(scored, opts.z_threshold, keys, ts, "value", mode, p,
                                              extra=tiebreak))
     return out
+
+
+def _split_hot_seasonal(long: DataFrame, opts: DetectOptions, keys: Sequence[str], ts: str,
+                        tiebreak: Sequence[str]) -> DataFrame:
+    """Series above ``hot_series_rows`` rows take the chunked classical path (or halo
+    z-scores when their history is too short); the others take the per-series path.
+
+    The hot list comes from one partially aggregated size pass; at most
+    ``rows / hot_series_rows`` series can be on it, so it is broadcast. Hot series are never
+    decomposed by STL (the threshold also caps the STL group size).
+    """
+    from dataclasses import replace
+
+    from .chunked import chunked_classical_scores
+    from .halo import halo_rolling_stats
+    limit = int(opts.hot_series_rows)
+    sk = [*keys, "metric"]
+    p = opts.seasonal_period
+    sizes = (long.groupBy(*sk).agg(F.count("value").alias("_n_valid"),
+                                   F.count(F.lit(1)).alias("_n_rows"))
+             .filter(F.col("_n_rows") > F.lit(limit)))
+    hot = F.broadcast(sizes)
+    cold = seasonal_anomalies(long.join(hot.select(*sk), sk, "left_anti"),
+                              replace(opts, hot_series_rows=None), keys, ts, tiebreak)
+    usable = (F.col("_n_valid") >= F.lit(p * opts.min_cycles)) & (F.col("_n_rows") >= F.lit(2 * p))
+    hot_rows = long.join(hot.withColumn("_usable", usable).select(*sk, "_usable"), sk, "inner")
+    chunked = chunked_classical_scores(hot_rows.filter("_usable").drop("_usable"), opts, keys,
+                                       ts, tiebreak, chunk=limit)
+    short = halo_rolling_stats(hot_rows.filter("NOT _usable").drop("_usable"),
+                               replace(opts, chunk_rows=limit, hot_series_rows=None), keys, ts,
+                               "value", tiebreak)
+    return (cold
+            .unionByName(flag_anomalies(chunked, opts.z_threshold, keys, ts, "value", "classical",
+                                        p, extra=tiebreak))
+            .unionByName(flag_anomalies(short, opts.z_threshold, keys, ts, "value", "zscore",
+                                        None, extra=tiebreak)))

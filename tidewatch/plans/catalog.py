@@ -885,3 +885,14 @@ def q_hot_series_zscore(spark, sf_dir):
     # series longer than 2000 rows are split into halo chunks, the rest use plain windows
     a = detect_anomalies(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS, options=HOT)
     return finish(a.drop("seasonal_period"))
+
+
+HOT_CLASSICAL = DetectOptions(window_size=30, z_threshold=3.0, mode="classical",
+                              seasonal_period=7, hot_series_rows=1000)
+
+
+@register("hot_classical_anomalies", REGISTRY["classical_seasonal_anomalies"][1])
+def q_hot_classical_anomalies(spark, sf_dir):
+    # series above 1000 rows are decomposed chunk by chunk (no per-series task)
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
+    return finish(seasonal_anomalies(long, HOT_CLASSICAL))
