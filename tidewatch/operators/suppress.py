@@ -64,7 +64,10 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
     if state is None:
         fields = [events.schema[k] for k in keys] + list(empty_state(spark).schema.fields)
         state = spark.createDataFrame([], StructType(fields))
-    ev = (events
+    # the fold only needs a slim projection; decisions are joined back onto the full rows
+    slim = events.select(*sk, *[c for c in order if c not in sk], "timestamp", "z_score",
+                         "actual")
+    ev = (slim
           .withColumn("_ord", F.struct(*[F.col(c) for c in order]))
           .withColumn("_az", F.abs(F.col("z_score"))))
     if point:
@@ -80,20 +83,26 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
 
     if options.enabled:
         kept = _escalation_chain(ev, init, sk, options.escalation_z_delta)
-        decisions = (ev.join(kept, [*sk, "_ord"], "left")
-                     .withColumn("decision", F.coalesce(F.col("decision"), F.lit("suppressed"))))
+        decided = (ev.join(kept, [*sk, "_ord"], "left")
+                   .withColumn("decision", F.coalesce(F.col("decision"), F.lit("suppressed"))))
     else:
-        decisions = ev.withColumn("decision", F.lit("kept"))
-    decisions = decisions.withColumn("is_escalation", F.col("decision") == "escalation")
+        decided = ev.withColumn("decision", F.lit("kept"))
+    decided = decided.withColumn("is_escalation", F.col("decision") == "escalation")
 
-    updates = _anomalous_updates(decisions, init, sk, options.enabled, run_ts)
+    updates = _anomalous_updates(decided, init, sk, options.enabled, run_ts)
     if point:
         updates = _end_in_range(updates, ev, in_range, sk, order)
     if observed is not None:
         updates = updates.unionByName(_resets(observed, ev, init, sk, run_ts))
     new_state = (state.join(updates.select(*sk), sk, "left_anti").select(*sk, *STATE_COLUMNS[1:])
                  .unionByName(updates.select(*sk, *STATE_COLUMNS[1:])))
-    return decisions.drop("_ord", "_az", "_seg"), new_state
+    join_keys = [*sk, *[c for c in order if c not in sk]]
+    # order keys identify an anomaly within its series (ties are ambiguous in the fold as
+    # well); dropping duplicate keys keeps the join from multiplying rows
+    marks = decided.select(*join_keys, "decision", "is_escalation").dropDuplicates(join_keys)
+    decisions = (events.drop(*[c for c in ("decision", "is_escalation") if c in events.columns])
+                 .join(marks, join_keys, "left"))
+    return decisions, new_state
 
 
 def _segments(ev: DataFrame, in_range: DataFrame, sk: list[str], order: Sequence[str]) -> DataFrame:

@@ -24,8 +24,9 @@ def stream_metric_cube(stream: DataFrame, ts: str, aggs: Mapping[str, Column],
 
     Rows later than the watermark are dropped by Spark (late data); state for buckets
     older than the watermark is evicted. Event time must be TIMESTAMP for the watermark,
-    so TIMESTAMP_NTZ input is read under the session time zone (UTC here) and the bucket
-    start is returned as TIMESTAMP_NTZ again.
+    so TIMESTAMP_NTZ input is read under the session time zone and the bucket start is
+    returned as TIMESTAMP_NTZ again. Buckets are aligned to the epoch, so run the session in
+    UTC (``build_session`` does) for buckets that match wall-clock hours and days.
     """
     event = F.col(ts).cast("timestamp")
     timed = stream.withColumn("_event_ts", event).withWatermark("_event_ts", watermark)
