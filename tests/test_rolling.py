@@ -124,3 +124,25 @@ def test_z_bounded_and_affine_invariant(spark, values, a, b):
     ok = ~np.isnan(z1) & ~np.isnan(z2)
     assert np.all(np.abs(z1[~np.isnan(z1)]) <= math.sqrt(w - 1) + 1e-9)
     assert np.allclose(z1[ok], z2[ok], atol=1e-6)
+
+
+def test_score_from_equals_full_rescore(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for m, n in (("a", 120), ("b", 75)):
+        for i in range(n):
+            v = None if i == 85 else float(rng.normal(0, 1) + (8 if i in (50, 100, 110) else 0))
+            rows.append((m, i, v))
+    df = spark.createDataFrame(rows, "metric string, i long, value double").select(
+        "metric", F.timestamp_seconds(F.col("i") * 86400).cast("timestamp_ntz").alias("ts"),
+        "i", "value")
+    start = "1970-03-31"                       # day 89
+    full = zscore_anomalies(df, DetectOptions(window_size=20, z_threshold=2.0), tiebreak=["i"])
+    want = sorted((r.metric, r.timestamp, round(r.z_score, 9)) for r in full.collect()
+                  if r.timestamp >= __import__("datetime").datetime(1970, 3, 31))
+    recent = zscore_anomalies(df, DetectOptions(window_size=20, z_threshold=2.0,
+                                                score_from=start), tiebreak=["i"])
+    got = sorted((r.metric, r.timestamp, round(r.z_score, 9)) for r in recent.collect())
+    assert got == want and want
+    recent.write.format("noop").mode("overwrite").save()
+    assert "WindowGroupLimit" in recent._jdf.queryExecution().executedPlan().toString()

@@ -71,6 +71,8 @@ def zscore_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str
                      ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Plain rolling z-score detection on a long frame."""
     opts = options.validated()
+    if opts.score_from is not None:
+        return _score_from(long, opts, keys, ts, tiebreak)
     if opts.chunk_rows:
         from .halo import halo_rolling_stats
         scored = halo_rolling_stats(long, opts, keys, ts, "value", tiebreak).drop("pos")
@@ -81,6 +83,32 @@ def zscore_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[str
     return flag_anomalies(scored, opts.z_threshold, keys, ts, extra=tiebreak)
 
 
+def lookback_input(long: DataFrame, start: Column, lookback: int, keys: Sequence[str] = (),
+                   ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Rows at/after ``start`` plus the last ``lookback`` earlier rows of every series.
+
+    ``row_number() <= k`` becomes a partial per-task limit before the shuffle, so a long or
+    hot history costs at most k rows per task and series.
+    """
+    if lookback <= 0:
+        return long.filter(F.col(ts) >= start)
+    newest_first = Window.partitionBy(*keys, "metric").orderBy(
+        F.col(ts).desc(), *[F.col(c).desc() for c in tiebreak])
+    history = (long.filter(F.col(ts) < start)
+               .withColumn("_rk", F.row_number().over(newest_first))
+               .filter(F.col("_rk") <= F.lit(lookback)).drop("_rk"))
+    return history.unionByName(long.filter(F.col(ts) >= start))
+
+
+def _score_from(long: DataFrame, opts: DetectOptions, keys: Sequence[str], ts: str,
+                tiebreak: Sequence[str]) -> DataFrame:
+    from dataclasses import replace
+    start = F.lit(opts.score_from).cast(long.schema[ts].dataType)
+    recent = lookback_input(long, start, opts.window_size - 1, keys, ts, tiebreak)
+    flagged = zscore_anomalies(recent, replace(opts, score_from=None), keys, ts, tiebreak)
+    return flagged.filter(F.col("timestamp") >= start)
+
+
 def split_hot_rolling_stats(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
                             ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Rolling statistics with hot series split into halo chunks.

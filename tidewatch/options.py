@@ -24,6 +24,9 @@ class DetectOptions:
     # automatic split: series longer than this many rows use halo chunks of this size,
     # the rest one window partition each (costs one partially aggregated size pass)
     hot_series_rows: int | None = None
+    # score only rows at/after this timestamp (plain z-score): each series keeps its last
+    # window_size - 1 earlier rows as lookback, so results equal a full rescore
+    score_from: str | None = None
 
     def validated(self) -> "DetectOptions":
         if self.window_size < 2:

@@ -896,3 +896,17 @@ def q_hot_classical_anomalies(spark, sf_dir):
     # series above 1000 rows are decomposed chunk by chunk (no per-series task)
     long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
     return finish(seasonal_anomalies(long, HOT_CLASSICAL))
+
+
+RECENT = DetectOptions(window_size=30, z_threshold=3.0, score_from="2000-01-01")
+
+
+@register("zscore_score_from", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+scored AS ({_rolling_sql('long', 30, 30)})
+SELECT * FROM ({_anomaly_select_sql('scored', 3.0)}) WHERE timestamp >= '2000-01-01'""")
+def q_zscore_score_from(spark, sf_dir):
+    # incremental run: only days from 2000-01-01 are scored, with 29 rows of lookback each
+    a = detect_anomalies(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS, options=RECENT)
+    return finish(a.drop("seasonal_period"))
