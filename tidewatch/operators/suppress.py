@@ -106,14 +106,23 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
 
 
 def _segments(ev: DataFrame, in_range: DataFrame, sk: list[str], order: Sequence[str]) -> DataFrame:
-    """``(sk, _ord, _seg)``: in-range observations seen before each anomaly in this run."""
-    marks = (ev.select(*sk, "_ord", F.lit(0).alias("_reset"))
-             .unionByName(in_range.select(*sk, F.struct(*[F.col(c) for c in order]).alias("_ord"),
-                                          F.lit(1).alias("_reset"))))
-    upto = Window.partitionBy(*sk).orderBy("_ord", "_reset").rowsBetween(
-        Window.unboundedPreceding, 0)
-    return (marks.withColumn("_seg", F.sum("_reset").over(upto).cast("long"))
-            .filter(F.col("_reset") == 0).select(*sk, "_ord", "_seg"))
+    """``(sk, _ord, _seg)``: in-range observations seen before each anomaly in this run.
+
+    seg = (position among all marked points) - (position among the anomalies). Both
+    positions come from range-partitioned numbering, so a hot series is never one task; the
+    final join only involves anomaly rows.
+    """
+    from .halo import series_positions
+    keys, ts, tiebreak = sk[:-1], order[0], list(order[1:])
+    cols = [*sk, *[c for c in order if c not in sk]]
+    marks = (ev.select(*cols, F.lit(True).alias("_anomaly"))
+             .unionByName(in_range.select(*cols, F.lit(False).alias("_anomaly"))))
+    all_pos = (series_positions(marks, keys, ts, tiebreak, name="_p_all")
+               .filter(F.col("_anomaly")).drop("_anomaly"))
+    anomaly_pos = series_positions(ev.select(*cols), keys, ts, tiebreak, name="_p_anomaly")
+    return (anomaly_pos.join(all_pos, cols)
+            .select(*sk, F.struct(*[F.col(c) for c in order]).alias("_ord"),
+                    (F.col("_p_all") - F.col("_p_anomaly")).alias("_seg")))
 
 
 def _end_in_range(updates: DataFrame, ev: DataFrame, in_range: DataFrame, sk: list[str],
