@@ -84,3 +84,16 @@ def test_report_tables(spark):
                    ("Revenue", 4): False, ("Revenue", 5): False}
     meta = run_metadata(kept, "r1", "zscore", RUN_TS).collect()[0]
     assert meta.n_anomalies == 4
+
+
+def test_alert_text_files_in_order(spark, tmp_dir):
+    import glob
+    from tidewatch.operators.digest import write_alert_text
+    kept = kept_rows(spark)
+    items = [r.asDict() for r in kept.orderBy("event_ts", "metric").collect()]
+    path = write_alert_text(alert_body_lines(kept, RUN_TS).repartition(5), f"{tmp_dir}/body")
+    lines = []
+    for part in sorted(glob.glob(f"{path}/part-*")):
+        with open(part) as fh:
+            lines.extend(fh.read().split("\n")[:-1])
+    assert lines == render(items)

@@ -50,3 +50,18 @@ def test_run_monitor_point_scope(spark, tmp_dir):
     # in-range days between the two spikes reset the series under point scope only
     assert by_run["2024-03-01"] == "suppressed" and by_point["2024-03-01"] == "new"
     assert out["state"].collect()[0].state == "normal"     # the run ends in range
+
+
+def test_run_monitor_writes_alert_text(spark, tmp_dir):
+    import glob
+    wide = clean_wide(wide_frame(spark, {40: 30.0}), "Date", ["Revenue"])
+    cfg = MonitorConfig(detect=DetectOptions(window_size=20), run_id="000000000007",
+                        run_ts="2024-06-30 00:00:00", report_base=f"{tmp_dir}/report")
+    run_monitor(spark, wide, cfg)
+    lines = []
+    for part in sorted(glob.glob(f"{tmp_dir}/report/run=000000000007/alert_text/part-*")):
+        with open(part) as fh:
+            lines.extend(fh.read().split("\n")[:-1])
+    assert lines[0] == "Anomaly Detection Agent - 1 alert item(s) at 2024-06-30 00:00:00"
+    assert lines[4].startswith("#1. Revenue  (2024-02-10)  -  UP")
+    assert lines[-1] == "This is an automated alert. Investigate each item above."

@@ -88,3 +88,11 @@ def alert_body_lines(kept: DataFrame, run_ts, keys: Sequence[str] = ()) -> DataF
     foot = subject.select(F.lit(2).alias("section"), F.lit(0).cast("long").alias("item_no"),
                           F.lit(0).alias("line_no"), F.lit(FOOTER).alias("line"))
     return head.unionByName(body).unionByName(foot)
+
+
+def write_alert_text(body: DataFrame, path: str) -> str:
+    """Write the body lines as text, in order: the sort range-partitions the lines, so
+    reading the part files in name order yields the alert body line by line."""
+    (body.orderBy("section", "item_no", "line_no").select("line")
+     .write.mode("overwrite").text(path))
+    return path

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.annotate import summarize, summary_view
 from ..operators.cooccur import attach_notes
-from ..operators.digest import alert_body_lines, alert_subject, digest_items, item_text
+from ..operators.digest import (alert_body_lines, alert_subject, digest_items, item_text,
+                                write_alert_text)
 from ..operators.report import report_tables, write_report
 from ..operators.rolling import detect_long
 from ..operators.suppress import apply_suppression, kept_only, observed_from_metrics
@@ -79,5 +80,6 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
     report = report_tables(long, kept, config.run_id, config.detect.mode, config.run_ts, keys)
     if config.report_base:
         write_report(report, config.report_base, config.run_id)
+        write_alert_text(out["alert_body"], f"{config.report_base}/run={config.run_id}/alert_text")
     out.update({f"report_{k}": v for k, v in report.items()})
     return out
