@@ -24,6 +24,24 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized to the input volume for a cluster run.
+
+    Shuffle partitions start at input / target (AQE coalesces small ones and splits skewed
+    ones at the same target), scan splits use the same target, and broadcasts stay at
+    Spark's size-checked default threshold.
+    """
+    parts = max(200, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(master: str | None = None, app: str = "tidewatch",
                   shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
