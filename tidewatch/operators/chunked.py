@@ -43,6 +43,38 @@ def _with_halo(df: DataFrame, chunk: int, before: int, after: int) -> DataFrame:
             .withColumn("_own", F.col("_shift") == 0).drop("_shift"))
 
 
+def chunked_fill(pos: DataFrame, sk: Sequence[str], value: str = "value",
+                 out: str = "filled") -> DataFrame:
+    """Forward-then-back fill on rows carrying ``pos`` and chunk ``_c``.
+
+    Within a chunk: last non-null so far; else the last non-null of an earlier chunk (a
+    window over the per-chunk table, one row per chunk); else the series' first value.
+    """
+    sk = list(sk)
+    known = pos.filter(F.col(value).isNotNull())
+    chunk_last = known.groupBy(*sk, "_c").agg(F.max_by(value, "pos").alias("_cl"))
+    chunks = pos.select(*sk, "_c").distinct().join(chunk_last, [*sk, "_c"], "left")
+    earlier = Window.partitionBy(*sk).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.withColumn("_carry", F.last("_cl", ignorenulls=True).over(earlier)) \
+        .select(*sk, "_c", "_carry")
+    first = known.groupBy(*sk).agg(F.min_by(value, "pos").alias("_first"))
+    inside = Window.partitionBy(*sk, "_c").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return (pos.join(carry, [*sk, "_c"], "left").join(first, sk, "left")
+            .withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(inside),
+                                        F.col("_carry"), F.col("_first")))
+            .drop("_carry", "_first"))
+
+
+def chunked_gap_fill(long: DataFrame, chunk: int, keys: Sequence[str] = (), ts: str = "ts",
+                     tiebreak: Sequence[str] = (), value: str = "value",
+                     out: str = "filled") -> DataFrame:
+    """``gap_fill`` without a per-series task: positions, chunks, carried values."""
+    sk = [*keys, "metric"]
+    pos = series_positions(long, keys, ts, tiebreak).withColumn(
+        "_c", F.floor(F.col("pos") / F.lit(chunk)).cast("long"))
+    return chunked_fill(pos, sk, value, out).drop("pos", "_c")
+
+
 def chunked_classical_scores(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
                              ts: str = "ts", tiebreak: Sequence[str] = (),
                              chunk: int | None = None) -> DataFrame:
@@ -57,20 +89,7 @@ def chunked_classical_scores(long: DataFrame, options: DetectOptions, keys: Sequ
     pos = series_positions(long, keys, ts, tiebreak).withColumn(
         "_c", F.floor(F.col("pos") / F.lit(chunk)).cast("long"))
 
-    # gap fill -------------------------------------------------------------------------
-    known = pos.filter(F.col("value").isNotNull())
-    chunk_last = known.groupBy(*sk, "_c").agg(F.max_by("value", "pos").alias("_cl"))
-    chunks = (pos.select(*sk, "_c").distinct()
-              .join(chunk_last, [*sk, "_c"], "left"))
-    earlier = Window.partitionBy(*sk).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunks.withColumn("_carry", F.last("_cl", ignorenulls=True).over(earlier)) \
-        .select(*sk, "_c", "_carry")
-    first = known.groupBy(*sk).agg(F.min_by("value", "pos").alias("_first"))
-    inside = Window.partitionBy(*sk, "_c").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    filled = (pos.join(carry, [*sk, "_c"], "left").join(first, sk, "left")
-              .withColumn("filled", F.coalesce(F.last("value", ignorenulls=True).over(inside),
-                                                F.col("_carry"), F.col("_first")))
-              .drop("_carry", "_first"))
+    filled = chunked_fill(pos, sk)
 
     # centred trend with a two-sided halo ---------------------------------------------
     spread = _with_halo(filled, chunk, half, half)

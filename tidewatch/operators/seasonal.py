@@ -23,8 +23,15 @@ from .stl import stl_decompose
 
 
 def gap_fill(long: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
-             tiebreak: Sequence[str] = (), value: str = "value", out: str = "filled") -> DataFrame:
-    """Forward fill over all earlier rows, then back fill the leading gap."""
+             tiebreak: Sequence[str] = (), value: str = "value", out: str = "filled",
+             chunk_rows: int | None = None) -> DataFrame:
+    """Forward fill over all earlier rows, then back fill the leading gap.
+
+    With ``chunk_rows`` the fill runs chunk by chunk on series positions (no per-series
+    task; for very long or hot series)."""
+    if chunk_rows:
+        from .chunked import chunked_gap_fill
+        return chunked_gap_fill(long, int(chunk_rows), keys, ts, tiebreak, value, out)
     base = Window.partitionBy(*keys, "metric").orderBy(ts, *tiebreak)
     past = base.rowsBetween(Window.unboundedPreceding, 0)
     future = base.rowsBetween(0, Window.unboundedFollowing)

@@ -910,3 +910,10 @@ def q_zscore_score_from(spark, sf_dir):
     # incremental run: only days from 2000-01-01 are scored, with 29 rows of lookback each
     a = detect_anomalies(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS, options=RECENT)
     return finish(a.drop("seasonal_period"))
+
+
+@register("chunked_gap_fill", REGISTRY["gap_fill"][1])
+def q_chunked_gap_fill(spark, sf_dir):
+    # the same fill computed chunk by chunk (chunks of 500 positions) for long series
+    long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
+    return finish(gap_fill(long, chunk_rows=500))
