@@ -27,11 +27,13 @@ def series_positions(long: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
                      tiebreak: Sequence[str] = (), num_partitions: int | None = None,
                      name: str = "pos") -> DataFrame:
     """0-based position of each row inside its series, without a per-series task."""
-    spark = long.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sk = [*keys, "metric"]
     order = [*sk, ts, *tiebreak]
-    ranged = (long.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count AQE may coalesce the range partitions; coalesced partitions
+    # are contiguous ranges, so partition ids still follow the sort order
+    ranged = (long.repartitionByRange(num_partitions, *order) if num_partitions
+              else long.repartitionByRange(*order))
+    ranged = (ranged.sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)  # freeze sampled bounds and ids before two passes
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))

@@ -20,9 +20,10 @@ _LOCAL_BITS = 33
 def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "row_no",
                       num_partitions: int | None = None) -> DataFrame:
     """1-based position of every row in ``order``, computed without a single-task sort."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count AQE may coalesce the range partitions (contiguous ranges)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ordered = (ranged.sortWithinPartitions(*order)
                .withColumn("_mid", F.monotonically_increasing_id()))
     # range bounds are sampled and ids depend on partitioning: freeze both
     ordered = cut_lineage(ordered)
