@@ -67,12 +67,13 @@ FROM (SELECT *, count({col}) OVER w AS n_obs,
       WINDOW w AS (PARTITION BY {partition} ORDER BY ts ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW))"""
 
 
-def _anomaly_select_sql(scored: str, t: float, keys: str = "", ts_fmt: str = "day") -> str:
+def _anomaly_select_sql(scored: str, t: float, keys: str = "", ts_fmt: str = "day",
+                        mode: str = "zscore") -> str:
     ts_expr = day("ts") if ts_fmt == "day" else "strftime(ts, '%Y-%m-%d %H:%M:%S')"
     return f"""SELECT {keys}metric, {ts_expr} AS timestamp, {r6('value')} AS actual,
        {r6('coalesce(m, 0)')} AS rolling_mean, {r6('coalesce(sd, 0)')} AS rolling_std,
        {r6('z')} AS z_score, CASE WHEN z > 0 THEN 'up' ELSE 'down' END AS direction,
-       'zscore' AS detection_mode_used
+       '{mode}' AS detection_mode_used
 FROM {scored} WHERE value IS NOT NULL AND z IS NOT NULL AND abs(z) > {t}"""
 
 
@@ -147,14 +148,15 @@ def flagship_anomalies(spark, sf_dir, where: str | None = None):
     return cut_lineage(detect_anomalies(cube, "ts", T.ORDER_METRICS, options=FLAGSHIP))
 
 
-def _anoms_cte(where: str = "") -> str:
+def _anoms_cte(where: str = "", sfx: str = "") -> str:
+    """cube/long/scored/anom CTEs of the flagship (names carry ``sfx``)."""
     cond = f"WHERE {where}" if where else ""
-    return f"""cube AS (SELECT * FROM ({T.ORDERS_DAILY_SQL}) {cond}),
-long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
-scored AS ({_rolling_sql('long', 30, 30)}),
-anom AS (SELECT metric, ts, value, coalesce(m, 0) AS m, z, abs(z) AS az,
+    return f"""cube{sfx} AS (SELECT * FROM ({T.ORDERS_DAILY_SQL}) {cond}),
+long{sfx} AS ({_unpivot_sql(f'cube{sfx}', T.ORDER_METRICS)}),
+scored{sfx} AS ({_rolling_sql(f'long{sfx}', 30, 30)}),
+anom{sfx} AS (SELECT metric, ts, value, coalesce(m, 0) AS m, z, abs(z) AS az,
                 row_number() OVER (PARTITION BY metric ORDER BY ts) AS rn
-         FROM scored WHERE value IS NOT NULL AND z IS NOT NULL AND abs(z) > 3)"""
+         FROM scored{sfx} WHERE value IS NOT NULL AND z IS NOT NULL AND abs(z) > 3)"""
 
 
 def _sql_str(s: str) -> str:
@@ -288,13 +290,11 @@ LEFT JOIN (SELECT f.metric, arg_max(strftime(a.ts, '%Y-%m-%d'), f.rn) AS at
 {join}"""
 
 
-def _two_run_sql(final: str) -> str:
+def _two_run_sql(final: str, extra_ctes: str = "") -> str:
     metrics_list = ", ".join(f"('{m}')" for m in T.ORDER_METRICS)
     a1 = _anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")
-    a2 = _anoms_cte(f"ts >= DATE '{RUN_CUTOFF}'").replace("cube AS", "cube2 AS").replace(
-        "FROM cube", "FROM cube2").replace("long AS", "long2 AS").replace(
-        "FROM long", "FROM long2").replace("scored AS", "scored2 AS").replace(
-        "FROM scored", "FROM scored2").replace("anom AS", "anom2 AS")
+    a2 = _anoms_cte(f"ts >= DATE '{RUN_CUTOFF}'", "2")
+    extra = f",\n{extra_ctes}" if extra_ctes else ""
     return f"""WITH RECURSIVE {a1}, {a2},
 {_fold_sql('fold1', 'anom', None)},
 state1 AS ({_state_after_sql('fold1', 'anom', None)}),
@@ -307,7 +307,7 @@ reset2 AS (SELECT s.metric, 'normal' AS state, CAST(NULL AS DOUBLE) AS last_aler
            WHERE s.state = 'active_anomaly' AND s.metric NOT IN (SELECT metric FROM anom2)),
 state2 AS (SELECT * FROM upd2 UNION ALL SELECT * FROM reset2
            UNION ALL SELECT * FROM state1 WHERE metric NOT IN (SELECT metric FROM upd2)
-                                            AND metric NOT IN (SELECT metric FROM reset2))
+                                            AND metric NOT IN (SELECT metric FROM reset2)){extra}
 {final}"""
 
 
@@ -381,10 +381,9 @@ from ..operators.suppress import kept_only  # noqa: E402
 _NL = "chr(10)"
 
 
-def _kept2_sql(final: str) -> str:
+def _kept1_sql(final: str, extra_ctes: str = "") -> str:
     """Two-run SQL plus ``numbered``: kept run-1 summaries with notes and item numbers."""
-    return _two_run_sql(f""",
-{_co_sql(0, 'anom', 'md1', 'co1')},
+    ctes = f"""{_co_sql(0, 'anom', 'md1', 'co1')},
 summ1 AS (SELECT {_summary_cols_sql('a')}, a.ts AS ts_raw, a.rn, a.z AS z_raw FROM anom a),
 kept AS (SELECT s.*, f.decision = 'escalation' AS is_escalation, co.others,
                 {_note_sql('co.others')} AS note
@@ -395,9 +394,10 @@ numbered AS (SELECT *, row_number() OVER (ORDER BY is_escalation DESC, ts_raw, m
                     '#' || CAST(row_number() OVER (ORDER BY is_escalation DESC, ts_raw, metric) AS VARCHAR)
                     || CASE WHEN is_escalation THEN '. [ESCALATION] ' ELSE '. ' END || metric || '  ('
                     || timestamp || ')  -  ' || upper(direction) AS header
-             FROM kept)
-{final}""").replace("\n),\n,", "\n),").replace("AND metric NOT IN (SELECT metric FROM reset2))\n,",
-                                              "AND metric NOT IN (SELECT metric FROM reset2)),")
+             FROM kept)"""
+    if extra_ctes:
+        ctes += f",\n{extra_ctes}"
+    return _two_run_sql(final, ctes)
 
 
 def _item_lines_sql() -> list[str]:
@@ -412,7 +412,7 @@ def _kept_run1(spark, sf_dir):
     return kept_only(_run1(spark, sf_dir)[0])
 
 
-@register("alert_digest_items", _kept2_sql(f"""
+@register("alert_digest_items", _kept1_sql(f"""
 SELECT item_no, metric, timestamp, is_escalation,
        {f" || {_NL} || ".join(_item_lines_sql())}
        || CASE WHEN note <> '' THEN {_NL} || '    Correlation: ' || note ELSE '' END AS text
@@ -421,7 +421,7 @@ def q_alert_digest_items(spark, sf_dir):
     return finish(item_text(digest_items(_kept_run1(spark, sf_dir))))
 
 
-@register("alert_subject", _kept2_sql(f"""
+@register("alert_subject", _kept1_sql(f"""
 SELECT n AS n_items, n - e AS n_new, e AS n_escalations,
        CASE WHEN e > 0 AND n - e = 0 THEN '[ANOMALY ESCALATION] ' || e || ' escalated anomaly/ies - {RUN_TS}'
             WHEN e > 0 THEN '[ANOMALY ALERT] ' || n || ' anomalies detected (' || e || ' escalated) - {RUN_TS}'
@@ -445,10 +445,9 @@ def _body_sql() -> str:
         "'" + "=" * 60 + "'", "''"])]
     foot = ["SELECT 2, CAST(0 AS BIGINT), 0, "
             "'This is an automated alert. Investigate each item above.' FROM hdr"]
-    return _kept2_sql(""",
-hdr AS (SELECT n, e FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e
-                          FROM kept) WHERE n > 0)
-""" + "\nUNION ALL ".join(parts + head + foot)).replace("FROM kept)\n,\nhdr", "FROM kept),\nhdr")
+    hdr = """hdr AS (SELECT n, e FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e
+                          FROM kept) WHERE n > 0)"""
+    return _kept1_sql("\nUNION ALL ".join(parts + head + foot), hdr)
 
 
 @register("alert_body_lines", _body_sql())
@@ -456,14 +455,14 @@ def q_alert_body_lines(spark, sf_dir):
     return finish(alert_body_lines(_kept_run1(spark, sf_dir), RUN_TS))
 
 
-@register("report_table", _kept2_sql("""
+@register("report_table", _kept1_sql("""
 SELECT metric, timestamp AS date, direction, severity, printf('%+.2f', z_raw) AS z_text,
        is_escalation AS escalation FROM kept"""))
 def q_report_table(spark, sf_dir):
     return finish(report_table(_kept_run1(spark, sf_dir)))
 
 
-@register("chart_series", _kept2_sql("""
+@register("chart_series", _kept1_sql("""
 SELECT l.metric, strftime(l.ts, '%Y-%m-%d') AS ts, round(l.value, 6) + 0.0 AS value,
        coalesce(k.flag, false) AS is_anomaly
 FROM long l
@@ -638,7 +637,7 @@ r AS (SELECT c.metric, c.ts, c.value, c.filled - c.trend - s.seasonal AS resid
       FROM c JOIN sea s USING (metric, phase)),
 scored AS ({_rolling_sql('r', 30, 30, col='resid')}),
 plain AS ({_rolling_sql('(SELECT l.* FROM long l JOIN g USING (metric) WHERE NOT g.usable)', 30, 30)})
-SELECT *, 7 AS seasonal_period FROM ({_anomaly_select_sql('scored', 3.0).replace("'zscore'", "'classical'")})
+SELECT *, 7 AS seasonal_period FROM ({_anomaly_select_sql('scored', 3.0, mode='classical')})
 UNION ALL
 SELECT *, CAST(NULL AS INTEGER) FROM ({_anomaly_select_sql('plain', 3.0)})""")
 def q_classical_seasonal_anomalies(spark, sf_dir):
