@@ -916,3 +916,18 @@ def q_chunked_gap_fill(spark, sf_dir):
     # the same fill computed chunk by chunk (chunks of 500 positions) for long series
     long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
     return finish(gap_fill(long, chunk_rows=500))
+
+
+SUPPLIER = DetectOptions(window_size=12, z_threshold=2.5)
+
+
+@register("supplier_weekly_zscore", f"""
+WITH cube AS ({T.SUPPLIER_WEEKLY_SQL}),
+long AS ({_unpivot_sql('cube', ['revenue', 'quantity'], 'l_suppkey, ts')}),
+scored AS ({_rolling_sql('long', 12, 12, 'l_suppkey, metric')})
+{_anomaly_select_sql('scored', 2.5, 'l_suppkey, ')}""")
+def q_supplier_weekly_zscore(spark, sf_dir):
+    # one series per (supplier, metric): thousands of series scored in parallel
+    a = detect_anomalies(T.supplier_weekly(spark, sf_dir), "ts", ["revenue", "quantity"],
+                         keys=["l_suppkey"], options=SUPPLIER)
+    return finish(a.drop("seasonal_period"))

@@ -130,3 +130,21 @@ def nation_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_count": F.count(F.lit(1)).cast("double"),
     }, bucket="month", dims=["nation"])
     return cube.withColumn("ts", F.to_date("ts"))
+
+
+# -- weekly shipped revenue per supplier (many series) --------------------------
+
+SUPPLIER_WEEKLY_SQL = """
+SELECT l_suppkey, CAST(date_trunc('week', l_shipdate) AS DATE) AS ts,
+       sum(l_extendedprice * (1 - l_discount)) AS revenue, sum(l_quantity) AS quantity
+FROM lineitem GROUP BY 1, 2"""
+
+
+def supplier_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice",
+                                                 "l_discount", "l_quantity")
+    cube = metric_cube(li, "l_shipdate", {
+        "revenue": F.sum(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))),
+        "quantity": F.sum("l_quantity"),
+    }, bucket="week", dims=["l_suppkey"])
+    return cube.withColumn("ts", F.to_date("ts"))
