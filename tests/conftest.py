@@ -10,7 +10,8 @@ from tidewatch.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="tidewatch-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="tidewatch-tests", shuffle_partitions=4,
+                      conf={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 

@@ -74,10 +74,11 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
         ev = ev.join(_segments(ev, in_range, sk, order), [*sk, "_ord"], "left")
     else:
         ev = ev.withColumn("_seg", F.lit(0).cast("long"))
-    # re-read by every step of the loop: cache it (filled by the first loop job). Callers
+    # re-read by every step of the loop: cache it on disk (filled by the first loop job;
+    # disk keeps long sessions from growing the heap). Callers
     # hand in anomalies derived from a materialised anomaly table, so recomputing a lost
     # partition only repeats narrow steps and small joins.
-    ev = ev.persist(StorageLevel.MEMORY_AND_DISK)
+    ev = ev.persist(StorageLevel.DISK_ONLY)
     init = state.select(*sk, F.col("state").alias("_s0"), F.col("last_alert_z").alias("_z0"),
                         F.col("last_alert_at").alias("_at0"), F.col("last_value").alias("_v0"))
 
@@ -154,9 +155,9 @@ def _escalation_chain(ev: DataFrame, init: DataFrame, sk: list[str], delta: floa
                 .unionByName(firsts.filter(active).select(
                     *gk, F.lit(None).cast(ord_type).alias("f_ord"),
                     F.coalesce(F.abs(F.col("_z0")), F.lit(0.0)).alias("f_z"))))
-    # frontier and steps hold one row per series: persist them (lineage of a few joins on
-    # the checkpointed anomalies, cheap to recompute) and test emptiness in the same job
-    frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
+    # frontier and steps hold one row per series: cache them on disk (lineage of a few joins
+    # on the materialised anomalies, cheap to recompute) and test emptiness in the same job
+    frontier = frontier.persist(StorageLevel.DISK_ONLY)
     remaining = frontier.count()
     kept = [new_rows.select(*gk, "_ord", F.lit("new").alias("decision"))]
     slim = ev.select(*gk, "_ord", "_az")
@@ -166,7 +167,7 @@ def _escalation_chain(ev: DataFrame, init: DataFrame, sk: list[str], delta: floa
                 .filter(after & ((F.col("_az") - F.col("f_z")) >= F.lit(delta)))
                 .groupBy(*gk).agg(F.min("_ord").alias("_ord"),
                                   F.min_by("_az", "_ord").alias("_az")))
-        step = step.persist(StorageLevel.MEMORY_AND_DISK)
+        step = step.persist(StorageLevel.DISK_ONLY)
         remaining = step.count()
         kept.append(step.select(*gk, "_ord", F.lit("escalation").alias("decision")))
         frontier = step.select(*gk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
