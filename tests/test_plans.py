@@ -62,3 +62,13 @@ def test_filter_reaches_scan(spark):
                           .agg(F.sum("o_totalprice").alias("revenue")), "ts", ["revenue"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate," in plan
+
+
+def test_many_series_plan_has_two_shuffles(spark):
+    df = detect_anomalies(T.supplier_weekly(spark, SF), "ts", ["revenue", "quantity"],
+                          keys=["l_suppkey"], options=DetectOptions(window_size=12))
+    assert scanned_once(executed_scans(df))
+    plan = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    # partial aggregate -> exchange -> final aggregate -> Expand -> exchange by series -> Window
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "partial_sum" in plan
