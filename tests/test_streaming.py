@@ -126,9 +126,7 @@ def test_scheduled_runs_version_state(spark, tmp_dir):
     # run 2 alerts on day 55; run 3 sees day 85 while still active and suppresses it
     assert final["revenue"].state == "active_anomaly"
     assert final["revenue"].last_alert_at == "2024-02-25"
-    run2 = spark.read.parquet(f"{tmp_dir}/report/run=000000000001/alert_body")
-    assert run2.filter(F.col("line").contains("revenue  (2024-02-25)")).count() == 1
-    run3 = f"{tmp_dir}/report/run=000000000002"
-    import os
-    assert not os.path.exists(f"{run3}/alert_body") or \
-        spark.read.parquet(f"{run3}/alert_body").count() == 0
+    run2 = spark.read.text(f"{tmp_dir}/report/run=000000000001/alert_text")
+    assert run2.filter(F.col("value").contains("revenue  (2024-02-25)")).count() == 1
+    run3 = spark.read.text(f"{tmp_dir}/report/run=000000000002/alert_text")
+    assert run3.count() == 0                      # suppressed: no alert

@@ -24,10 +24,8 @@ def run_scheduled(stream: DataFrame, ts: str, metrics: Sequence[str], config: Mo
     def each(batch: DataFrame, batch_id: int) -> None:
         wide = clean_wide(batch, ts, list(metrics), keys)
         cfg = replace(config, run_id=f"{batch_id:012d}")
-        products = run_monitor(batch.sparkSession, wide, cfg)
-        if cfg.report_base:
-            products["alert_body"].write.mode("overwrite").parquet(
-                f"{cfg.report_base}/run={cfg.run_id}/alert_body")
+        # writes the state version and, with report_base, the report tables and alert text
+        run_monitor(batch.sparkSession, wide, cfg)
 
     query = (stream.writeStream.foreachBatch(each)
              .option("checkpointLocation", checkpoint)
