@@ -125,3 +125,20 @@ def test_hot_series_chunked_classical_equals_windows(spark):
                                                     mode="seasonal", hot_series_rows=100))
     modes = {(r.metric, r.detection_mode_used) for r in seasonal.collect()}
     assert ("hot", "seasonal") not in modes and ("hot", "classical") in modes
+
+
+def test_short_series_routes_and_yield(spark):
+    from tidewatch.operators.seasonal import series_routes
+    frames = None
+    for n in (13, 14, 29, 30, 40):
+        vals = [float(v) for v in 10 + 3 * np.sin(2 * np.pi * np.arange(n) / 7)]
+        vals[-1] += 50.0                      # a spike on the last row
+        f = series_frame(spark, vals, f"n{n}")
+        frames = f if frames is None else frames.unionByName(f)
+    opts = DetectOptions(mode="seasonal", window_size=30)
+    routes = {r.metric: r.route for r in series_routes(frames, opts).collect()}
+    assert routes == {"n13": "zscore", "n14": "seasonal", "n29": "seasonal", "n30": "seasonal",
+                      "n40": "seasonal"}
+    flagged = {r.metric for r in seasonal_anomalies(frames, opts).collect()}
+    # fewer than window_size rows can never reach min_periods: nothing from 13..29 rows
+    assert flagged <= {"n30", "n40"} and "n40" in flagged
