@@ -113,7 +113,8 @@ def chunked_classical_scores(long: DataFrame, options: DetectOptions, keys: Sequ
     seasonal = phase_means.join(centre, sk).select(
         *sk, "_phase", (F.col("_pm") - F.col("_centre")).alias("seasonal"))
     comp = (trended.join(seasonal, [*sk, "_phase"], "left")
-            .withColumn("resid", x - F.col("trend") - F.col("seasonal")).drop("_phase"))
+            .withColumn("resid", x - F.col("trend") - F.col("seasonal"))
+            .withColumn("expected", F.col("trend") + F.col("seasonal")).drop("_phase"))
 
     # trailing residual z with a one-sided halo ------------------------------------------
     tail = _with_halo(comp, chunk, w - 1, 0)

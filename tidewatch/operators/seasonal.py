@@ -81,23 +81,25 @@ def classical_components(filled: DataFrame, period: int, keys: Sequence[str] = (
         "seasonal", F.col("_pm") - F.avg("_pm").over(Window.partitionBy(*sk)))
     return (comp.join(centred.select(*sk, "_phase", "seasonal"), [*sk, "_phase"], "left")
             .withColumn("resid", x - F.col("trend") - F.col("seasonal"))
+            .withColumn("expected", F.col("trend") + F.col("seasonal"))
             .drop("_phase", "_detrended"))
 
 
 def stl_components(filled: DataFrame, period: int, keys: Sequence[str] = (), ts: str = "ts",
                    tiebreak: Sequence[str] = (), seasonal_span: int = 7) -> DataFrame:
-    """STL per series through ``applyInPandas``; adds trend, seasonal, resid."""
+    """STL per series through ``applyInPandas``; adds trend, seasonal, resid and
+    expected = trend + seasonal (the decomposition's baseline for the observed value)."""
     sk = [*keys, "metric"]
     order_cols = [ts, *tiebreak]
     fields = list(filled.schema.fields) + [StructField(c, DoubleType()) for c in
-                                           ("trend", "seasonal", "resid")]
+                                           ("trend", "seasonal", "resid", "expected")]
     schema = StructType(fields)
     names = [f.name for f in fields]
 
     def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order_cols, kind="mergesort").reset_index(drop=True)
         t, s, r = stl_decompose(pdf["filled"].to_numpy(dtype=float), period, seasonal_span)
-        pdf["trend"], pdf["seasonal"], pdf["resid"] = t, s, r
+        pdf["trend"], pdf["seasonal"], pdf["resid"], pdf["expected"] = t, s, r, t + s
         return pdf[names]
 
     return filled.groupBy(*sk).applyInPandas(decompose, schema)
