@@ -43,6 +43,22 @@ CO_OCCURRENCE_NOTE = (
     "- not confirmed causation."
 )
 
+# Alert digest wording: subject lines, body header, item lines and footer.
+SUBJECT_ESCALATIONS_ONLY = "[ANOMALY ESCALATION] {n_escalations} escalated anomaly/ies - {now}"
+SUBJECT_MIXED = "[ANOMALY ALERT] {n_items} anomalies detected ({n_escalations} escalated) - {now}"
+SUBJECT_NEW_ONLY = "[ANOMALY ALERT] {n_items} anomalies detected - {now}"
+DIGEST_TITLE = "Anomaly Detection Agent - {n_items} alert item(s) at {now}"
+DIGEST_COUNTS = "  New anomalies: {n_new}  |  Escalations: {n_escalations}"
+DIGEST_RULE = "============================================================"
+ITEM_HEADER_ESCALATION = "#{item_no}. [ESCALATION] {metric}  ({timestamp})  -  {direction_upper}"
+ITEM_HEADER = "#{item_no}. {metric}  ({timestamp})  -  {direction_upper}"
+ITEM_SEVERITY = "    Severity : {severity}  (z = {z_signed})"
+ITEM_WHAT_CHANGED = "    What changed: {what_changed}"
+ITEM_SIGNIFICANCE = "    Significance: {significance}"
+ITEM_IMPACT = "    Possible impact: {possible_impact}"
+ITEM_CORRELATION = "    Correlation: {correlation_note}"
+DIGEST_FOOTER = "This is an automated alert. Investigate each item above."
+
 # Threshold printed in the significance sentence (the job always prints 3.0).
 SIGNIFICANCE_THRESHOLD_TEXT = "3.0"
 NEAR_ZERO_BASELINE = 1e-9
@@ -93,6 +109,20 @@ def impact_label(metric: Column,
     return expr.otherwise(F.lit(fallback)) if expr is not None else F.lit(fallback)
 
 
+def fill(template: str, **values: Column) -> Column:
+    """A ``{name}`` template as one ``concat`` of literal text and column values."""
+    parts, rest = [], template
+    while "{" in rest:
+        head, tail = rest.split("{", 1)
+        name, rest = tail.split("}", 1)
+        if head:
+            parts.append(F.lit(head))
+        parts.append(values[name].cast("string"))
+    if rest:
+        parts.append(F.lit(rest))
+    return F.concat(*parts)
+
+
 def correlation_note(others_joined: Column) -> Column:
     head, tail = CO_OCCURRENCE_NOTE.split("{others}")
     return F.when(F.coalesce(others_joined, F.lit("")) != "",

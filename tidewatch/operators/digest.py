@@ -12,11 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import fmt_signed
+from ..functions.text import (DIGEST_COUNTS, DIGEST_FOOTER, DIGEST_RULE, DIGEST_TITLE,
+                              ITEM_CORRELATION, ITEM_HEADER, ITEM_HEADER_ESCALATION, ITEM_IMPACT,
+                              ITEM_SEVERITY, ITEM_SIGNIFICANCE, ITEM_WHAT_CHANGED,
+                              SUBJECT_ESCALATIONS_ONLY, SUBJECT_MIXED, SUBJECT_NEW_ONLY,
+                              fill, fmt_signed)
 from .ranking import global_row_number
 
-FOOTER = "This is an automated alert. Investigate each item above."
-RULE = "=" * 60
+FOOTER = DIGEST_FOOTER
+RULE = DIGEST_RULE
 
 
 def _now_text(run_ts) -> F.Column:
@@ -27,20 +31,20 @@ def digest_items(kept: DataFrame, keys: Sequence[str] = (), ts: str = "event_ts"
     """``(item_no, keys..., metric, timestamp, is_escalation, lines)`` for kept summaries."""
     order = [F.col("is_escalation").desc(), F.col(ts), *[F.col(k) for k in keys], F.col("metric")]
     numbered = global_row_number(kept, order, "item_no")
-    n = F.col("item_no").cast("string")
-    where = F.concat(F.col("metric"), F.lit("  ("), F.col("timestamp"), F.lit(")  -  "),
-                     F.upper(F.col("direction")))
-    header = F.when(F.col("is_escalation"), F.concat(F.lit("#"), n, F.lit(". [ESCALATION] "), where)) \
-        .otherwise(F.concat(F.lit("#"), n, F.lit(". "), where))
+    cols = {c: F.col(c) for c in ("item_no", "metric", "timestamp", "severity", "what_changed",
+                                  "significance", "possible_impact")}
+    cols["direction_upper"] = F.upper(F.col("direction"))
+    cols["z_signed"] = fmt_signed(F.col("z_score"))
+    header = F.when(F.col("is_escalation"), fill(ITEM_HEADER_ESCALATION, **cols)) \
+        .otherwise(fill(ITEM_HEADER, **cols))
     note = F.coalesce(F.col("correlation_note"), F.lit(""))
     lines = F.array(
         header,
-        F.concat(F.lit("    Severity : "), F.col("severity"), F.lit("  (z = "),
-                 fmt_signed(F.col("z_score")), F.lit(")")),
-        F.concat(F.lit("    What changed: "), F.col("what_changed")),
-        F.concat(F.lit("    Significance: "), F.col("significance")),
-        F.concat(F.lit("    Possible impact: "), F.col("possible_impact")),
-        F.when(note != "", F.concat(F.lit("    Correlation: "), note)),
+        fill(ITEM_SEVERITY, **cols),
+        fill(ITEM_WHAT_CHANGED, **cols),
+        fill(ITEM_SIGNIFICANCE, **cols),
+        fill(ITEM_IMPACT, **cols),
+        F.when(note != "", fill(ITEM_CORRELATION, correlation_note=note)),
     )
     return numbered.select("item_no", *keys, "metric", "timestamp", "is_escalation",
                            F.filter(lines, lambda x: x.isNotNull()).alias("lines"))
@@ -57,22 +61,15 @@ def alert_subject(kept: DataFrame, run_ts) -> DataFrame:
                    F.count_if(F.col("is_escalation")).alias("n_escalations"))
     n, esc = F.col("n_items"), F.col("n_escalations")
     new = n - esc
-    subject = (F.when((esc > 0) & (new == 0),
-                      F.concat(F.lit("[ANOMALY ESCALATION] "), esc.cast("string"),
-                               F.lit(" escalated anomaly/ies - "), now))
-               .when((esc > 0) & (new > 0),
-                     F.concat(F.lit("[ANOMALY ALERT] "), n.cast("string"),
-                              F.lit(" anomalies detected ("), esc.cast("string"),
-                              F.lit(" escalated) - "), now))
-               .otherwise(F.concat(F.lit("[ANOMALY ALERT] "), n.cast("string"),
-                                   F.lit(" anomalies detected - "), now)))
+    vals = {"n_items": n, "n_escalations": esc, "n_new": new, "now": now}
+    subject = (F.when((esc > 0) & (new == 0), fill(SUBJECT_ESCALATIONS_ONLY, **vals))
+               .when((esc > 0) & (new > 0), fill(SUBJECT_MIXED, **vals))
+               .otherwise(fill(SUBJECT_NEW_ONLY, **vals)))
     return (agg.filter(n > 0)
             .select(n.cast("long").alias("n_items"), new.cast("long").alias("n_new"),
                     esc.cast("long").alias("n_escalations"), subject.alias("subject"),
-                    F.concat(F.lit("Anomaly Detection Agent - "), n.cast("string"),
-                             F.lit(" alert item(s) at "), now).alias("title"),
-                    F.concat(F.lit("  New anomalies: "), new.cast("string"),
-                             F.lit("  |  Escalations: "), esc.cast("string")).alias("counts")))
+                    fill(DIGEST_TITLE, **vals).alias("title"),
+                    fill(DIGEST_COUNTS, **vals).alias("counts")))
 
 
 def alert_body_lines(kept: DataFrame, run_ts, keys: Sequence[str] = ()) -> DataFrame:

@@ -380,6 +380,32 @@ from ..operators.suppress import kept_only  # noqa: E402
 
 _NL = "chr(10)"
 
+from ..functions.text import (DIGEST_COUNTS, DIGEST_FOOTER, DIGEST_RULE, DIGEST_TITLE,  # noqa: E402
+                              ITEM_CORRELATION, ITEM_HEADER, ITEM_HEADER_ESCALATION, ITEM_IMPACT,
+                              ITEM_SEVERITY, ITEM_SIGNIFICANCE, ITEM_WHAT_CHANGED,
+                              SUBJECT_ESCALATIONS_ONLY, SUBJECT_MIXED, SUBJECT_NEW_ONLY)
+
+
+def sql_fill(template: str, **exprs: str) -> str:
+    """A ``{name}`` template as a SQL string concatenation of literals and expressions."""
+    parts, rest = [], template
+    while "{" in rest:
+        head, tail = rest.split("{", 1)
+        name, rest = tail.split("}", 1)
+        if head:
+            parts.append(_sql_str(head))
+        parts.append(f"CAST({exprs[name]} AS VARCHAR)")
+    if rest:
+        parts.append(_sql_str(rest))
+    return "(" + " || ".join(parts) + ")"
+
+
+_ITEM = dict(item_no="item_no", metric="metric", timestamp="timestamp",
+             direction_upper="upper(direction)", severity="severity",
+             z_signed="printf('%+.2f', z_raw)", what_changed="what_changed",
+             significance="significance", possible_impact="possible_impact")
+_COUNTS = dict(n_items="n", n_escalations="e", n_new="(n - e)", now=_sql_str(RUN_TS))
+
 
 def _kept1_sql(final: str, extra_ctes: str = "") -> str:
     """Two-run SQL plus ``numbered``: kept run-1 summaries with notes and item numbers."""
@@ -390,22 +416,21 @@ kept AS (SELECT s.*, f.decision = 'escalation' AS is_escalation, co.others,
          FROM summ1 s JOIN fold1 f USING (metric, rn)
          JOIN co1 co ON co.metric = s.metric AND co.date = CAST(s.ts_raw AS DATE)
          WHERE f.decision <> 'suppressed'),
-numbered AS (SELECT *, row_number() OVER (ORDER BY is_escalation DESC, ts_raw, metric) AS item_no,
-                    '#' || CAST(row_number() OVER (ORDER BY is_escalation DESC, ts_raw, metric) AS VARCHAR)
-                    || CASE WHEN is_escalation THEN '. [ESCALATION] ' ELSE '. ' END || metric || '  ('
-                    || timestamp || ')  -  ' || upper(direction) AS header
-             FROM kept)"""
+numbered AS (SELECT *, row_number() OVER (ORDER BY is_escalation DESC, ts_raw, metric) AS item_no
+             FROM kept),
+headed AS (SELECT *, CASE WHEN is_escalation THEN {sql_fill(ITEM_HEADER_ESCALATION, **_ITEM)}
+                          ELSE {sql_fill(ITEM_HEADER, **_ITEM)} END AS header FROM numbered)"""
     if extra_ctes:
         ctes += f",\n{extra_ctes}"
     return _two_run_sql(final, ctes)
 
 
 def _item_lines_sql() -> list[str]:
-    return ["header",
-            f"'    Severity : ' || severity || '  (z = ' || printf('%+.2f', z_raw) || ')'",
-            "'    What changed: ' || what_changed",
-            "'    Significance: ' || significance",
-            "'    Possible impact: ' || possible_impact"]
+    return ["header", sql_fill(ITEM_SEVERITY, **_ITEM), sql_fill(ITEM_WHAT_CHANGED, **_ITEM),
+            sql_fill(ITEM_SIGNIFICANCE, **_ITEM), sql_fill(ITEM_IMPACT, **_ITEM)]
+
+
+_CORR_LINE = sql_fill(ITEM_CORRELATION, correlation_note="note")
 
 
 def _kept_run1(spark, sf_dir):
@@ -415,36 +440,34 @@ def _kept_run1(spark, sf_dir):
 @register("alert_digest_items", _kept1_sql(f"""
 SELECT item_no, metric, timestamp, is_escalation,
        {f" || {_NL} || ".join(_item_lines_sql())}
-       || CASE WHEN note <> '' THEN {_NL} || '    Correlation: ' || note ELSE '' END AS text
-FROM numbered"""))
+       || CASE WHEN note <> '' THEN {_NL} || {_CORR_LINE} ELSE '' END AS text
+FROM headed"""))
 def q_alert_digest_items(spark, sf_dir):
     return finish(item_text(digest_items(_kept_run1(spark, sf_dir))))
 
 
 @register("alert_subject", _kept1_sql(f"""
 SELECT n AS n_items, n - e AS n_new, e AS n_escalations,
-       CASE WHEN e > 0 AND n - e = 0 THEN '[ANOMALY ESCALATION] ' || e || ' escalated anomaly/ies - {RUN_TS}'
-            WHEN e > 0 THEN '[ANOMALY ALERT] ' || n || ' anomalies detected (' || e || ' escalated) - {RUN_TS}'
-            ELSE '[ANOMALY ALERT] ' || n || ' anomalies detected - {RUN_TS}' END AS subject,
-       'Anomaly Detection Agent - ' || n || ' alert item(s) at {RUN_TS}' AS title,
-       '  New anomalies: ' || (n - e) || '  |  Escalations: ' || e AS counts
+       CASE WHEN e > 0 AND n - e = 0 THEN {sql_fill(SUBJECT_ESCALATIONS_ONLY, **_COUNTS)}
+            WHEN e > 0 THEN {sql_fill(SUBJECT_MIXED, **_COUNTS)}
+            ELSE {sql_fill(SUBJECT_NEW_ONLY, **_COUNTS)} END AS subject,
+       {sql_fill(DIGEST_TITLE, **_COUNTS)} AS title,
+       {sql_fill(DIGEST_COUNTS, **_COUNTS)} AS counts
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e FROM kept) WHERE n > 0"""))
 def q_alert_subject(spark, sf_dir):
     return finish(alert_subject(_kept_run1(spark, sf_dir), RUN_TS))
 
 
 def _body_sql() -> str:
-    parts = [f"SELECT 1 AS section, item_no, {i} AS line_no, {e} AS line FROM numbered"
+    parts = [f"SELECT 1 AS section, item_no, {i} AS line_no, {e} AS line FROM headed"
              for i, e in enumerate(_item_lines_sql())]
-    parts.append("SELECT 1, item_no, 5, CASE WHEN note <> '' THEN '    Correlation: ' || note "
-                 "ELSE '' END FROM numbered")
-    parts.append("SELECT 1, item_no, 6, '' FROM numbered WHERE note <> ''")
+    parts.append(f"SELECT 1, item_no, 5, CASE WHEN note <> '' THEN {_CORR_LINE} "
+                 "ELSE '' END FROM headed")
+    parts.append("SELECT 1, item_no, 6, '' FROM headed WHERE note <> ''")
     head = [f"SELECT 0, CAST(0 AS BIGINT), {i}, {e} FROM hdr" for i, e in enumerate([
-        f"'Anomaly Detection Agent - ' || n || ' alert item(s) at {RUN_TS}'",
-        "'  New anomalies: ' || (n - e) || '  |  Escalations: ' || e",
-        "'" + "=" * 60 + "'", "''"])]
-    foot = ["SELECT 2, CAST(0 AS BIGINT), 0, "
-            "'This is an automated alert. Investigate each item above.' FROM hdr"]
+        sql_fill(DIGEST_TITLE, **_COUNTS), sql_fill(DIGEST_COUNTS, **_COUNTS),
+        _sql_str(DIGEST_RULE), "''"])]
+    foot = [f"SELECT 2, CAST(0 AS BIGINT), 0, {_sql_str(DIGEST_FOOTER)} FROM hdr"]
     hdr = """hdr AS (SELECT n, e FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e
                           FROM kept) WHERE n > 0)"""
     return _kept1_sql("\nUNION ALL ".join(parts + head + foot), hdr)
