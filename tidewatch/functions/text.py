@@ -43,6 +43,17 @@ CO_OCCURRENCE_NOTE = (
     "- not confirmed causation."
 )
 
+# Summary sentences (pct_text is "{pct:+.1f}% vs baseline" or the near-zero text below;
+# mode_tag is " [<mode>]" for modes other than zscore).
+WHAT_CHANGED = ("{metric} {direction_word} from a baseline of {baseline} to {actual} "
+                "({pct_text}) on {date}.")
+SIGNIFICANCE = ("Z-score of {z_signed}{mode_tag} - this is {severity} "
+                "(threshold: ±{threshold} std deviations).")
+POSSIBLE_IMPACT = ("Given the column name '{metric}', this likely affects {impact}. "
+                   "Confirm against your internal business glossary before acting on it.")
+PCT_TEXT = "{pct} vs baseline"
+DIRECTION_WORDS = {"up": "spiked", "down": "dropped"}
+
 # Alert digest wording: subject lines, body header, item lines and footer.
 SUBJECT_ESCALATIONS_ONLY = "[ANOMALY ESCALATION] {n_escalations} escalated anomaly/ies - {now}"
 SUBJECT_MIXED = "[ANOMALY ALERT] {n_items} anomalies detected ({n_escalations} escalated) - {now}"

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import safe_ratio
-from ..functions.text import (IMPACT_FALLBACK, IMPACT_RULES, NEAR_ZERO_BASELINE, NEAR_ZERO_TEXT,
-                              SIGNIFICANCE_THRESHOLD_TEXT, date_text, fmt_fixed, fmt_signed,
-                              impact_label, severity_label)
+from ..functions.text import (DIRECTION_WORDS, IMPACT_FALLBACK, IMPACT_RULES,
+                              NEAR_ZERO_BASELINE, NEAR_ZERO_TEXT, PCT_TEXT, POSSIBLE_IMPACT,
+                              SIGNIFICANCE, SIGNIFICANCE_THRESHOLD_TEXT, WHAT_CHANGED, date_text,
+                              fill, fmt_fixed, fmt_signed, impact_label, severity_label)
 
 SUMMARY_COLUMNS = ["metric", "timestamp", "direction", "severity", "z_score", "actual",
                    "rolling_mean", "what_changed", "significance", "possible_impact",
@@ -32,21 +33,21 @@ def summarize(anomalies: DataFrame, impact_rules=IMPACT_RULES, impact_fallback=I
     """
     metric, ts = F.col("metric"), F.col("event_ts")
     z, actual, mean = F.col("z_score"), F.col("actual"), F.col("rolling_mean")
-    word = F.when(F.col("direction") == "up", F.lit("spiked")).otherwise(F.lit("dropped"))
+    word = F.when(F.col("direction") == "up", F.lit(DIRECTION_WORDS["up"])) \
+        .otherwise(F.lit(DIRECTION_WORDS["down"]))
     pct = pct_change(actual, mean)
-    pct_text = F.when(pct.isNotNull(), F.concat(fmt_signed(pct, 1), F.lit("% vs baseline"))) \
+    pct_text = F.when(pct.isNotNull(),
+                      fill(PCT_TEXT, pct=F.concat(fmt_signed(pct, 1), F.lit("%")))) \
         .otherwise(F.lit(NEAR_ZERO_TEXT))
     severity = severity_label(z)
-    what = F.concat(metric, F.lit(" "), word, F.lit(" from a baseline of "), fmt_fixed(mean),
-                    F.lit(" to "), fmt_fixed(actual), F.lit(" ("), pct_text, F.lit(") on "),
-                    date_text(ts), F.lit("."))
+    what = fill(WHAT_CHANGED, metric=metric, direction_word=word, baseline=fmt_fixed(mean),
+                actual=fmt_fixed(actual), pct_text=pct_text, date=date_text(ts))
     mode = F.col("detection_mode_used")
     mode_tag = F.when(mode != "zscore", F.concat(F.lit(" ["), mode, F.lit("]"))).otherwise(F.lit(""))
-    significance = F.concat(F.lit("Z-score of "), fmt_signed(z), mode_tag, F.lit(" - this is "),
-                            severity, F.lit(f" (threshold: ±{threshold_text} std deviations)."))
-    impact = F.concat(F.lit("Given the column name '"), metric, F.lit("', this likely affects "),
-                      impact_label(metric, impact_rules, impact_fallback),
-                      F.lit(". Confirm against your internal business glossary before acting on it."))
+    significance = fill(SIGNIFICANCE, z_signed=fmt_signed(z), mode_tag=mode_tag,
+                        severity=severity, threshold=F.lit(threshold_text))
+    impact = fill(POSSIBLE_IMPACT, metric=metric,
+                  impact=impact_label(metric, impact_rules, impact_fallback))
     return (anomalies
             .withColumnRenamed("timestamp", "event_ts")
             .withColumns({
