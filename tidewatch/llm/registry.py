@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe_codec import decode, encode
+from tidewatch.llm.sharding import shard_by_bytes
 from tidewatch.llm.token_counts import token_counts
+from tidewatch.llm.topk import top_k
 
 #: Tokens above which op1 marks a document.
 TOKEN_LIMIT = 512
@@ -22,6 +24,34 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q,
+           row_number() OVER () AS own
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS query_id, a.own AS query_row, b.vec_id,
+           CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.own <> b.own
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_by_bytes(_table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks).drop("text")
@@ -34,6 +64,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op5_exact_topk": op5_exact_topk,
+    "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op5_exact_topk": OP5_SQL}
