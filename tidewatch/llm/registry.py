@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe_codec import decode, encode
+from tidewatch.llm.line_dedup import line_dedup
 from tidewatch.llm.sharding import shard_by_bytes
+from tidewatch.llm.substring_dedup import substring_dedup
 from tidewatch.llm.token_counts import token_counts
 from tidewatch.llm.topk import top_k
 
@@ -46,6 +48,18 @@ FROM s QUALIFY rank <= 5
 """
 
 
+def _digested(kept: DataFrame) -> DataFrame:
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digested(substring_dedup(_table(spark, sf_dir, "documents")))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digested(line_dedup(_table(spark, sf_dir, "documents")))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(_table(spark, sf_dir, "documents"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -65,6 +79,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_exact_topk": op5_exact_topk,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
 }
