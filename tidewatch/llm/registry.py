@@ -12,6 +12,7 @@ from tidewatch.llm.sharding import shard_by_bytes
 from tidewatch.llm.substring_dedup import substring_dedup
 from tidewatch.llm.token_counts import token_counts
 from tidewatch.llm.topk import top_k
+from tidewatch.llm.toxicity import toxicity, train
 
 #: Tokens above which op1 marks a document.
 TOKEN_LIMIT = 512
@@ -26,6 +27,26 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+#: Score from which op3 and the pipeline call a text toxic.
+TOXIC_SCORE = 0.3
+
+
+def held_out(doc_id):
+    """Rows whose labels no model sees."""
+    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    labels = _table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    return train(_table(spark, sf_dir, "documents"), labels)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -78,6 +99,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op5_exact_topk": op5_exact_topk,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
