@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe_codec import decode, encode
 from tidewatch.llm.line_dedup import line_dedup
+from tidewatch.llm.ngram_jaccard import jaccard_classes
 from tidewatch.llm.sharding import shard_by_bytes
 from tidewatch.llm.substring_dedup import substring_dedup
 from tidewatch.llm.token_counts import token_counts
@@ -47,6 +48,35 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = jaccard_classes(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "n_links")
+
+
+OP4_SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9_\\x{80}-\\x{10ffff}]+') AS words FROM documents
+), g AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ')
+                                 ELSE array_to_string(words[i:i + 4], ' ') END AS gram
+    FROM w, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS t(i) WHERE len(words) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), o AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_
+    FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE both_ >= 0.8 * (x.n + y.n - both_) - 1e-9
+), reach AS (
+    SELECT a AS node, a AS root FROM links
+    UNION SELECT links.b, reach.root FROM reach JOIN links ON reach.node = links.a
+), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node
+), degree AS (SELECT a, count(*) AS k FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(r.root, d.doc_id) AS class_id, coalesce(k, 0) AS n_links
+FROM documents d LEFT JOIN roots r ON r.node = d.doc_id LEFT JOIN degree ON degree.a = d.doc_id
+"""
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -100,10 +130,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_exact_topk": op5_exact_topk,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE_SQL = {"op5_exact_topk": OP5_SQL}
+ORACLE_SQL = {"op4_ngram_jaccard": OP4_SQL, "op5_exact_topk": OP5_SQL}
