@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe_codec import decode, encode
+from tidewatch.llm.decontaminate import contaminated
 from tidewatch.llm.line_dedup import line_dedup
 from tidewatch.llm.ngram_jaccard import jaccard_classes
 from tidewatch.llm.sharding import shard_by_bytes
@@ -28,6 +29,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "start", "end", "edits")
+
+
 #: Score from which op3 and the pipeline call a text toxic.
 TOXIC_SCORE = 0.3
 
@@ -129,6 +135,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_exact_topk": op5_exact_topk,
