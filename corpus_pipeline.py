@@ -1,12 +1,85 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
+
+Every stage gets what the one before it kept, and returns the columns of ``documents`` (the
+last one adds the token ids). Stages decide by row, not by doc_id, so rows that repeat a doc_id
+are decided one by one. Null and empty texts are clean: nothing in them is toxic, repeated, near
+another text or leaked, and they encode to no ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewatch.llm.bpe_codec import decode, encode
+from tidewatch.llm.decontaminate import contaminated
+from tidewatch.llm.line_dedup import line_dedup
+from tidewatch.llm.ngram_jaccard import jaccard_classes
+from tidewatch.llm.registry import BYTE_BPE_RANKS, TOXIC_SCORE, toxicity_model
+from tidewatch.llm.toxicity import toxicity
 from tidewatch.session import cut_lineage
 
-STAGES = []
+ROW = "pipeline row"
+
+
+def _columns(docs: DataFrame) -> list[str]:
+    return list(docs.columns)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """With the number that the operators give each row of the same table."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from the labels that are not held out."""
+    return toxicity(docs, toxicity_model(spark, sf_dir), keep=True).filter(F.col("score") < TOXIC_SCORE).select(
+        *_columns(docs))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated multi-line chunks go from the texts; a text that loses all of it goes as a whole.
+    ``n_chars`` follows the text."""
+    changed = line_dedup(docs, changed=True).select(
+        F.col("row").alias(ROW), (F.col("n_removed") == F.col("n_bytes")).alias("emptied"),
+        F.col("kept").cast("string").alias("kept text"))
+    joined = _numbered(docs).join(changed, ROW, "left").filter(~F.coalesce("emptied", F.lit(False)))
+    text = F.coalesce("kept text", "text")
+    out = {"text": text}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("kept text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return joined.select(*(out.get(c, F.col(c)).alias(c) for c in _columns(docs)))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates (and copies), the first row of each class stays."""
+    others = jaccard_classes(docs).filter("row <> class_row").select(F.col("row").alias(ROW))
+    return _numbered(docs).join(others, ROW, "left_anti").select(*_columns(docs))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item in them go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = cut_lineage(contaminated(docs, benchmark).select(F.col("row").alias(ROW)).distinct(), "leaks")
+    return _numbered(docs).join(hits, ROW, "left_anti").select(*_columns(docs))
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """With n_tokens and ids (little-endian unsigned 32-bit integers). The ids are decoded again;
+    a text that they don't give back stops the job."""
+    ids = decode(encode(docs, BYTE_BPE_RANKS), BYTE_BPE_RANKS)
+    whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    checked = F.when(whole, F.col("ids")).otherwise(F.raise_error(F.lit("ids don't give the text back")))
+    return ids.select(*_columns(docs), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), checked.alias("ids"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard", one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("byte_bpe", tokenized),
+]
 
 #: SQL cannot express the stages; tests hold the rows against brute force.
 ORACLE_SQL = None

@@ -69,9 +69,13 @@ def encode(docs: DataFrame, ranks: str, entries: int = CACHE_ENTRIES) -> DataFra
         key = (ranks, entries)
         if key not in _WORKER:
             _WORKER[key] = Encoder(ranks, entries)
-        for batch in sliced(batches, fields[k].name, TEXT_BYTES):
-            ids = pa.array(_WORKER[key].encode(batch.column(k).to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
+        for batch in batches:
+            named = [*batch.schema.names, "ids"]
+            # the text once more, without nulls: its own column stays as it is
+            batch = pa.RecordBatch.from_arrays([*batch.columns, batch.column(k)], names=named)
+            for part in sliced([batch], "ids", TEXT_BYTES):
+                ids = _WORKER[key].encode(part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], names=named)
 
     return docs.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.BinaryType())]))
 

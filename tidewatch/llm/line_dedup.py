@@ -95,14 +95,15 @@ def chunk_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
             .mapInArrow(take, "d1 long, d2 long, chunk binary"))
 
 
-def line_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def line_dedup(docs: DataFrame, least: int = LEAST, changed: bool = False) -> DataFrame:
     """Texts without the multi-line chunks that the table has before.
 
     ``docs``: doc_id and text; lines end at "\\n". Returns for each row: row (its number in the
     table), doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes). The first chunk
     of equal ones stays, by the order of the table. Chunks have ``least`` or more lines that are
     not blank, so a line alone, a text of one line, and a null or empty one stay as they are.
-    Repeated rows are copies of each other. An empty table gives no rows.
+    Repeated rows are copies of each other. An empty table gives no rows. With ``changed``, only
+    rows that lose something are returned.
     """
     rows = numbered(docs)
     keys = ["d1", "d2"]
@@ -115,4 +116,4 @@ def line_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     unequal = texts.groupBy(*keys).agg(F.count("*").alias("texts")).filter("texts > 1").select(*keys)
     unequal = cut_lineage(unequal, "line-unequal")
     spans = again.filter("at > first").join(unequal, keys, "left_anti")
-    return cut_spans(rows, spans.select("row", "start", "length"))
+    return cut_spans(rows, spans.select("row", "start", "length"), only=changed)

@@ -16,6 +16,7 @@ from tidewatch.llm.token_counts import token_counts
 from tidewatch.llm.topk import top_k
 from tidewatch.llm.toxicity import toxicity, train
 
+BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Tokens above which op1 marks a document.
 TOKEN_LIMIT = 512
 
@@ -124,9 +125,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks).drop("text")
-    return decode(ids, ranks).select(
+    ids = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE_RANKS).drop("text")
+    return decode(ids, BYTE_BPE_RANKS).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

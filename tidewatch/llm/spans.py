@@ -28,17 +28,18 @@ def union_of(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts[new], reach[np.concatenate([new[1:], [len(starts)]]) - 1]
 
 
-def cut_spans(rows: DataFrame, spans: DataFrame, least: int = 1, bridge: bool = False) -> DataFrame:
+def cut_spans(rows: DataFrame, spans: DataFrame, least: int = 1, bridge: bool = False,
+              only: bool = False) -> DataFrame:
     """Remove byte spans from texts.
 
     ``rows``: as ``numbered`` gives them. ``spans``: row, start, length; they may overlap. Spans
     are merged first; merged ones of fewer than ``least`` bytes are left in. Spans of a row are
     gathered in one value, which that row's text bounds. With ``bridge``, UTF-8 characters that a
-    cut would split go as a whole.
+    cut would split go as a whole. With ``only``, rows without spans are left out.
     Returns for each row: row, doc_id, n_bytes, n_removed, n_spans (merged) and kept (bytes).
     """
     gathered = spans.groupBy("row").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
-    joined = rows.join(gathered, "row", "left").select("row", "doc_id", "text", "spans")
+    joined = rows.join(gathered, "row", "inner" if only else "left").select("row", "doc_id", "text", "spans")
 
     def cut(batches):
         for batch in sliced(batches, "text"):

@@ -21,11 +21,13 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.arrow import batch_of, sliced
 from tidewatch.session import cut_lineage
@@ -37,6 +39,8 @@ LANDMARKS, CLEAN_UNITS, HARD_UNITS = 192, 6000, 2000
 DECAY, SPAN, WINDOW = 0.7, 8, 24
 #: A unit tells of toxicity only if it is in so many toxic documents, and such a share of them.
 TOLD_ROWS, TOLD_SHARE = 3, 0.01
+#: ... and its rate among toxic documents is so many times that among clean ones (a logarithm).
+TOLD_ODDS = 3.0
 #: Margins below this are all the same: clean.
 FLOOR = -1.0
 CACHE_ENTRIES = 400_000
@@ -264,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     witness = (units.filter("toxic = 1").join(told.filter(F.col("pos") >= least), "unit").groupBy("doc")
                .agg(F.max_by("unit", F.struct("odds", "unit")).alias("unit"), F.max("odds").alias("odds"))
                .groupBy("unit").agg(F.count("*").alias("n"), F.max("odds").alias("odds")).collect())
-    weight = {r["unit"]: r["n"] for r in witness if r["odds"] > 0}
+    weight = {r["unit"]: r["n"] for r in witness if r["odds"] >= TOLD_ODDS}
     if not weight:
         return 0.0
     clean = counts.filter("neg > 0")
@@ -292,34 +296,45 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     return model
 
 
-def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:
+def toxicity(docs: DataFrame, model: Model | float, keep: bool = False) -> DataFrame:
     """Score every whole text: doc_id, score (0 to 1) and margin, one row for each row.
 
     ``docs``: doc_id and text; nothing else enters the score. Null and empty texts, and texts
     without a unit of three letters, have the lowest margin. Repeated rows get equal scores; an
-    empty table gives no rows.
+    empty table gives no rows. With ``keep``, the columns of ``docs`` come first instead of
+    doc_id alone; score and margin replace columns of those names.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if keep:
+        rows = docs.drop("score", "margin")
+    else:
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    k = [c.lower() for c in rows.columns].index("text")
+    out = rows.columns if keep else ["doc_id"]
     if isinstance(model, float):
-        return texts.select("doc_id", F.lit(model).alias("score"), F.lit(FLOOR).alias("margin"))
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("margin", pa.float64())])
+        return rows.select(*out, F.lit(model).alias("score"), F.lit(FLOOR).alias("margin"))
+    fields = [*rows.schema, T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType())]
     shared = docs.sparkSession.sparkContext.broadcast(model)      # CLASSES**3 numbers
-    token = id(shared)
+    token = uuid.uuid4().hex
 
     def score(batches):
         model = shared.value
-        if _WORKER.get("model") != token or len(_WORKER["known"]) > CACHE_ENTRIES:
+        if _WORKER.get("model") != token:
             _WORKER.update(model=token, known={})
-        for batch in sliced(batches, "text", TEXT_BYTES):
-            known = _WORKER["known"]
-            split = [units_of(t) for t in batch.column(1).to_pylist()]
-            new = list(set().union(*split).difference(known))
-            if len(known) + len(new) > CACHE_ENTRIES:
-                known.clear()
-                new = list(set().union(*split))
-            known.update(zip(new, model.margins(new).tolist()))
-            get = known.__getitem__
-            margin = np.array([max(map(get, units), default=FLOOR) for units in split], float)
-            yield batch_of(schema, batch.column(0), model.score(margin), margin)
-
-    return texts.mapInArrow(score, "doc_id long, score double, margin double")
+        known = _WORKER["known"]
+        for batch in batches:
+            texts = batch.column(k)
+            batch = pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "whole text"])
+            for part in sliced([batch], "whole text", TEXT_BYTES):
+                split = [units_of(t) for t in part.column(part.num_columns - 1).to_pylist()]
+                new = list(set().union(*split).difference(known))
+                if len(known) + len(new) > CACHE_ENTRIES:
+                    known.clear()
+                    new = list(set().union(*split))
+                known.update(zip(new, model.margins(new).tolist()))
+                get = known.__getitem__
+                margin = np.array([max(map(get, units), default=FLOOR) for units in split], float)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.array(model.score(margin)), pa.array(margin)],
+                    names=[*part.schema.names[:-1], "score", "margin"])
+
+    return rows.mapInArrow(score, T.StructType(fields)).select(*out, "score", "margin")
