@@ -12,6 +12,7 @@ from tidewatch.llm.line_dedup import line_dedup
 from tidewatch.llm.ngram_jaccard import jaccard_classes
 from tidewatch.llm.sharding import shard_by_bytes
 from tidewatch.llm.substring_dedup import substring_dedup
+from tidewatch.llm.suffix_dedup import suffix_dedup
 from tidewatch.llm.token_counts import token_counts
 from tidewatch.llm.topk import top_k
 from tidewatch.llm.toxicity import toxicity, train
@@ -118,6 +119,39 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digested(line_dedup(_table(spark, sf_dir, "documents")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digested(suffix_dedup(_table(spark, sf_dir, "documents"), length=400))
+
+
+OP8_SQL = """
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS own, hex(encode(coalesce(text, ''))) AS x,
+           octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents
+), w AS (
+    SELECT own, i, md5(substring(x, 2 * i + 1, 800)) AS s FROM d, unnest(generate_series(0, n - 400)) AS t(i)
+), starts AS (
+    SELECT own, i FROM w JOIN (SELECT s FROM w GROUP BY s HAVING count(*) > 1) USING (s)
+), ends AS (
+    SELECT own, i, lag(i + 400) OVER (PARTITION BY own ORDER BY i) AS before FROM starts
+), runs AS (
+    SELECT own, i, sum(CASE WHEN before IS NULL OR i > before THEN 1 ELSE 0 END)
+        OVER (PARTITION BY own ORDER BY i) AS run
+    FROM ends
+), spans AS (SELECT own, run, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY own, run
+), kept AS (
+    SELECT own, b AS a, coalesce(lead(a) OVER (PARTITION BY own ORDER BY a), 1099511627776) AS b FROM spans
+    UNION ALL SELECT own, 0, min(a) FROM spans GROUP BY own
+), texts AS (
+    SELECT own, string_agg(substring(x, 2 * a + 1, 2 * (least(b, n) - a)), '' ORDER BY a) AS x
+    FROM kept JOIN d USING (own) GROUP BY own
+), sums AS (SELECT own, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY own)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(texts.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN sums USING (own) LEFT JOIN texts USING (own)
+"""
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(_table(spark, sf_dir, "documents"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -141,7 +175,8 @@ QUERIES = {
     "op5_exact_topk": op5_exact_topk,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE_SQL = {"op4_ngram_jaccard": OP4_SQL, "op5_exact_topk": OP5_SQL}
+ORACLE_SQL = {"op4_ngram_jaccard": OP4_SQL, "op5_exact_topk": OP5_SQL, "op8_suffix_dedup": OP8_SQL}

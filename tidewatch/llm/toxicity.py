@@ -38,7 +38,7 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 LANDMARKS, CLEAN_UNITS, HARD_UNITS = 192, 6000, 2000
 DECAY, SPAN, WINDOW = 0.7, 8, 24
 #: A unit tells of toxicity only if it is in so many toxic documents, and such a share of them.
-TOLD_ROWS, TOLD_SHARE = 3, 0.01
+TOLD_ROWS, TOLD_SHARE = 3, 0.02
 #: ... and its rate among toxic documents is so many times that among clean ones (a logarithm).
 TOLD_ODDS = 3.0
 #: Margins below this are all the same: clean.
