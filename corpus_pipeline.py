@@ -19,58 +19,62 @@ from tidewatch.llm.registry import BYTE_BPE_RANKS, TOXIC_SCORE, toxicity_model
 from tidewatch.llm.toxicity import toxicity
 from tidewatch.session import cut_lineage
 
-ROW = "pipeline row"
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores after it until no column of ``docs`` is called that."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
-def _columns(docs: DataFrame) -> list[str]:
-    return list(docs.columns)
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    """With the number that the operators give each row of the same table."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` without the rows of the numbers in ``rows.row``, the operators' row numbers."""
+    number = _free(docs, "row")
+    gone = cut_lineage(rows.select(F.col("row").alias(number)).distinct(), "pipeline-gone")
+    return (docs.withColumn(number, F.monotonically_increasing_id())
+            .join(gone, number, "left_anti").select(*docs.columns))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the labels that are not held out."""
-    return toxicity(docs, toxicity_model(spark, sf_dir), keep=True).filter(F.col("score") < TOXIC_SCORE).select(
-        *_columns(docs))
+    score, margin = _free(docs, "score"), _free(docs, "margin")
+    scored = toxicity(docs, toxicity_model(spark, sf_dir), keep=True, names=(score, margin))
+    return scored.filter(F.col(score) < TOXIC_SCORE).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated multi-line chunks go from the texts; a text that loses all of it goes as a whole.
     ``n_chars`` follows the text."""
+    row, emptied, kept = (_free(docs, c) for c in ("row", "emptied", "kept"))
     changed = line_dedup(docs, changed=True).select(
-        F.col("row").alias(ROW), (F.col("n_removed") == F.col("n_bytes")).alias("emptied"),
-        F.col("kept").cast("string").alias("kept text"))
-    joined = _numbered(docs).join(changed, ROW, "left").filter(~F.coalesce("emptied", F.lit(False)))
-    text = F.coalesce("kept text", "text")
+        F.col("row").alias(row), (F.col("n_removed") == F.col("n_bytes")).alias(emptied),
+        F.col("kept").cast("string").alias(kept))
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(changed, row, "left")
+    text = F.coalesce(kept, "text")
     out = {"text": text}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("kept text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
-    return joined.select(*(out.get(c, F.col(c)).alias(c) for c in _columns(docs)))
+        out["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return joined.filter(~F.coalesce(emptied, F.lit(False))).select(
+        *(out.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates (and copies), the first row of each class stays."""
-    others = jaccard_classes(docs).filter("row <> class_row").select(F.col("row").alias(ROW))
-    return _numbered(docs).join(others, ROW, "left_anti").select(*_columns(docs))
+    return _without(docs, jaccard_classes(docs).filter("row <> class_row"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item in them go."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = cut_lineage(contaminated(docs, benchmark).select(F.col("row").alias(ROW)).distinct(), "leaks")
-    return _numbered(docs).join(hits, ROW, "left_anti").select(*_columns(docs))
+    return _without(docs, contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """With n_tokens and ids (little-endian unsigned 32-bit integers). The ids are decoded again;
-    a text that they don't give back stops the job."""
+    """With n_tokens and ids (little-endian unsigned 32-bit integers), in place of columns of
+    those names. The ids are decoded again; a text that they don't give back stops the job."""
+    docs = docs.drop("n_tokens", "ids", "decoded")
     ids = decode(encode(docs, BYTE_BPE_RANKS), BYTE_BPE_RANKS)
     whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     checked = F.when(whole, F.col("ids")).otherwise(F.raise_error(F.lit("ids don't give the text back")))
-    return ids.select(*_columns(docs), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), checked.alias("ids"))
+    return ids.select(*docs.columns, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), checked.alias("ids"))
 
 
 STAGES = [

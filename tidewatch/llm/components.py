@@ -29,6 +29,6 @@ def components(edges: DataFrame) -> DataFrame:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
     out = named[0]
     for name in named[1:]:
-        then = name.withColumnsRenamed({"node": "label", "label": "then"})
+        then = name.select(F.col("node").alias("label"), F.col("label").alias("then"))
         out = out.join(then, "label", "left").select("node", F.coalesce("then", "label").alias("label"))
     return cut_lineage(out, "components")

@@ -296,23 +296,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     return model
 
 
-def toxicity(docs: DataFrame, model: Model | float, keep: bool = False) -> DataFrame:
+def toxicity(docs: DataFrame, model: Model | float, keep: bool = False,
+             names: tuple[str, str] = ("score", "margin")) -> DataFrame:
     """Score every whole text: doc_id, score (0 to 1) and margin, one row for each row.
 
     ``docs``: doc_id and text; nothing else enters the score. Null and empty texts, and texts
     without a unit of three letters, have the lowest margin. Repeated rows get equal scores; an
     empty table gives no rows. With ``keep``, the columns of ``docs`` come first instead of
-    doc_id alone; score and margin replace columns of those names.
+    doc_id alone; the two results, called ``names``, replace columns of those names.
     """
     if keep:
-        rows = docs.drop("score", "margin")
+        rows = docs.drop(*names)
     else:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     k = [c.lower() for c in rows.columns].index("text")
     out = rows.columns if keep else ["doc_id"]
     if isinstance(model, float):
-        return rows.select(*out, F.lit(model).alias("score"), F.lit(FLOOR).alias("margin"))
-    fields = [*rows.schema, T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType())]
+        return rows.select(*out, F.lit(model).alias(names[0]), F.lit(FLOOR).alias(names[1]))
+    fields = [*rows.schema, *(T.StructField(name, T.DoubleType()) for name in names)]
     shared = docs.sparkSession.sparkContext.broadcast(model)      # CLASSES**3 numbers
     token = uuid.uuid4().hex
 
@@ -335,6 +336,6 @@ def toxicity(docs: DataFrame, model: Model | float, keep: bool = False) -> DataF
                 margin = np.array([max(map(get, units), default=FLOOR) for units in split], float)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(model.score(margin)), pa.array(margin)],
-                    names=[*part.schema.names[:-1], "score", "margin"])
+                    names=[*part.schema.names[:-1], *names])
 
-    return rows.mapInArrow(score, T.StructType(fields)).select(*out, "score", "margin")
+    return rows.mapInArrow(score, T.StructType(fields)).select(*out, *names)
