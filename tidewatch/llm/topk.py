@@ -265,7 +265,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     smaller vec_id. Rows whose vector is null or holds a null or non-finite component, and rows
     without vec_id, take no part. Of vectors of unequal length the shorter counts as padded with
     zeros. Rows that repeat a vec_id are rows of their own: each is a query, and a candidate of
-    the others. Scores are 64-bit integers.
+    the others. Scores are 64-bit integers; vectors so large that theirs don't fit are out of range.
     """
     shards = cut_lineage(_integers(vectors).mapInArrow(
         lambda b: _pack(b, every), "shard long, n int, queries long, ids binary, vectors binary, nodes binary, centres binary"),
