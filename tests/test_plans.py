@@ -72,3 +72,12 @@ def test_many_series_plan_has_two_shuffles(spark):
     # partial aggregate -> exchange -> final aggregate -> Expand -> exchange by series -> Window
     assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_sum" in plan
+
+
+def test_since_reaches_the_scan_of_a_read(spark):
+    from tidewatch.sources.metrics import MetricSource, read_metrics
+    wide = read_metrics(spark, MetricSource(kind="file", path="/root/testdata/sf0.001/events.parquet",
+                                            timestamp_column="ts", since="2024-01-02"))
+    plan = wide.df._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(ts" in pushed[:pushed.index("]")]

@@ -11,6 +11,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 
+from tidewatch.plans import catalog  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -26,12 +28,17 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_a_decision_on_oracles():
-    qs, sqls = entry.queries(), entry.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert {"stl_components", "stl_anomalies"} == set(qs) - set(sqls)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert {"stl_components", "stl_anomalies"} == set(catalog.queries()) - set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
     line, ok = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert ok, line
+
+
+def test_whole_run_shows_every_decision(spark):
+    rows = entry.queries()["suppression_first_run"](spark, "/root/testdata/sf0.01").collect()
+    assert {r.decision for r in rows} == {"new", "escalation", "suppressed"}

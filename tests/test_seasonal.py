@@ -84,10 +84,6 @@ def test_seasonal_routes_and_fallback(spark):
     assert all(r.seasonal_period == 7 for r in out if r.metric == "long")
     cls = seasonal_anomalies(df, DetectOptions(mode="classical", window_size=30)).collect()
     assert {r.detection_mode_used for r in cls} <= {"classical", "zscore"}
-    # a series over the STL size guard uses the classical decomposition
-    big = seasonal_anomalies(df, DetectOptions(mode="seasonal", window_size=30,
-                                               stl_max_points=50)).collect()
-    assert {r.detection_mode_used for r in big if r.metric == "long"} == {"classical"}
 
 
 def test_filled_rows_are_not_flagged(spark):
@@ -121,10 +117,26 @@ def test_hot_series_chunked_classical_equals_windows(spark):
     got = {key(r): r.z_score for r in split}
     assert all(abs(got[key(r)] - r.z_score) < 1e-9 for r in plain)
     assert any(r.metric == "hot" for r in plain)
-    seasonal = seasonal_anomalies(df, DetectOptions(window_size=20, z_threshold=2.5,
-                                                    mode="seasonal", hot_series_rows=100))
-    modes = {(r.metric, r.detection_mode_used) for r in seasonal.collect()}
-    assert ("hot", "seasonal") not in modes and ("hot", "classical") in modes
+
+
+def test_no_option_changes_the_decomposition():
+    # size options that a mode cannot honour without other results are refused
+    for extra in ({"hot_series_rows": 100}, {"chunk_rows": 100}, {"score_from": "2000-01-01"}):
+        with pytest.raises(ValueError):
+            DetectOptions(mode="seasonal", **extra).validated()
+    with pytest.raises(ValueError):
+        DetectOptions(mode="classical", score_from="2000-01-01").validated()
+    DetectOptions(mode="classical", chunk_rows=100).validated()
+
+
+def test_gap_fill_is_linear(spark):
+    import time
+    df = spark.range(300_000).select(F.lit("m").alias("metric"), F.col("id").alias("ts"),
+                                     F.when(F.col("id") % 3 == 1, F.col("id").cast("double")).alias("value"))
+    from tidewatch.operators.seasonal import gap_fill
+    began = time.perf_counter()
+    out = gap_fill(df).agg(F.count("filled"), F.min("filled"), F.max("filled")).first()
+    assert tuple(out) == (300_000, 1.0, 299_998.0) and time.perf_counter() - began < 60
 
 
 def test_short_series_routes_and_yield(spark):

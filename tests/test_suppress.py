@@ -129,3 +129,58 @@ def test_point_scope_batch(spark):
     assert decided(dec) == ["suppressed", "suppressed", "new", "escalation", "new"]
     with pytest.raises(ValueError):
         apply_suppression(ev, None, None, opts)
+
+
+def fold(zs, delta, last=None):
+    """The rules, one anomaly after the other."""
+    out = []
+    for z in map(abs, zs):
+        if last is None:
+            out.append("new")
+            last = z
+        elif z - last >= delta:
+            out.append("escalation")
+            last = z
+        else:
+            out.append("suppressed")
+    return out
+
+
+@pytest.mark.parametrize("delta", [0.0, 0.01])
+def test_long_rising_series(spark, delta):
+    n = 10_000
+    ev = spark.range(n).select(
+        F.lit("m").alias("metric"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("event_ts"),
+        F.lit("d").alias("timestamp"), (3 + F.col("id") * 0.003).alias("z_score"), F.lit(1.0).alias("actual"))
+    dec, _ = apply_suppression(ev, None, None, SuppressOptions(True, delta))
+    assert decided(dec) == fold([3 + i * 0.003 for i in range(n)], delta)
+
+
+def test_fold_in_several_steps_equals_the_rules(spark, monkeypatch):
+    import random
+
+    from tidewatch.operators import suppress
+    monkeypatch.setattr(suppress, "FOLD_ROWS", 3)
+    rng = random.Random(3)
+    prior = spark.createDataFrame([("b", "active_anomaly", -4.0, "2024-01-01", 9.0, dt.datetime(2024, 1, 1))], ST_DDL)
+    zs = {m: [rng.choice((-1, 1)) * (3 + rng.random() * 0.1 * i) for i in range(40)] for m in "abc"}
+    frame = None
+    for m, z in zs.items():
+        rows = [(m, dt.datetime(2024, 1, 1) + dt.timedelta(days=i), "d", v, 1.0) for i, v in enumerate(z)]
+        one = spark.createDataFrame(rows, EV_DDL)
+        frame = one if frame is None else frame.unionByName(one)
+    dec, _ = apply_suppression(frame, prior, None, SuppressOptions(True, 0.3))
+    for m, z in zs.items():
+        assert decided(dec.filter(F.col("metric") == m)) == fold(z, 0.3, 4.0 if m == "b" else None)
+
+
+def test_equal_times_are_decided_one_after_the_other(spark):
+    at = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([("m", at, "d", 3.5, 1.0), ("m", at, "d", 3.6, 2.0), ("m", at, "d", 3.6, 2.0)], EV_DDL)
+    dec, _ = apply_suppression(ev, None, None, SuppressOptions(True, 2.0))
+    assert sorted(r.decision for r in dec.collect()) == ["new", "suppressed", "suppressed"]
+
+
+def test_negative_delta_is_refused(spark):
+    with pytest.raises(ValueError):
+        apply_suppression(events(spark, "m", [3.5]), None, None, SuppressOptions(True, -0.1))

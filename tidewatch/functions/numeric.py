@@ -8,12 +8,12 @@ _INF = float("inf")
 
 
 def finite_or_null(c: Column) -> Column:
-    """Cast to double and map NaN and +/-Infinity to NULL.
+    """Cast to double and map NaN, +/-Infinity and what is no number to NULL.
 
     Spark keeps NaN as a value (it is counted and poisons avg/stddev); the rolling
     statistics must treat it, and infinities, as missing cells.
     """
-    d = c.cast("double")
+    d = c.try_cast("double")
     return F.when(F.isnan(d) | (F.abs(d) == F.lit(_INF)), F.lit(None).cast("double")).otherwise(d)
 
 

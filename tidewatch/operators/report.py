@@ -60,11 +60,13 @@ def write_report(tables: dict[str, DataFrame], base: str, run_id: str) -> dict[s
         path = f"{base}/run={run_id}/{name}"
         writer = df.write.mode("overwrite")
         if name == "chart_series":
-            writer = writer.partitionBy("metric")
+            # one task writes a metric's rows, so there is a file for each metric
+            writer = df.repartition("metric").write.mode("overwrite").partitionBy("metric")
         writer.parquet(path)
         out[name] = path
     return out
 
 
 def read_report(spark: SparkSession, base: str, run_id: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/run={run_id}/{name}")
+    df = spark.read.parquet(f"{base}/run={run_id}/{name}")
+    return df.withColumn("metric", F.col("metric").cast("string")) if "metric" in df.columns else df

@@ -114,15 +114,15 @@ def split_hot_rolling_stats(long: DataFrame, options: DetectOptions, keys: Seque
     """Rolling statistics with hot series split into halo chunks.
 
     Series sizes come from one partially aggregated count (a hot series costs one row per
-    task). At most ``rows / hot_series_rows`` series can be hot, so the hot list has a
-    proven size bound and is broadcast to split the input without a shuffle.
+    task). The hot list is joined like any table: Spark broadcasts it where its measured size
+    allows, and shuffles otherwise.
     """
     from .halo import halo_rolling_stats
     opts = options.validated()
     limit = int(opts.hot_series_rows)
     sk = [*keys, "metric"]
-    hot = F.broadcast(long.groupBy(*sk).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter(F.col("_n") > F.lit(limit)).select(*sk))
+    hot = (long.groupBy(*sk).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > F.lit(limit)).select(*sk))
     cold = rolling_stats(long.join(hot, sk, "left_anti"), opts, keys, ts, "value", tiebreak)
     chunked = DetectOptions(**{**opts.__dict__, "chunk_rows": limit, "hot_series_rows": None})
     warm = halo_rolling_stats(long.join(hot, sk, "left_semi"), chunked, keys, ts, "value",

@@ -1,9 +1,9 @@
 """Seasonal detection: decompose each series, then rolling z-score of the residuals.
 
 Per series the history gate picks the path: enough non-null history (period x min_cycles)
--> STL (grouped pandas function, one series per call) or classical decomposition (pure
-windows, used for ``mode='classical'`` and for series longer than ``stl_max_points``);
-otherwise a plain z-score fallback. Gap filling, the gate and the residual z-score stay in
+-> STL (``mode='seasonal'``; grouped pandas function, one series per call, whatever its
+length) or classical decomposition (``mode='classical'``; pure windows, or chunk by chunk for
+hot series with the same results); otherwise a plain z-score fallback. Gap filling, the gate and the residual z-score stay in
 Catalyst; only the loess smoother runs in Python. The window specs and the grouped
 function all cluster on the series key, so the series is shuffled once.
 """
@@ -34,9 +34,11 @@ def gap_fill(long: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
         return chunked_gap_fill(long, int(chunk_rows), keys, ts, tiebreak, value, out)
     base = Window.partitionBy(*keys, "metric").orderBy(ts, *tiebreak)
     past = base.rowsBetween(Window.unboundedPreceding, 0)
-    future = base.rowsBetween(0, Window.unboundedFollowing)
+    # where nothing precedes, the next value is the series' first: one for the whole partition,
+    # so the frame is not computed anew for each row
+    whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return long.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(past),
-                                           F.first(value, ignorenulls=True).over(future)))
+                                           F.first(value, ignorenulls=True).over(whole)))
 
 
 def history_gate(long: DataFrame, period: int, min_cycles: int, keys: Sequence[str] = (),
@@ -110,16 +112,14 @@ def _route_expr(opts: DetectOptions, n_valid, n_rows):
     # enough non-null history, and >= 2 full periods of (filled) rows for a decomposition
     usable = (n_valid >= F.lit(p * opts.min_cycles)) & (n_rows >= F.lit(2 * p))
     if opts.mode == "seasonal":
-        return F.when(usable & (n_rows <= F.lit(opts.stl_max_points)), F.lit("seasonal")) \
-            .when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
+        return F.when(usable, F.lit("seasonal")).otherwise(F.lit("zscore"))
     return F.when(usable, F.lit("classical")).otherwise(F.lit("zscore"))
 
 
 def series_routes(long: DataFrame, options: DetectOptions, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys, metric, n_valid, n_rows, route)``: which path scores each series.
 
-    seasonal: gate passed and short enough for STL; classical: gate passed (classical mode,
-    or longer than ``stl_max_points``); zscore: not enough history (fallback). Series with
+    seasonal or classical, as the mode says: gate passed; zscore: not enough history (fallback). Series with
     fewer than ``window_size`` rows still route but can yield nothing, as in the job.
     """
     opts = options.validated()
@@ -137,7 +137,7 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
     (they cannot be pushed below it) and the three branches reuse one exchange.
     """
     opts = options.validated()
-    if opts.hot_series_rows:
+    if opts.hot_series_rows or opts.chunk_rows:
         return _split_hot_seasonal(long, opts, keys, ts, tiebreak)
     p = opts.seasonal_period
     sk = [*keys, "metric"]
@@ -155,14 +155,10 @@ def seasonal_anomalies(long: DataFrame, options: DetectOptions, keys: Sequence[s
                          extra=tiebreak)
 
     decomposed = gap_fill(routed.filter(F.col("_route") != "zscore"), keys, ts, tiebreak)
-    parts = []
     if opts.mode == "seasonal":
-        stl_part = stl_components(decomposed.filter(F.col("_route") == "seasonal"), p, keys, ts,
-                                  tiebreak)
-        parts.append((stl_part, "seasonal"))
-    cls_part = classical_components(decomposed.filter(F.col("_route") == "classical"), p, keys,
-                                    ts, tiebreak)
-    parts.append((cls_part, "classical"))
+        parts = [(stl_components(decomposed, p, keys, ts, tiebreak), "seasonal")]
+    else:
+        parts = [(classical_components(decomposed, p, keys, ts, tiebreak), "classical")]
     for comp, mode in parts:
         scored = _residual_scores(comp, opts, keys, ts, tiebreak)
         out = out.unionByName(flag_anomalies(scored, opts.z_threshold, keys, ts, "value", mode, p,
@@ -175,23 +171,23 @@ def _split_hot_seasonal(long: DataFrame, opts: DetectOptions, keys: Sequence[str
     """Series above ``hot_series_rows`` rows take the chunked classical path (or halo
     z-scores when their history is too short); the others take the per-series path.
 
-    The hot list comes from one partially aggregated size pass; at most
-    ``rows / hot_series_rows`` series can be on it, so it is broadcast. Hot series are never
-    decomposed by STL (the threshold also caps the STL group size).
+    The hot list comes from one partially aggregated size pass and is joined like any table
+    (Spark broadcasts it only where its size allows). Classical mode only: the chunked
+    decomposition gives the same results as the plain one.
     """
     from dataclasses import replace
 
     from .chunked import chunked_classical_scores
     from .halo import halo_rolling_stats
-    limit = int(opts.hot_series_rows)
+    limit = int(opts.hot_series_rows or opts.chunk_rows)
     sk = [*keys, "metric"]
     p = opts.seasonal_period
     sizes = (long.groupBy(*sk).agg(F.count("value").alias("_n_valid"),
                                    F.count(F.lit(1)).alias("_n_rows"))
              .filter(F.col("_n_rows") > F.lit(limit)))
-    hot = F.broadcast(sizes)
+    hot = sizes
     cold = seasonal_anomalies(long.join(hot.select(*sk), sk, "left_anti"),
-                              replace(opts, hot_series_rows=None), keys, ts, tiebreak)
+                              replace(opts, hot_series_rows=None, chunk_rows=None), keys, ts, tiebreak)
     usable = (F.col("_n_valid") >= F.lit(p * opts.min_cycles)) & (F.col("_n_rows") >= F.lit(2 * p))
     hot_rows = long.join(hot.withColumn("_usable", usable).select(*sk, "_usable"), sk, "inner")
     chunked = chunked_classical_scores(hot_rows.filter("_usable").drop("_usable"), opts, keys,

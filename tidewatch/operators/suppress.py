@@ -6,23 +6,27 @@ Rules (per series, anomalies in time order):
                                   else ``suppressed`` (last alert z/time kept);
   * a series observed in the run with no anomaly at all, and active, resets to normal.
 
-The fold is sequential, but its kept rows form a chain in which each alert's |z| beats the
-previous alert by at least ``delta``. We find that chain with a frontier loop: one
-distributed join + partial ``min`` aggregation per step, one row per series in the frontier.
-No series' anomalies are ever collected into one group, and the loop length is bounded by
-``(max|z| - first|z|) / delta + 1`` (|z| itself is bounded by sqrt(window - 1)).
+The fold is sequential, but for a delta of at least 0 every kept row after the first is a
+running maximum of |z| in its series (the stored |z| counted): all rows since the last alert
+stayed below its |z| plus delta. So the anomalies are thinned to those records first, by a
+prefix maximum over range-partitioned chunks (a hot series is never one task). At delta 0 the
+records are the answer; otherwise a fold picks from them, at most ``FOLD_ROWS`` records of a
+series at a time. Anomalies of one series at the same time are decided one after the other, in
+the order of actual value, z-score and row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..options import SuppressOptions
+from ..session import cut_lineage
 
+#: Records of one series that one step of the fold takes into an array.
+FOLD_ROWS = 10_000
 STATE_NORMAL = "normal"
 STATE_ACTIVE = "active_anomaly"
 STATE_COLUMNS = ["metric", "state", "last_alert_z", "last_alert_at", "last_value", "updated_at"]
@@ -64,73 +68,63 @@ def apply_suppression(events: DataFrame, state: DataFrame | None, observed: Data
     if state is None:
         fields = [events.schema[k] for k in keys] + list(empty_state(spark).schema.fields)
         state = spark.createDataFrame([], StructType(fields))
+    options.validated()
+    # written once: the row ids have to be the same wherever they are read
+    events = cut_lineage(events.drop("decision", "is_escalation").withColumn(
+        "_rid", F.monotonically_increasing_id()), "events")
     # the fold only needs a slim projection; decisions are joined back onto the full rows
-    slim = events.select(*sk, *[c for c in order if c not in sk], "timestamp", "z_score",
-                         "actual")
-    ev = (slim
-          .withColumn("_ord", F.struct(*[F.col(c) for c in order]))
+    ev = (events.select(*sk, *[c for c in order if c not in sk], "timestamp", "z_score", "actual", "_rid")
+          .withColumn("_ord", F.struct(*order, "actual", "z_score", "_rid"))
           .withColumn("_az", F.abs(F.col("z_score"))))
     if point:
-        ev = ev.join(_segments(ev, in_range, sk, order), [*sk, "_ord"], "left")
+        ev = ev.join(_segments(ev, in_range, sk, order), "_rid")
     else:
         ev = ev.withColumn("_seg", F.lit(0).cast("long"))
-    # re-read by every step of the loop: cache it on disk (filled by the first loop job;
-    # disk keeps long sessions from growing the heap). Callers
-    # hand in anomalies derived from a materialised anomaly table, so recomputing a lost
-    # partition only repeats narrow steps and small joins.
-    ev = ev.persist(StorageLevel.DISK_ONLY)
     init = state.select(*sk, F.col("state").alias("_s0"), F.col("last_alert_z").alias("_z0"),
                         F.col("last_alert_at").alias("_at0"), F.col("last_value").alias("_v0"))
 
     if options.enabled:
         kept = _escalation_chain(ev, init, sk, options.escalation_z_delta)
-        decided = (ev.join(kept, [*sk, "_ord"], "left")
+        decided = (ev.join(kept, "_rid", "left")
                    .withColumn("decision", F.coalesce(F.col("decision"), F.lit("suppressed"))))
     else:
         decided = ev.withColumn("decision", F.lit("kept"))
-    decided = decided.withColumn("is_escalation", F.col("decision") == "escalation")
+    decided = cut_lineage(decided.withColumn("is_escalation", F.col("decision") == "escalation"), "decided")
 
     updates = _anomalous_updates(decided, init, sk, options.enabled, run_ts)
     if point:
-        updates = _end_in_range(updates, ev, in_range, sk, order)
+        updates = _end_in_range(updates, decided, in_range, sk, order)
     if observed is not None:
-        updates = updates.unionByName(_resets(observed, ev, init, sk, run_ts))
+        updates = updates.unionByName(_resets(observed, decided, init, sk, run_ts))
     new_state = (state.join(updates.select(*sk), sk, "left_anti").select(*sk, *STATE_COLUMNS[1:])
                  .unionByName(updates.select(*sk, *STATE_COLUMNS[1:])))
-    join_keys = [*sk, *[c for c in order if c not in sk]]
-    # order keys identify an anomaly within its series (ties are ambiguous in the fold as
-    # well); dropping duplicate keys keeps the join from multiplying rows
-    marks = decided.select(*join_keys, "decision", "is_escalation").dropDuplicates(join_keys)
-    decisions = (events.drop(*[c for c in ("decision", "is_escalation") if c in events.columns])
-                 .join(marks, join_keys, "left"))
+    decisions = events.join(decided.select("_rid", "decision", "is_escalation"), "_rid").drop("_rid")
     return decisions, new_state
 
 
 def _segments(ev: DataFrame, in_range: DataFrame, sk: list[str], order: Sequence[str]) -> DataFrame:
-    """``(sk, _ord, _seg)``: in-range observations seen before each anomaly in this run.
+    """``(_rid, _seg)``: in-range observations seen before each anomaly in this run.
 
     seg = (position among all marked points) - (position among the anomalies). Both
     positions come from range-partitioned numbering, so a hot series is never one task; the
-    final join only involves anomaly rows.
+    final join only involves anomaly rows. In-range observations come before anomalies of
+    the same time.
     """
     from .halo import series_positions
-    keys, ts, tiebreak = sk[:-1], order[0], list(order[1:])
-    cols = [*sk, *[c for c in order if c not in sk]]
-    marks = (ev.select(*cols, F.lit(True).alias("_anomaly"))
-             .unionByName(in_range.select(*cols, F.lit(False).alias("_anomaly"))))
-    all_pos = (series_positions(marks, keys, ts, tiebreak, name="_p_all")
-               .filter(F.col("_anomaly")).drop("_anomaly"))
+    keys, ts, tiebreak = sk[:-1], order[0], [*order[1:], "_rid"]
+    cols = [*sk, *[c for c in order if c not in sk], "_rid"]
+    marks = ev.select(*cols).unionByName(in_range.withColumn("_rid", F.lit(None).cast("long")).select(*cols))
+    all_pos = series_positions(marks, keys, ts, tiebreak, name="_p_all").filter(F.col("_rid").isNotNull())
     anomaly_pos = series_positions(ev.select(*cols), keys, ts, tiebreak, name="_p_anomaly")
-    return (anomaly_pos.join(all_pos, cols)
-            .select(*sk, F.struct(*[F.col(c) for c in order]).alias("_ord"),
-                    (F.col("_p_all") - F.col("_p_anomaly")).alias("_seg")))
+    return (anomaly_pos.select("_rid", "_p_anomaly").join(all_pos.select("_rid", "_p_all"), "_rid")
+            .select("_rid", (F.col("_p_all") - F.col("_p_anomaly")).alias("_seg")))
 
 
 def _end_in_range(updates: DataFrame, ev: DataFrame, in_range: DataFrame, sk: list[str],
                   order: Sequence[str]) -> DataFrame:
     """Series whose last observation of the run is in range end the run normal."""
     last_in = in_range.groupBy(*sk).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_li"))
-    last_an = ev.groupBy(*sk).agg(F.max("_ord").alias("_la"))
+    last_an = ev.groupBy(*sk).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_la"))
     ends = last_in.join(last_an, sk).filter(F.col("_li") > F.col("_la")).select(
         *sk, F.lit(True).alias("_ends_normal"))
     normal = F.coalesce(F.col("_ends_normal"), F.lit(False))
@@ -141,40 +135,57 @@ def _end_in_range(updates: DataFrame, ev: DataFrame, in_range: DataFrame, sk: li
             .drop("_ends_normal"))
 
 
+def _records(ev: DataFrame, gk: list[str], start: DataFrame, strict: bool) -> DataFrame:
+    """Anomalies whose |z| tops all earlier ones of their (series, segment) and the stored one.
+
+    ``start``: (gk, _z) of segments that continue an active state. Rows are dealt out by ranges
+    of the order; each part's running maximum is joined with the maximum of the parts before
+    (one row for each part and segment in it). Adds ``_first``: nothing came before.
+    """
+    parts = cut_lineage(ev.select(*gk, "_ord", "_az", "_rid").repartitionByRange(*gk, "_ord")
+                        .withColumn("_part", F.spark_partition_id()), "fold-order")
+    earlier = Window.partitionBy("_part", *gk).orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*gk).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (parts.groupBy("_part", *gk).agg(F.max("_az").alias("_most"))
+             .withColumn("_carry", F.max("_most").over(before)).drop("_most"))
+    top = F.greatest(F.max("_az").over(earlier), F.col("_carry"), F.col("_z"))
+    rows = parts.join(carry, ["_part", *gk]).join(start, gk, "left").withColumn("_top", top)
+    above = F.col("_az") > F.col("_top") if strict else F.col("_az") >= F.col("_top")
+    return (rows.filter(F.col("_top").isNull() | above)
+            .select(*gk, "_ord", "_az", "_rid", F.col("_top").isNull().alias("_first")))
+
+
 def _escalation_chain(ev: DataFrame, init: DataFrame, sk: list[str], delta: float) -> DataFrame:
-    """Kept anomalies ``(sk, _ord, decision)`` by the frontier loop, per (series, segment);
-    only segment 0 continues from the stored state, later segments start normal."""
-    ord_type = ev.schema["_ord"].dataType
+    """Kept anomalies ``(_rid, decision)``, per (series, segment); only segment 0 continues from
+    the stored state, later segments start normal."""
     gk = [*sk, "_seg"]
-    firsts = (ev.groupBy(*gk).agg(F.min("_ord").alias("_ord"),
-                                  F.min_by("_az", "_ord").alias("_az"))
-              .join(init, sk, "left"))
-    active = F.coalesce(F.col("_s0") == STATE_ACTIVE, F.lit(False)) & (F.col("_seg") == 0)
-    new_rows = firsts.filter(~active)
-    frontier = (new_rows.select(*gk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
-                .unionByName(firsts.filter(active).select(
-                    *gk, F.lit(None).cast(ord_type).alias("f_ord"),
-                    F.coalesce(F.abs(F.col("_z0")), F.lit(0.0)).alias("f_z"))))
-    # frontier and steps hold one row per series: cache them on disk (lineage of a few joins
-    # on the materialised anomalies, cheap to recompute) and test emptiness in the same job
-    frontier = frontier.persist(StorageLevel.DISK_ONLY)
-    remaining = frontier.count()
-    kept = [new_rows.select(*gk, "_ord", F.lit("new").alias("decision"))]
-    slim = ev.select(*gk, "_ord", "_az")
-    while remaining:
-        after = F.col("f_ord").isNull() | (F.col("_ord") > F.col("f_ord"))
-        step = (slim.join(frontier, gk)
-                .filter(after & ((F.col("_az") - F.col("f_z")) >= F.lit(delta)))
-                .groupBy(*gk).agg(F.min("_ord").alias("_ord"),
-                                  F.min_by("_az", "_ord").alias("_az")))
-        step = step.persist(StorageLevel.DISK_ONLY)
-        remaining = step.count()
-        kept.append(step.select(*gk, "_ord", F.lit("escalation").alias("decision")))
-        frontier = step.select(*gk, F.col("_ord").alias("f_ord"), F.col("_az").alias("f_z"))
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.unionByName(k)
-    return out
+    start = (init.filter(F.col("_s0") == STATE_ACTIVE)
+             .select(*sk, F.lit(0).cast("long").alias("_seg"),
+                     F.coalesce(F.abs(F.col("_z0")), F.lit(0.0)).alias("_z")))
+    records = _records(ev, gk, start, strict=delta > 0)
+    named = F.when(F.col("_first"), F.lit("new")).otherwise(F.lit("escalation")).alias("decision")
+    if delta == 0:
+        return records.select("_rid", named)
+    step = F.floor((F.row_number().over(Window.partitionBy(*gk).orderBy("_ord")) - 1) / FOLD_ROWS)
+    records = cut_lineage(records.withColumn("_step", step), "records")
+    steps = records.agg(F.max("_step")).first()[0]
+    kept, last = None, start.withColumnRenamed("_z", "_last")
+    for k in range((steps or 0) + 1):
+        one = (records.filter(F.col("_step") == k).groupBy(*gk)
+               .agg(F.sort_array(F.collect_list(F.struct("_ord", "_az", "_rid", "_first"))).alias("_rows"))
+               .join(last, gk, "left"))
+        begin = F.struct(F.col("_last").alias("last"), F.expr("CAST(ARRAY() AS ARRAY<BIGINT>)").alias("kept"))
+        folded = F.aggregate("_rows", begin, lambda acc, r: F.when(
+            acc["last"].isNull() | (r["_az"] - acc["last"] >= F.lit(float(delta))),
+            F.struct(r["_az"].alias("last"), F.concat(acc["kept"], F.array(r["_rid"])).alias("kept"))).otherwise(acc))
+        one = one.select(*gk, folded.alias("_f"))
+        if steps:
+            one = cut_lineage(one, "fold-step")
+            last = (last.join(one.select(*gk), gk, "left_anti")
+                    .unionByName(one.select(*gk, F.col("_f.last").alias("_last"))))
+        part = one.select(F.explode("_f.kept").alias("_rid"))
+        kept = part if kept is None else kept.unionAll(part)
+    return records.join(kept, "_rid").select("_rid", named)
 
 
 def _anomalous_updates(decisions: DataFrame, init: DataFrame, sk: list[str], enabled: bool,

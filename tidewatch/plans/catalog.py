@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
+from ..functions.numeric import finite_or_null
 from ..operators.rolling import detect_anomalies, rolling_stats
 from ..options import DetectOptions
 from ..sources.metrics import to_long
@@ -137,6 +138,7 @@ from ..session import cut_lineage  # noqa: E402
 
 RUN_CUTOFF = "1998-05-01"      # run 1 sees days before it, run 2 the days from it on
 RUN_TS = "2024-06-30 00:00:00"  # injected run clock
+DELTA = 0.25                    # small enough for escalations in the given tables
 
 
 def flagship_anomalies(spark, sf_dir, where: str | None = None):
@@ -256,7 +258,7 @@ def q_co_occurrence_strict(spark, sf_dir):
 # suppression / escalation over two runs
 # ---------------------------------------------------------------------------
 
-def _fold_sql(name: str, src: str, init: str | None, delta: float = 2.0) -> str:
+def _fold_sql(name: str, src: str, init: str | None, delta: float = DELTA) -> str:
     """Recursive fold of one run's anomalies (``src`` has metric, rn, az)."""
     if init is None:
         first_z, first_dec = "a.az", "'new'"
@@ -319,15 +321,23 @@ def _state_view(state):
     return finish(state.select("metric", "state", "last_alert_z", "last_alert_at", "last_value"))
 
 
+def _whole_run(spark, sf_dir, enabled: bool = True):
+    """One run over all days."""
+    opts = SuppressOptions(enabled=enabled, escalation_z_delta=DELTA)
+    observed = observed_from_metrics(spark, T.ORDER_METRICS)
+    run = attach_notes(summarize(flagship_anomalies(spark, sf_dir)))
+    return apply_suppression(run, None, observed, opts, RUN_TS)
+
+
 def _run1(spark, sf_dir, enabled: bool = True):
-    opts = SuppressOptions(enabled=enabled, escalation_z_delta=2.0)
+    opts = SuppressOptions(enabled=enabled, escalation_z_delta=DELTA)
     observed = observed_from_metrics(spark, T.ORDER_METRICS)
     run1 = attach_notes(summarize(flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'")))
     return apply_suppression(run1, None, observed, opts, RUN_TS)
 
 
 def _run2(spark, sf_dir, enabled: bool = True):
-    opts = SuppressOptions(enabled=enabled, escalation_z_delta=2.0)
+    opts = SuppressOptions(enabled=enabled, escalation_z_delta=DELTA)
     observed = observed_from_metrics(spark, T.ORDER_METRICS)
     _dec1, state1 = _run1(spark, sf_dir, enabled)
     state1 = cut_lineage(state1, "state")   # runs hand state over as a written table
@@ -336,13 +346,13 @@ def _run2(spark, sf_dir, enabled: bool = True):
 
 
 @register("suppression_first_run", f"""
-WITH RECURSIVE {_anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")},
+WITH RECURSIVE {_anoms_cte()},
 {_fold_sql('fold', 'anom', None)}
 SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score, f.decision,
        f.decision = 'escalation' AS is_escalation
 FROM anom a JOIN fold f USING (metric, rn)""")
 def q_suppression_first_run(spark, sf_dir):
-    return _decisions_view(_run1(spark, sf_dir)[0])
+    return _decisions_view(_whole_run(spark, sf_dir)[0])
 
 
 @register("suppression_second_run", _two_run_sql(f"""
@@ -361,16 +371,16 @@ def q_state_snapshot(spark, sf_dir):
 
 
 @register("suppression_disabled", f"""
-WITH {_anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")}
+WITH {_anoms_cte()}
 SELECT metric, 'active_anomaly' AS state, {r6('arg_max(az, rn)')} AS last_alert_z,
        arg_max(strftime(ts, '%Y-%m-%d'), rn) AS last_alert_at, {r6('arg_max(value, rn)')} AS last_value
 FROM anom GROUP BY metric""")
 def q_suppression_disabled(spark, sf_dir):
-    return _state_view(_run1(spark, sf_dir, enabled=False)[1])
+    return _state_view(_whole_run(spark, sf_dir, enabled=False)[1])
 
 
 # ---------------------------------------------------------------------------
-# alert digest and report tables (kept rows of run 1)
+# alert digest and report tables (kept rows of a run over all days)
 # ---------------------------------------------------------------------------
 
 from ..operators.digest import alert_body_lines, alert_subject, digest_items, item_text  # noqa: E402
@@ -408,7 +418,7 @@ _COUNTS = dict(n_items="n", n_escalations="e", n_new="(n - e)", now=_sql_str(RUN
 
 
 def _kept1_sql(final: str, extra_ctes: str = "") -> str:
-    """Two-run SQL plus ``numbered``: kept run-1 summaries with notes and item numbers."""
+    """``numbered``: the kept summaries of a run over all days, with notes and item numbers."""
     ctes = f"""{_co_sql(0, 'anom', 'md1', 'co1')},
 summ1 AS (SELECT {_summary_cols_sql('a')}, a.ts AS ts_raw, a.rn, a.z AS z_raw FROM anom a),
 kept AS (SELECT s.*, f.decision = 'escalation' AS is_escalation, co.others,
@@ -422,7 +432,10 @@ headed AS (SELECT *, CASE WHEN is_escalation THEN {sql_fill(ITEM_HEADER_ESCALATI
                           ELSE {sql_fill(ITEM_HEADER, **_ITEM)} END AS header FROM numbered)"""
     if extra_ctes:
         ctes += f",\n{extra_ctes}"
-    return _two_run_sql(final, ctes)
+    return f"""WITH RECURSIVE {_anoms_cte()},
+{_fold_sql('fold1', 'anom', None)},
+{ctes}
+{final}"""
 
 
 def _item_lines_sql() -> list[str]:
@@ -434,7 +447,7 @@ _CORR_LINE = sql_fill(ITEM_CORRELATION, correlation_note="note")
 
 
 def _kept_run1(spark, sf_dir):
-    return kept_only(_run1(spark, sf_dir)[0])
+    return kept_only(_whole_run(spark, sf_dir)[0])
 
 
 @register("alert_digest_items", _kept1_sql(f"""
@@ -493,8 +506,7 @@ LEFT JOIN (SELECT DISTINCT metric, ts_raw, true AS flag FROM kept) k
        ON k.metric = l.metric AND k.ts_raw = l.ts
 WHERE l.value IS NOT NULL AND l.metric IN (SELECT metric FROM kept)"""))
 def q_chart_series(spark, sf_dir):
-    cube = T.orders_daily(spark, sf_dir).filter(f"ts < DATE'{RUN_CUTOFF}'")
-    long = to_long(cube, "ts", T.ORDER_METRICS)
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
     return finish(chart_series(long, _kept_run1(spark, sf_dir)))
 
 
@@ -709,8 +721,7 @@ from ..streaming.stateful import stream_suppression, stream_zscore  # noqa: E402
 
 
 def _events_stream(spark, sf_dir):
-    schema = T.table(spark, sf_dir, "events").schema
-    return read_table_stream(spark, sf_dir, "events.parquet", schema)
+    return read_table_stream(spark, f"{sf_dir}/events.parquet", T.table(spark, sf_dir, "events").schema)
 
 
 @register("stream_metric_cube", """
@@ -744,21 +755,21 @@ def q_stream_zscore(spark, sf_dir):
 
 
 @register("stream_suppression", f"""
-WITH RECURSIVE {_anoms_cte(f"ts < DATE '{RUN_CUTOFF}'")},
+WITH RECURSIVE {_anoms_cte()},
 {_fold_sql('fold', 'anom', None)}
 SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score, f.decision,
        f.decision = 'escalation' AS is_escalation
 FROM anom a JOIN fold f USING (metric, rn)""")
 def q_stream_suppression(spark, sf_dir):
     # the batch job writes its anomaly table; the stream decides them as they arrive
-    anomalies = summarize(flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'"))
+    anomalies = summarize(flagship_anomalies(spark, sf_dir))
     table_dir = scratch_path(spark, "tables", new_stream_dir(spark, "anomalies").rsplit("/", 1)[1])
     (anomalies.select("metric", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
                       "timestamp", "z_score", "actual")
      .write.mode("overwrite").parquet(table_dir))
     schema = spark.read.parquet(table_dir).schema
     stream = spark.readStream.schema(schema).parquet(table_dir)
-    decided = stream_suppression(stream, SuppressOptions(True, 2.0))
+    decided = stream_suppression(stream, SuppressOptions(True, DELTA))
     path = run_available_now(decided, new_stream_dir(spark, "suppression"), "append")
     return _decisions_view(read_batches(spark, path))
 
@@ -770,21 +781,13 @@ def q_stream_suppression(spark, sf_dir):
 import uuid  # noqa: E402
 
 from ..operators.seasonal import series_routes  # noqa: E402
-from ..sources.metrics import MetricSource, read_metrics  # noqa: E402
+from ..sources.metrics import SOURCE_FILE_COL, MetricSource, read_metrics  # noqa: E402
 
 
-@register("folder_source_drift", f"""
-WITH cube AS ({T.ORDERS_DAILY_SQL})
-SELECT {day('ts')} AS ts, {r6('revenue')} AS revenue, {r6('order_count')} AS order_count,
-       CAST(NULL AS DOUBLE) AS avg_price, CAST(NULL AS DOUBLE) AS f_share
-FROM cube WHERE ts < DATE '1997-01-01'
-UNION ALL
-SELECT {day('ts')}, CAST(NULL AS DOUBLE), {r6('order_count')}, {r6('avg_price')}, CAST(NULL AS DOUBLE)
-FROM cube WHERE ts >= DATE '1997-01-01' AND ts < DATE '2000-01-01'""")
-def q_folder_source_drift(spark, sf_dir):
+def _drifted_folder(spark, sf_dir):
     # one file per slice, each with its own columns: A (ts, revenue, order_count),
     # B (ts, order_count, avg_price), C names its timestamp 'day' so its rows lose the
-    # timestamp of the aligned table, D carries no metric value and is quarantined
+    # timestamp of the aligned table and it is listed, D has rows without any metric value
     cube = T.orders_daily(spark, sf_dir)
     folder = scratch_path(spark, "tables", f"folder-{uuid.uuid4().hex}")
     cube.filter("ts < DATE'1997-01-01'").select("ts", "revenue", "order_count") \
@@ -795,11 +798,36 @@ def q_folder_source_drift(spark, sf_dir):
         .write.parquet(f"{folder}/c")
     cube.filter("ts >= DATE'2001-01-01'").select("ts", F.lit(None).cast("double").alias("f_share")) \
         .write.parquet(f"{folder}/d")
-    wide = read_metrics(spark, MetricSource(kind="folder", path=f"{folder}/*", format="parquet",
+    return read_metrics(spark, MetricSource(kind="folder", path=f"{folder}/*", format="parquet",
                                             timestamp_column="ts"))
+
+
+@register("folder_source_drift", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL})
+SELECT {day('ts')} AS ts, {r6('revenue')} AS revenue, {r6('order_count')} AS order_count,
+       CAST(NULL AS DOUBLE) AS avg_price, CAST(NULL AS DOUBLE) AS f_share
+FROM cube WHERE ts < DATE '1997-01-01'
+UNION ALL
+SELECT {day('ts')}, CAST(NULL AS DOUBLE), {r6('order_count')}, {r6('avg_price')}, CAST(NULL AS DOUBLE)
+FROM cube WHERE ts >= DATE '1997-01-01' AND ts < DATE '2000-01-01'
+UNION ALL
+SELECT {day('ts')}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+FROM cube WHERE ts >= DATE '2001-01-01'""")
+def q_folder_source_drift(spark, sf_dir):
+    wide = _drifted_folder(spark, sf_dir)
     return finish(wide.df.select("ts", "revenue", "order_count", "avg_price", "f_share"))
 
 
+@register("folder_quarantine", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL})
+SELECT 'c' AS folder, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS valid_timestamps
+FROM cube WHERE ts >= DATE '2000-01-01' HAVING count(*) > 0""")
+def q_folder_quarantine(spark, sf_dir):
+    bad = _drifted_folder(spark, sf_dir).quarantine
+    return bad.groupBy(F.element_at(F.split(SOURCE_FILE_COL, "/"), -2).alias("folder")).agg(
+        F.sum("rows").alias("rows"), F.sum("valid_timestamps").alias("valid_timestamps"))
+
+
 _SQL_SOURCE = """SELECT CAST(o_orderdate AS DATE) AS ts,
        sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END) AS urgent,
        sum(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END) AS high
@@ -816,16 +844,14 @@ def q_sql_source_metrics(spark, sf_dir):
     return finish(wide.df.select("ts", "urgent", "high"))
 
 
-ROUTES = DetectOptions(window_size=30, mode="seasonal", seasonal_period=7, min_cycles=2,
-                       stl_max_points=1000)
+ROUTES = DetectOptions(window_size=30, mode="seasonal", seasonal_period=7, min_cycles=2)
 
 
 @register("seasonal_routes", f"""
 WITH cube AS ({T.PRIORITY_DAILY_SQL}),
 long AS ({_unpivot_sql('cube', T.PRIORITY_METRICS)})
 SELECT metric, count(value) AS n_valid, count(*) AS n_rows,
-       CASE WHEN count(value) >= 14 AND count(*) >= 14 AND count(*) <= 1000 THEN 'seasonal'
-            WHEN count(value) >= 14 AND count(*) >= 14 THEN 'classical' ELSE 'zscore' END AS route
+       CASE WHEN count(value) >= 14 AND count(*) >= 14 THEN 'seasonal' ELSE 'zscore' END AS route
 FROM long GROUP BY metric""")
 def q_seasonal_routes(spark, sf_dir):
     long = to_long(T.priority_daily(spark, sf_dir), "ts", T.PRIORITY_METRICS)
@@ -954,3 +980,134 @@ def q_supplier_weekly_zscore(spark, sf_dir):
     a = detect_anomalies(T.supplier_weekly(spark, sf_dir), "ts", ["revenue", "quantity"],
                          keys=["l_suppkey"], options=SUPPLIER)
     return finish(a.drop("seasonal_period"))
+
+
+# ---------------------------------------------------------------------------
+# sinks, records and edges of the job
+# ---------------------------------------------------------------------------
+
+from ..operators.ranking import global_row_number  # noqa: E402
+from ..operators.records import anomaly_records  # noqa: E402
+from ..operators.report import run_metadata  # noqa: E402
+from ..sources.state import read_state, write_state  # noqa: E402
+
+
+@register("ordered_anomalies", f"""
+WITH {_anoms_cte()}
+SELECT row_number() OVER (ORDER BY ts, metric) AS position, metric, {day('ts')} AS timestamp, {r6('z')} AS z_score
+FROM anom""")
+def q_ordered_anomalies(spark, sf_dir):
+    # the order in which the anomaly sink writes its rows
+    numbered = global_row_number(flagship_anomalies(spark, sf_dir), ["timestamp", "metric"], "position")
+    return finish(numbered.select("position", "metric", "timestamp", "z_score"))
+
+
+@register("anomaly_records", f"""
+WITH {_anoms_cte()}
+SELECT metric, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, {r6('value')} AS actual, {r6('m')} AS rolling_mean,
+       {r6('z')} AS z_score, CASE WHEN z > 0 THEN 'up' ELSE 'down' END AS direction,
+       'zscore' AS detection_mode_used, true AS seasonal_period_is_null
+FROM anom""")
+def q_anomaly_records(spark, sf_dir):
+    # JSON records with ISO timestamps, parsed again
+    fields = ("metric string, timestamp string, actual double, rolling_mean double, z_score double, "
+              "direction string, detection_mode_used string, seasonal_period int")
+    records = anomaly_records(flagship_anomalies(spark, sf_dir))
+    parsed = records.select(F.from_json("record", fields).alias("r")).select("r.*")
+    return finish(parsed.withColumn("seasonal_period_is_null", F.col("seasonal_period").isNull()).drop("seasonal_period"))
+
+
+@register("file_source_metrics", f"""
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, {r6('CAST(event_id AS DOUBLE)')} AS event_id,
+       {r6('CAST(user_id AS DOUBLE)')} AS user_id, {r6('value')} AS value
+FROM events WHERE ts IS NOT NULL AND ts >= TIMESTAMP '2024-01-02'""")
+def q_file_source_metrics(spark, sf_dir):
+    wide = read_metrics(spark, MetricSource(kind="file", path=f"{sf_dir}/events.parquet", timestamp_column="ts",
+                                            since="2024-01-02"))
+    return finish(wide.df.select("ts", *wide.metrics))
+
+
+@register("state_round_trip", f"""
+WITH RECURSIVE {_anoms_cte()},
+{_fold_sql('fold1', 'anom', None)},
+state1 AS ({_state_after_sql('fold1', 'anom', None)})
+SELECT metric, state, {r6('last_alert_z')} AS last_alert_z, last_alert_at, {r6('last_value')} AS last_value FROM state1""")
+def q_state_round_trip(spark, sf_dir):
+    base = scratch_path(spark, "state", uuid.uuid4().hex)
+    write_state(_whole_run(spark, sf_dir)[1], base, "run-000001")
+    return _state_view(read_state(spark, base, before="run-000002"))
+
+
+@register("report_metadata", _kept1_sql(f"""
+SELECT 'run-000001' AS run_id, 'zscore' AS detection_mode, CAST(count(*) AS BIGINT) AS n_anomalies,
+       {_sql_str(RUN_TS)} AS generated_at FROM kept HAVING count(*) > 0"""))
+def q_report_metadata(spark, sf_dir):
+    return finish(run_metadata(_kept_run1(spark, sf_dir), "run-000001", "zscore", RUN_TS))
+
+
+@register("alert_subject_cases", _kept1_sql(f"""
+SELECT grp, n AS n_items, n - e AS n_new, e AS n_escalations,
+       CASE WHEN e > 0 AND n - e = 0 THEN {sql_fill(SUBJECT_ESCALATIONS_ONLY, **_COUNTS)}
+            WHEN e > 0 THEN {sql_fill(SUBJECT_MIXED, **_COUNTS)}
+            ELSE {sql_fill(SUBJECT_NEW_ONLY, **_COUNTS)} END AS subject
+FROM (SELECT grp, count(*) AS n, count(*) FILTER (WHERE is_escalation) AS e
+      FROM (SELECT *, 'all' AS grp FROM kept
+            UNION ALL SELECT *, CASE WHEN is_escalation THEN 'escalations' ELSE 'new' END FROM kept) GROUP BY grp)
+WHERE n > 0"""))
+def q_alert_subject_cases(spark, sf_dir):
+    # the whole run, and what it would say of its new and of its escalated items alone
+    kept = cut_lineage(_kept_run1(spark, sf_dir), "kept")
+    out = None
+    for name, rows in (("all", kept), ("new", kept.filter("NOT is_escalation")), ("escalations", kept.filter("is_escalation"))):
+        one = alert_subject(rows, RUN_TS).select(F.lit(name).alias("grp"), "n_items", "n_new", "n_escalations", "subject")
+        out = one if out is None else out.unionByName(one)
+    return finish(out)
+
+
+@register("suppression_ties", f"""
+WITH RECURSIVE {_anoms_cte()},
+tied AS (SELECT metric, date_trunc('year', ts) AS ts, value, z, az,
+                row_number() OVER (PARTITION BY metric ORDER BY date_trunc('year', ts), value, z) AS rn
+         FROM anom),
+{_fold_sql('fold', 'tied', None)}
+SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score, f.decision,
+       f.decision = 'escalation' AS is_escalation
+FROM tied a JOIN fold f USING (metric, rn)""")
+def q_suppression_ties(spark, sf_dir):
+    # all anomalies of a year at one time: they are decided one after the other
+    anomalies = flagship_anomalies(spark, sf_dir).withColumn("timestamp", F.trunc("timestamp", "year").cast("timestamp_ntz"))
+    decisions, _ = apply_suppression(summarize(anomalies), None, None, SuppressOptions(True, DELTA), RUN_TS)
+    return _decisions_view(decisions)
+
+
+@register("dirty_cells_zscore", f"""
+WITH long AS (SELECT event_type AS metric, event_id, ts, CASE WHEN event_id % 7 < 3 THEN NULL ELSE value END AS value
+              FROM events),
+scored AS ({_rolling_sql('long', 30, 15)})
+SELECT metric, event_id, {r6('value')} AS value, n_obs, {r6('m')} AS rolling_mean, {r6('sd')} AS rolling_std, {r6('z')} AS z
+FROM scored""")
+def q_dirty_cells_zscore(spark, sf_dir):
+    # NaN, infinities and text that is no number count as missing cells
+    text = (F.when(F.col("event_id") % 7 == 0, "NaN").when(F.col("event_id") % 7 == 1, "-Infinity")
+            .when(F.col("event_id") % 7 == 2, "n/a").otherwise(F.col("value").cast("string")))
+    events = T.table(spark, sf_dir, "events").select(F.col("event_type").alias("metric"), "event_id", "ts",
+                                                     finite_or_null(text).alias("value"))
+    scored = rolling_stats(events, DetectOptions(window_size=30, min_periods=15))
+    return finish(scored.drop("ts"))
+
+
+@register("empty_run", f"""
+WITH {_anoms_cte()}
+SELECT CAST(0 AS BIGINT) AS subjects, CAST(0 AS BIGINT) AS body_lines, CAST(0 AS BIGINT) AS reports,
+       CAST(count(*) FILTER (WHERE az > 1000) AS BIGINT) AS anomalies FROM anom""")
+def q_empty_run(spark, sf_dir):
+    # a run that flags nothing makes no alert and no report
+    none = detect_anomalies(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS,
+                            options=DetectOptions(window_size=30, z_threshold=1000.0))
+    decisions, _ = apply_suppression(attach_notes(summarize(cut_lineage(none))), None, None, SuppressOptions(), RUN_TS)
+    kept = kept_only(decisions)
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    return (count(alert_subject(kept, RUN_TS), "subjects")
+            .join(count(alert_body_lines(kept, RUN_TS), "body_lines"))
+            .join(count(run_metadata(kept, "run-000001", "zscore", RUN_TS), "reports"))
+            .join(count(kept, "anomalies")))

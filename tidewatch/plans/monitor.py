@@ -29,7 +29,7 @@ class MonitorConfig:
     detect: DetectOptions = field(default_factory=DetectOptions)
     suppress: SuppressOptions = field(default_factory=SuppressOptions)
     co_occurrence: CoOccurrenceOptions = field(default_factory=CoOccurrenceOptions)
-    run_id: str = "000000000000"
+    run_id: str = ""                    # needed with state_base; ids sort in the order of the runs
     run_ts: str = "1970-01-01 00:00:00"
     state_base: str | None = None
     report_base: str | None = None
@@ -38,6 +38,8 @@ class MonitorConfig:
 
 def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
                 state: DataFrame | None = None) -> dict[str, DataFrame]:
+    if (config.state_base or config.report_base) and not config.run_id:
+        raise ValueError("A run that writes needs a run_id: ids tell earlier runs from later ones.")
     keys = list(wide.keys)
     long = to_long(wide.df, wide.ts, wide.metrics, keys, carry=list(config.tiebreak))
     # one pass over all points; everything after reads the (small) anomaly table

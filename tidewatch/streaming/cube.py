@@ -8,13 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
-def read_table_stream(spark: SparkSession, directory: str, file_glob: str,
-                      schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of one table as a stream (new files become new micro-batches)."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+def read_table_stream(spark: SparkSession, table: str, schema: StructType,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """One table as a stream: a folder of Parquet files (new files become new micro-batches),
+    or a single file."""
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(directory)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isFile():
+        # a stream source watches folders: this one is watched for that name alone
+        return reader.option("pathGlobFilter", path.getName()).parquet(path.getParent().toString())
+    return reader.parquet(table)
 
 
 def stream_metric_cube(stream: DataFrame, ts: str, aggs: Mapping[str, Column],
