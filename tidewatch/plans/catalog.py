@@ -18,6 +18,7 @@ from ..operators.rolling import detect_anomalies, rolling_stats
 from ..options import DetectOptions
 from ..sources.metrics import to_long
 from . import tables as T
+from .stl_sql import stl_ctes
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -683,16 +684,54 @@ def q_classical_seasonal_anomalies(spark, sf_dir):
 STL_OPTS = DetectOptions(window_size=30, z_threshold=3.0, mode="seasonal", seasonal_period=7)
 
 
-@register("stl_components", None)
+STL_CTES, STL_LAST = stl_ctes("f", 7)
+
+
+def _relative(df: DataFrame, columns: list[str], to: str) -> DataFrame:
+    """Columns in units of the observed value, so that six places suit every metric."""
+    return df.withColumns({c: F.col(c) / F.greatest(F.abs(F.col(to)), F.lit(1.0)) for c in columns})
+
+
+@register("stl_components", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+f AS (SELECT *, {_FILL_SQL} AS filled, row_number() OVER (PARTITION BY metric ORDER BY ts) AS i FROM long),
+{STL_CTES}
+SELECT metric, {day('ts')} AS ts, {r6('value')} AS value, {r6('filled')} AS filled,
+       {r6('t / greatest(abs(filled), 1)')} AS trend, {r6('s / greatest(abs(filled), 1)')} AS seasonal,
+       {r6('(y - s - t) / greatest(abs(filled), 1)')} AS resid, {r6('(t + s) / greatest(abs(filled), 1)')} AS expected
+FROM f JOIN {STL_LAST} USING (metric, i)""")
 def q_stl_components(spark, sf_dir):
     long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
-    return finish(stl_components(gap_fill(long), 7))
+    parts = stl_components(gap_fill(long), 7)
+    return finish(_relative(parts, ["trend", "seasonal", "resid", "expected"], "filled"))
+
+
+def _stl_anomalies_select(scored: str, mode: str, period: str) -> str:
+    scale = "greatest(abs(value), 1)"
+    return f"""SELECT metric, {day('ts')} AS timestamp, {r6('value')} AS actual,
+       {r6(f'coalesce(m, 0) / {scale}')} AS rolling_mean, {r6(f'coalesce(sd, 0) / {scale}')} AS rolling_std,
+       {r6('z')} AS z_score, CASE WHEN z > 0 THEN 'up' ELSE 'down' END AS direction,
+       '{mode}' AS detection_mode_used, {period} AS seasonal_period
+FROM {scored} WHERE value IS NOT NULL AND z IS NOT NULL AND abs(z) > 3.0"""
 
 
-@register("stl_anomalies", None)
+@register("stl_anomalies", f"""
+WITH cube AS ({T.ORDERS_DAILY_SQL}),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+g AS (SELECT metric, count(value) >= 14 AND count(*) >= 14 AS usable FROM long GROUP BY metric),
+f AS (SELECT l.*, {_FILL_SQL} AS filled, row_number() OVER (PARTITION BY metric ORDER BY ts) AS i
+      FROM long l JOIN g USING (metric) WHERE g.usable),
+{STL_CTES},
+r AS (SELECT metric, ts, value, y - s - t AS resid FROM f JOIN {STL_LAST} USING (metric, i)),
+scored AS ({_rolling_sql('r', 30, 30, col='resid')}),
+plain AS ({_rolling_sql('(SELECT l.* FROM long l JOIN g USING (metric) WHERE NOT g.usable)', 30, 30)})
+{_stl_anomalies_select('scored', 'seasonal', '7')}
+UNION ALL
+{_stl_anomalies_select('plain', 'zscore', 'CAST(NULL AS INTEGER)')}""")
 def q_stl_anomalies(spark, sf_dir):
     long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
-    return finish(seasonal_anomalies(long, STL_OPTS))
+    return finish(_relative(seasonal_anomalies(long, STL_OPTS), ["rolling_mean", "rolling_std"], "actual"))
 
 
 HALO = DetectOptions(window_size=30, z_threshold=3.0, chunk_rows=64)
