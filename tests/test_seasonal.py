@@ -121,12 +121,30 @@ def test_hot_series_chunked_classical_equals_windows(spark):
 
 def test_no_option_changes_the_decomposition():
     # size options that a mode cannot honour without other results are refused
-    for extra in ({"hot_series_rows": 100}, {"chunk_rows": 100}, {"score_from": "2000-01-01"}):
+    for mode in ("seasonal", "classical"):
         with pytest.raises(ValueError):
-            DetectOptions(mode="seasonal", **extra).validated()
-    with pytest.raises(ValueError):
-        DetectOptions(mode="classical", score_from="2000-01-01").validated()
-    DetectOptions(mode="classical", chunk_rows=100).validated()
+            DetectOptions(mode=mode, score_from="2000-01-01").validated()
+        DetectOptions(mode=mode, chunk_rows=100, hot_series_rows=100).validated()
+
+
+def test_chunked_stl_equals_one_group(spark):
+    from tidewatch.operators.chunked import chunked_stl
+    from tidewatch.operators.seasonal import gap_fill, stl_components
+    rng = np.random.default_rng(5)
+    frame = None
+    for name, n in (("long", 901), ("short", 60)):
+        vals = [None if rng.random() < 0.05 else float(v) for v in
+                50 + 0.02 * np.arange(n) + 4 * np.sin(2 * np.pi * np.arange(n) / 7) + rng.normal(0, 1, n)]
+        vals[n // 2] = 500.0
+        one = series_frame(spark, vals, name)
+        frame = one if frame is None else frame.unionByName(one)
+    key = lambda r: (r.metric, r.ts)
+    plain = {key(r): r for r in stl_components(gap_fill(frame), 7).collect()}
+    split = {key(r): r for r in chunked_stl(frame, 7, 150).collect()}
+    assert plain.keys() == split.keys()
+    for k, r in plain.items():
+        for c in ("trend", "seasonal", "resid"):
+            assert abs(r[c] - split[k][c]) < 1e-9
 
 
 def test_gap_fill_is_linear(spark):

@@ -1,9 +1,9 @@
 """Seasonal detection: decompose each series, then rolling z-score of the residuals.
 
 Per series the history gate picks the path: enough non-null history (period x min_cycles)
--> STL (``mode='seasonal'``; grouped pandas function, one series per call, whatever its
-length) or classical decomposition (``mode='classical'``; pure windows, or chunk by chunk for
-hot series with the same results); otherwise a plain z-score fallback. Gap filling, the gate and the residual z-score stay in
+-> STL (``mode='seasonal'``; grouped pandas function, one series per call) or classical
+decomposition (``mode='classical'``; pure windows), either of them chunk by chunk for hot
+series with the same results; otherwise a plain z-score fallback. Gap filling, the gate and the residual z-score stay in
 Catalyst; only the loess smoother runs in Python. The window specs and the grouped
 function all cluster on the series key, so the series is shuffled once.
 """
@@ -172,12 +172,12 @@ def _split_hot_seasonal(long: DataFrame, opts: DetectOptions, keys: Sequence[str
     z-scores when their history is too short); the others take the per-series path.
 
     The hot list comes from one partially aggregated size pass and is joined like any table
-    (Spark broadcasts it only where its size allows). Classical mode only: the chunked
-    decomposition gives the same results as the plain one.
+    (Spark broadcasts it only where its size allows). The chunked decompositions give the same
+    results as the plain ones.
     """
     from dataclasses import replace
 
-    from .chunked import chunked_classical_scores
+    from .chunked import chunked_classical_scores, chunked_stl_scores
     from .halo import halo_rolling_stats
     limit = int(opts.hot_series_rows or opts.chunk_rows)
     sk = [*keys, "metric"]
@@ -190,13 +190,14 @@ def _split_hot_seasonal(long: DataFrame, opts: DetectOptions, keys: Sequence[str
                               replace(opts, hot_series_rows=None, chunk_rows=None), keys, ts, tiebreak)
     usable = (F.col("_n_valid") >= F.lit(p * opts.min_cycles)) & (F.col("_n_rows") >= F.lit(2 * p))
     hot_rows = long.join(hot.withColumn("_usable", usable).select(*sk, "_usable"), sk, "inner")
-    chunked = chunked_classical_scores(hot_rows.filter("_usable").drop("_usable"), opts, keys,
+    scores = chunked_stl_scores if opts.mode == "seasonal" else chunked_classical_scores
+    chunked = scores(hot_rows.filter("_usable").drop("_usable"), opts, keys,
                                        ts, tiebreak, chunk=limit)
     short = halo_rolling_stats(hot_rows.filter("NOT _usable").drop("_usable"),
                                replace(opts, chunk_rows=limit, hot_series_rows=None), keys, ts,
                                "value", tiebreak)
     return (cold
-            .unionByName(flag_anomalies(chunked, opts.z_threshold, keys, ts, "value", "classical",
+            .unionByName(flag_anomalies(chunked, opts.z_threshold, keys, ts, "value", opts.mode,
                                         p, extra=tiebreak))
             .unionByName(flag_anomalies(short, opts.z_threshold, keys, ts, "value", "zscore",
                                         None, extra=tiebreak)))

@@ -25,11 +25,13 @@ def default_spans(period: int, seasonal: int = 7) -> tuple[int, int]:
 
 
 def _estimate(y: np.ndarray, rw: np.ndarray | None, xs: np.ndarray, nleft: np.ndarray,
-              width: int, span: int, degree: int) -> tuple[np.ndarray, np.ndarray]:
+              width: int, span: int, degree: int,
+              total_rows: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Local (degree 0/1) tricube-weighted fit of ``y`` at 1-based positions ``xs``.
 
     Every fit uses the ``width`` consecutive points starting at ``nleft`` (1-based).
-    Returns the fitted values and whether any weight was positive.
+    ``total_rows``: rows of the whole series where ``y`` is a part of it (they decide whether a
+    slope is fitted). Returns the fitted values and whether any weight was positive.
     """
     n = len(y)
     pos = nleft[:, None] + np.arange(width)[None, :]            # 1-based positions
@@ -51,13 +53,14 @@ def _estimate(y: np.ndarray, rw: np.ndarray | None, xs: np.ndarray, nleft: np.nd
         centre = (w * pos).sum(axis=1)
         b = xs - centre
         c = (w * (pos - centre[:, None]) ** 2).sum(axis=1)
-        adjust = (h > 0) & (np.sqrt(c) > 0.001 * (n - 1.0))
+        adjust = (h > 0) & (np.sqrt(c) > 0.001 * ((total_rows or n) - 1.0))
         slope = np.where(adjust, b / np.where(c > 0, c, 1.0), 0.0)
         w = np.where(adjust[:, None], w * (slope[:, None] * (pos - centre[:, None]) + 1.0), w)
     return (w * y[pos - 1]).sum(axis=1), ok
 
 
-def _smooth(y: np.ndarray, span: int, degree: int, rw: np.ndarray | None) -> np.ndarray:
+def _smooth(y: np.ndarray, span: int, degree: int, rw: np.ndarray | None,
+            total_rows: int | None = None) -> np.ndarray:
     """Loess smooth evaluated at every point 1..n."""
     n = len(y)
     if n < 2:
@@ -69,13 +72,15 @@ def _smooth(y: np.ndarray, span: int, degree: int, rw: np.ndarray | None) -> np.
         half = (span + 1) // 2
         nleft = np.clip(np.arange(1, n + 1) - half + 1, 1, n - span + 1)
         width = span
-    fit, ok = _estimate(y, rw, xs, nleft, width, span, degree)
+    fit, ok = _estimate(y, rw, xs, nleft, width, span, degree, total_rows)
     return np.where(ok, fit, y)
 
 
 def _cycle_subseries(y: np.ndarray, period: int, span: int, degree: int,
-                     rw: np.ndarray | None) -> np.ndarray:
-    """Smooth each cycle-subseries and extend it by one point at both ends (n + 2p)."""
+                     rw: np.ndarray | None, offset: int = 0,
+                     total_rows: int | None = None) -> np.ndarray:
+    """Smooth each cycle-subseries and extend it by one point at both ends (n + 2p). ``y`` may be
+    the part from ``offset`` of a series of ``total_rows``."""
     n = len(y)
     out = np.empty(n + 2 * period)
     for j in range(period):
@@ -83,13 +88,14 @@ def _cycle_subseries(y: np.ndarray, period: int, span: int, degree: int,
         k = len(sub)
         srw = rw[j::period] if rw is not None else None
         smooth = np.empty(k + 2)
-        smooth[1:k + 1] = _smooth(sub, span, degree, srw)
+        whole = len(range((offset + j) % period, total_rows or n, period))
+        smooth[1:k + 1] = _smooth(sub, span, degree, srw, whole)
         right = min(span, k)
-        v, ok = _estimate(sub, srw, np.array([0.0]), np.array([1]), right, span, degree)
+        v, ok = _estimate(sub, srw, np.array([0.0]), np.array([1]), right, span, degree, whole)
         smooth[0] = v[0] if ok[0] else smooth[1]
         left = max(1, k - span + 1)
         v, ok = _estimate(sub, srw, np.array([k + 1.0]), np.array([left]), k - left + 1, span,
-                          degree)
+                          degree, whole)
         smooth[k + 1] = v[0] if ok[0] else smooth[k]
         out[j::period] = smooth
     return out
@@ -125,18 +131,32 @@ def stl_decompose(y, period: int, seasonal: int = 7, trend: int | None = None,
     low_pass = d_low if low_pass is None else low_pass
     inner = (2 if robust else 5) if inner is None else inner
     outer = (15 if robust else 0) if outer is None else outer
-    n = len(y)
-    t = np.zeros(n)
-    s = np.zeros(n)
-    rw = None
+    t, s, rw = np.zeros(len(y)), np.zeros(len(y)), None
     for k in range(outer + 1):
-        for _ in range(inner):
-            cycle = _cycle_subseries(y - t, period, seasonal, 1, rw)
-            low = _smooth(_moving_average(_moving_average(_moving_average(cycle, period),
-                                                          period), 3), low_pass, 1, None)
-            s = cycle[period:period + n] - low
-            t = _smooth(y - s, trend, 1, rw)
+        t, s = stl_pass(y, t, rw, period, seasonal, trend, low_pass, inner)
         if k == outer:
             break
         rw = _robustness_weights(y, t + s)
     return t, s, y - s - t
+
+
+def stl_pass(y: np.ndarray, t: np.ndarray, rw: np.ndarray | None, period: int, seasonal: int,
+             trend: int, low_pass: int, inner: int, offset: int = 0,
+             total_rows: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The inner loop: ``inner`` updates of seasonal and trend, from the trend ``t``. ``y`` may be
+    the part from ``offset`` of a series of ``total_rows``."""
+    n = len(y)
+    total = n if total_rows is None else total_rows
+    s = np.zeros(n)
+    for _ in range(inner):
+        cycle = _cycle_subseries(y - t, period, seasonal, 1, rw, offset, total)
+        low = _smooth(_moving_average(_moving_average(_moving_average(cycle, period),
+                                                      period), 3), low_pass, 1, None, total)
+        s = cycle[period:period + n] - low
+        t = _smooth(y - s, trend, 1, rw, total)
+    return t, s
+
+
+def reach(period: int, seasonal: int, trend: int, low_pass: int, inner: int) -> int:
+    """Rows on either side that a value can depend on through ``stl_pass``."""
+    return inner * ((seasonal // 2 + 3) * period + low_pass + trend)

@@ -42,9 +42,6 @@ class DetectOptions:
             raise ValueError("hot_series_rows must be >= window_size - 1.")
         if self.mode != "zscore" and self.score_from is not None:
             raise ValueError("score_from needs mode zscore: a decomposition takes the whole series.")
-        if self.mode == "seasonal" and (self.chunk_rows or self.hot_series_rows):
-            raise ValueError("STL takes a series as a whole: chunk_rows and hot_series_rows need "
-                             "mode zscore or classical.")
         return self
 
     @property

@@ -985,6 +985,14 @@ def q_hot_classical_anomalies(spark, sf_dir):
     return finish(seasonal_anomalies(long, HOT_CLASSICAL))
 
 
+@register("hot_stl_anomalies", REGISTRY["stl_anomalies"][1])
+def q_hot_stl_anomalies(spark, sf_dir):
+    # series above 1000 rows go through STL chunk by chunk: the same results
+    long = to_long(T.orders_daily(spark, sf_dir), "ts", T.ORDER_METRICS)
+    options = DetectOptions(window_size=30, z_threshold=3.0, mode="seasonal", seasonal_period=7, hot_series_rows=1000)
+    return finish(_relative(seasonal_anomalies(long, options), ["rolling_mean", "rolling_std"], "actual"))
+
+
 RECENT = DetectOptions(window_size=30, z_threshold=3.0, score_from="2000-01-01")
 
 
