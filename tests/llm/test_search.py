@@ -92,6 +92,7 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
     from tidewatch.llm import ngram_jaccard
     monkeypatch.setattr(ngram_jaccard, "BUCKET", 8)         # so that buckets split, and blocks are paired
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 8)
+    monkeypatch.setattr(ngram_jaccard, "LAST_BLOCK", 8)
     rng = random.Random(9)
     base = [[str(rng.randrange(1000)) for _ in range(rng.randint(60, 120))] for _ in range(6)]
     texts = []

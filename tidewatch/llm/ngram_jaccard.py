@@ -30,6 +30,8 @@ from tidewatch.session import cut_lineage
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 COORDINATES, BUCKET, DEPTH, BLOCK = 64, 256, 4, 256
+#: Sets of a block where a bucket that is still large after DEPTH levels is compared in blocks.
+LAST_BLOCK = 1024
 #: Equal sketch bytes from which two sets are candidates: at the threshold, 51 of 64 are equal
 #: on average with a deviation of 3.2, so a similar pair falls short with a chance of 1e-4.
 AGREE = 39
@@ -161,23 +163,36 @@ def labels_in(near: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _across(near: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Labels that join what two blocks have in common: the first set of each block's components
+    gets the first set that it is connected with; all others get themselves. Links inside a block
+    are found where that block is compared with itself."""
+    same = side[:, None] == side
+    inside = labels_in(near & same)
+    a, b = np.nonzero(near & ~same)
+    between = np.zeros(near.shape, bool)
+    between[inside[a], inside[b]] = True
+    return labels_in(between)
+
+
 def _compare(buckets: DataFrame) -> DataFrame:
-    """Brute force in buckets (path, rep, n, sketch; sorted by path): each set is linked with the
-    first of the candidates that it is connected with."""
+    """Brute force in buckets (path, side, rep, n, sketch): each set is linked with the first of
+    the candidates that it is connected with; ``side`` as ``_blocks`` gives it."""
     def run(batches):
         for table in whole_groups(batches, "path"):
-            path, rep, n = (table.column(k).to_numpy() for k in range(3))
-            sketch = np.frombuffer(flat(table.column(3).combine_chunks())[0], np.uint8).reshape(len(rep), -1)
+            path, rep, n = (table.column(k).to_numpy() for k in (0, 2, 3))
+            side = table.column(1).fill_null(-1).to_numpy()
+            sketch = np.frombuffer(flat(table.column(4).combine_chunks())[0], np.uint8).reshape(len(rep), -1)
             cuts, out = starts_of(path), []
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if b - a < 2:
                     continue
                 s, size = sketch[a:b], n[a:b].astype(np.float64)
                 near = np.empty((b - a, b - a), bool)
-                for k in range(0, b - a, 128):
-                    near[k:k + 128] = (s[k:k + 128, None] == s[None]).sum(axis=2) >= AGREE
+                for k in range(0, b - a, 64):
+                    near[k:k + 64] = (s[k:k + 64, None] == s[None]).sum(axis=2, dtype=np.uint8) >= AGREE
                 near &= np.minimum(size[:, None], size) >= THRESHOLD * np.maximum(size[:, None], size) - 1e-9
-                label = labels_in(near)
+                label = labels_in(near) if side[a] < 0 else _across(near, side[a:b])
                 linked = np.flatnonzero(label != np.arange(b - a))
                 if len(linked):
                     out.append((rep[a:b][linked], rep[a:b][label[linked]]))
@@ -208,7 +223,8 @@ def candidates(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
         level = cut_lineage(level, "paths")
         shared = cut_lineage(level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path-sizes")
         closed = attach(level, shared.filter(F.col("n") <= BUCKET), ["path"])
-        found.append(cut_lineage(_compare(closed.join(slim, "rep").select("path", "rep", "n", "sketch")), "links"))
+        found.append(cut_lineage(_compare(closed.join(slim, "rep").select(
+            "path", F.lit(None).cast("int").alias("side"), "rep", "n", "sketch")), "links"))
         large = shared.filter(F.col("n") > BUCKET)
         if large.isEmpty():
             break
@@ -216,8 +232,8 @@ def candidates(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
         if depth < DEPTH:
             level = _split(open_.join(sets.select("rep", "tokens"), "rep").select("rep", "tokens", "path"), threshold)
         else:
-            parts = _blocks(open_, "path", "size", BUCKET).select(F.col("group").alias("path"), "rep")
-            found.append(_compare(parts.join(slim, "rep").select("path", "rep", "n", "sketch")))
+            parts = _blocks(open_, "path", "size", LAST_BLOCK).select(F.col("group").alias("path"), "side", "rep")
+            found.append(_compare(parts.join(slim, "rep").select("path", "side", "rep", "n", "sketch")))
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
