@@ -21,9 +21,9 @@ from tidewatch.llm.spans import cut_spans, numbered
 from tidewatch.session import cut_lineage
 
 #: Bytes of a chunk at least and at most, and the bits that must be zero at its end.
-LEAST, MOST, BITS = 32, 256, 6
+LEAST, MOST, BITS = 16, 192, 5
 #: Runs of repeated chunks below this many bytes are left in.
-RUN = 160
+RUN = 64
 CHUNKS = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("length", pa.int32()), ("d1", pa.int64()),
                     ("d2", pa.int64())])
 GEAR = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32)
