@@ -108,6 +108,34 @@ def test_line_chunks_resist_a_shift():
     assert len(a & b) >= 0.9 * len(a)
 
 
+def test_line_dedup_finds_every_run_of_lines(spark):
+    rng = random.Random(11)
+    number = iter(range(10**6))
+    fresh = lambda n: [f"line {next(number)} of nobody else" for _ in range(n)]
+    passages = [fresh(n) for n in (2, 2, 2, 3, 3, 4, 4, 5, 9) for _ in range(4)]
+    for p in passages[::3]:
+        p.insert(1, "")
+    texts = [fresh(rng.randint(1, 6)) + p + fresh(rng.randint(1, 6)) for p in passages for _ in range(3)]
+    texts += [["", *texts[0], " "], ["", *texts[0], " "], ["x", "", "alone", "", "y"], ["z", "", "alone", "", "w"]]
+    rows = table(spark, list(enumerate("\n".join(t) for t in texts))).coalesce(1)
+    seen, expected = set(), {}
+    for r in rows.collect():
+        text = r.text.split("\n")
+        gone = [False] * len(text)
+        full = [k for k, line in enumerate(text) if line.strip()]
+        runs = [(i, j) for k, i in enumerate(full) for j in full[k + 1:]]
+        runs += [(0, j) for j in full[1:]] + [(i, len(text) - 1) for i in full[:-1]]
+        for i, j in runs:
+            if tuple(text[i:j + 1]) in seen:
+                gone[i:j + 1] = [True] * (j + 1 - i)
+        seen.update(tuple(text[i:j + 1]) for i, j in runs)
+        expected[r.doc_id] = sum(len(line) for line, g in zip(text, gone) if not g)
+    got = {r.doc_id: len(bytes(r.kept).replace(b"\n", b"")) for r in lines.line_dedup(rows).collect()}
+    assert got == expected
+    # of three places of each passage, two lose all of it
+    assert sum(len("".join(t)) for t in texts) - sum(got.values()) >= sum(2 * len("".join(p)) for p in passages)
+
+
 def test_repeated_passages_go_but_for_the_first(spark):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))

@@ -1,16 +1,16 @@
 """Operator 7: line deduplication by content-defined line chunks.
 
-A rolling hash over the hashes of a line and the line before it chooses chunk boundaries, so
-that a line more or less shifts them only near by. Chunks of two or more lines that occur again
-anywhere go, but for the first. Digests find them; then the bytes of all chunks whose digest
-repeats are fetched and compared, as keys of a group-by. Chunks of a digest that stands for
-different bytes (none is known) all stay.
+A window rolls over the lines of a text; at each line that is not blank it is a chunk of ``least``
+such lines (two), with the blank ones between them. A chunk depends on its own lines only, so
+that surroundings, a line more or less, or the chunk before never hide a repeat: a run of two or
+more lines is the union of its chunks, and goes as a whole if it is anywhere before. Digests find
+repeated chunks; then their bytes are fetched and compared, as keys of a group-by. Chunks of a
+digest that stands for different bytes (none is known) all stay.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -22,31 +22,30 @@ from tidewatch.llm.skew import attach
 from tidewatch.llm.spans import cut_spans, numbered
 from tidewatch.session import cut_lineage
 
-#: One line in so many ends a chunk; lines that are not blank in a chunk at least, lines at most.
-EVERY, LEAST, MOST = 3, 2, 16
+#: Lines of a chunk that are not blank.
+LEAST = 2
 CHUNKS = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("d1", pa.int64()),
                     ("d2", pa.int64())])
 TEXTS = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("chunk", pa.binary())])
 
 
 def line_chunks(text: bytes, least: int = LEAST) -> list[tuple[int, int]]:
-    """(start, end) of the chunks with ``least`` lines that are not blank; the newline after the
-    last line of a chunk is part of it."""
-    out, start, at, lines, full, before = [], 0, 0, 0, 0, 0
+    """(start, end) of every chunk of ``least`` lines that are not blank, in order; they overlap.
+
+    The newline after the last line of a chunk is part of it. Blank lines at the start and end of
+    a text make one more chunk each, together with the first or last one, so that copies go whole.
+    """
+    starts, ends, at = [], [], 0
     for line in text.splitlines(keepends=True) if b"\r" not in text else _lines(text):
-        bare = line.rstrip(b"\n")
-        h = zlib.crc32(bare)
+        if not line.isspace():
+            starts.append(at)
+            ends.append(at + len(line))
         at += len(line)
-        lines += 1
-        full += bool(bare.strip())
-        rolling = (h * 0x9E3779B1 + before * 0x85EBCA6B) & 0xFFFFFFFF
-        before = h
-        if full >= least and (rolling >> 8) % EVERY == 0 or lines >= MOST:
-            if full >= least:
-                out.append((start, at))
-            start, lines, full = at, 0, 0
-    if full >= least:
-        out.append((start, at))
+    out = list(zip(starts, ends[least - 1:]))
+    if out and starts[0] > 0:
+        out.insert(0, (0, out[0][1]))
+    if out and ends[-1] < at:
+        out.append((out[-1][0], at))
     return out
 
 
@@ -61,7 +60,7 @@ def _bare(text: bytes, start: int, end: int) -> bytes:
 
 
 def chunks(rows: DataFrame, least: int) -> DataFrame:
-    """All chunks of two or more lines: row, start, length and the halves of the digest."""
+    """All chunks: row, start, length and the halves of the digest."""
     def cut(batches):
         for batch in sliced(batches, "text"):
             row, start, length, digests = [], [], [], []
@@ -99,11 +98,12 @@ def line_dedup(docs: DataFrame, least: int = LEAST, changed: bool = False) -> Da
     """Texts without the multi-line chunks that the table has before.
 
     ``docs``: doc_id and text; lines end at "\\n". Returns for each row: row (its number in the
-    table), doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes). The first chunk
-    of equal ones stays, by the order of the table. Chunks have ``least`` or more lines that are
-    not blank, so a line alone, a text of one line, and a null or empty one stay as they are.
-    Repeated rows are copies of each other. An empty table gives no rows. With ``changed``, only
-    rows that lose something are returned.
+    table), doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes). A line goes if it
+    is in a run of ``least`` or more lines that are not blank which the table has before (in its
+    order; the two may overlap), so the first occurrence of a line always stays, and so do a
+    line alone, a text of one line, and a null or empty one. Blank lines go inside of a run, or
+    at the text's ends. Repeated rows are copies of each other. An empty table gives no rows.
+    With ``changed``, only rows that lose something are returned.
     """
     rows = numbered(docs)
     keys = ["d1", "d2"]
