@@ -85,3 +85,24 @@ def test_held_out_accuracy(spark):
     rows = [r for r in registry.op3_toxicity(spark, folder).collect() if r.held_out and r.doc_id in labels]
     right = sum(r.predicted == labels[r.doc_id] for r in rows) / len(rows)
     assert right > 0.93                                    # some of the labels are wrong on purpose
+
+
+def test_learns_insults_that_share_documents(spark):
+    docs, labels = corpus(spark)
+    extra = {i: " blockhead" + (" zanyjerk" if i % 24 == 0 else "") for i in range(0, 240, 4)}
+    docs = table(spark, [(r.doc_id, r.text + extra.get(r.doc_id, "")) for r in docs.collect()], "shared")
+    model = tox.train(docs, labels)
+    scored = tox.toxicity(table(spark, [(1, "a zanyjerk here"), (2, "you blockhead"), (3, "tano rita umde sel")]), model)
+    assert {r.doc_id: r.score >= 0.3 for r in scored.collect()} == {1: True, 2: True, 3: False}
+
+
+def test_few_toxic_documents_make_a_model(spark):
+    docs, labels = corpus(spark, 8)
+    assert isinstance(tox.train(docs, labels), tox.Model)
+
+
+def test_telling_counts_chance_finds():
+    rare = {(1, 0): 400, (0, 1): 4000, (3, 30): 50, (0, 9): 100}
+    assert set(tox.telling({**rare, (8, 0): 10, (20, 1): 2}, 36, 260)) == {(8, 0), (20, 1)}
+    assert set(tox.telling({(2, 0): 3, (1, 0): 90, (0, 1): 300}, 9, 54)) == {(2, 0)}
+    assert tox.telling({(0, 2): 5}, 3, 5) == {}

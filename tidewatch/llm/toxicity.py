@@ -7,9 +7,11 @@ normalised. Texts are compared unit by unit (a word, or letters set apart by spa
 together); a sentence counts as its most suspicious unit, and a document as its most suspicious
 sentence.
 
-Training (on a bounded sample of labelled rows): the sentences of a labelled document carry its
-label, and a toxic document stands for the unit in it that tells toxic from clean documents
-best. Landmarks are taken from those units and from clean ones; k(x, Z) K^(-1/2) are the
+Training (on a bounded sample of labelled rows): the units of a labelled document carry its
+label. Positive examples are all units that toxic documents have more often than chance explains
+(Fisher's exact test, one-sided, at a false discovery rate), weighted by their documents and by how sure the test is; those
+that clean documents have too are negative examples as well. Landmarks are taken from those
+units and from clean ones; k(x, Z) K^(-1/2) are the
 features of a linear SVM (squared hinge, Newton's method), refitted once with the clean units
 that come out worst. Platt scaling of the documents' margins makes scores.
 
@@ -37,10 +39,8 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 #: Landmarks at most, clean units to train with, and clean units added for the second fit.
 LANDMARKS, CLEAN_UNITS, HARD_UNITS = 192, 6000, 2000
 DECAY, SPAN, WINDOW = 0.7, 8, 24
-#: A unit tells of toxicity only if it is in so many toxic documents, and such a share of them.
-TOLD_ROWS, TOLD_SHARE = 3, 0.02
-#: ... and its rate among toxic documents is so many times that among clean ones (a logarithm).
-TOLD_ODDS = 3.0
+#: Expected share of chance finds among the units that tell of toxicity.
+FALSE_SHARE = 0.25
 #: Margins below this are all the same: clean.
 FLOOR = -1.0
 CACHE_ENTRIES = 400_000
@@ -206,22 +206,65 @@ def disguised(unit: str) -> list[str]:
     return [".".join(unit), unit[:len(unit) // 2] + "x" + unit[len(unit) // 2:]] if len(unit) > 4 else []
 
 
-def fit_units(toxic: list[str], clean: list[str], weight: np.ndarray) -> Model:
+def telling(pairs: dict[tuple[int, int], int], toxic: int, clean: int) -> dict[tuple[int, int], float]:
+    """Which units toxic documents have more often than chance explains, as (documents of theirs,
+    clean documents) out of ``pairs``, which counts the units of each; with the logarithm of the
+    chance, as a share of the best one's.
+
+    Fisher's exact test, one-sided. The finds that chance makes up to a level are the sum, over
+    all units, of the largest tail probability up to it which a unit in as many documents can
+    have, so that units too rare to be found don't count. The level is the last at which they
+    are FALSE_SHARE of all finds, or where there is none, the one with the smallest share.
+    """
+    log = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, toxic + clean + 1)))])
+    tails = {}
+    for n in {p + c for p, c in pairs}:
+        k = np.arange(max(0, n - clean), min(n, toxic) + 1)
+        mass = np.exp(log[toxic] - log[k] - log[toxic - k] + log[clean] - log[n - k] - log[clean - n + k]
+                      - log[toxic + clean] + log[n] + log[toxic + clean - n])
+        tails[n] = dict(zip(k.tolist(), np.cumsum(mass[::-1])[::-1].tolist()))
+    # equal probabilities reached by different sums must sort as one
+    level = {(p, c): round(math.log(max(tails[p + c][p], 1e-300)), 9) for p, c in pairs if p}
+    if not level:
+        return {}
+    steps = np.array(sorted(set(level.values())))
+    found, chance = np.zeros(len(steps)), np.zeros(len(steps))
+    units_in = {}
+    for (p, c), m in pairs.items():
+        units_in[p + c] = units_in.get(p + c, 0) + m
+        if p:
+            found[np.searchsorted(steps, level[p, c]):] += m
+    for n, m in units_in.items():
+        tail = np.sort([round(math.log(max(x, 1e-300)), 9) for x in tails[n].values()])
+        at = np.searchsorted(tail, steps, "right")
+        chance += np.where(at > 0, np.exp(tail[np.maximum(at - 1, 0)]), 0) * m
+    share = chance / found
+    good = np.flatnonzero(share <= FALSE_SHARE)
+    last = steps[good[-1] if len(good) else int(share.argmin())]
+    return {k: x / min(steps[0], -1e-9) for k, x in level.items() if x <= last}
+
+
+def fit_units(toxic: list[str], clean: list[str], weight: np.ndarray, both: dict[str, int] | None = None) -> Model:
     """The SVM over units; ``weight``: how many documents each toxic unit stands for. Disguised
-    forms of the toxic units, at a tenth of the weight, are learnt along."""
+    forms of the toxic units, at a tenth of the weight, are learnt along. ``both``: toxic units
+    of clean documents, and how many; they count against the unit by the same measure."""
+    both = both or {}
     forms = [(d, w / 10) for u, w in zip(toxic, weight) for d in disguised(u)]
     toxic = [*toxic, *(d for d, _ in forms)]
     weight = np.concatenate([weight, [w for _, w in forms]])
     order = np.argsort(-weight, kind="stable")[:LANDMARKS * 3 // 4]
     landmarks = [toxic[k] for k in order] + clean[:LANDMARKS - len(order)]
-    z, x = features(landmarks), features(toxic + clean)
+    units = [*toxic, *clean, *both]
+    z = features(landmarks)
     values, vectors = np.linalg.eigh(gram(z, z))
     good = values > 1e-6 * values.max(initial=0)
     root = vectors[:, good] / np.sqrt(values[good])
-    y = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean))])
-    c = np.concatenate([np.log1p(weight), np.ones(len(clean))])
-    c[y > 0] *= max(1.0, (y < 0).sum() / max(c[y > 0].sum(), 1e-9) / 4)
-    w, offset = fit_svm(gram(x, z) @ root, y, c / c.sum() * 100)
+    y = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean) + len(both))])
+    c = np.concatenate([np.log1p(weight), np.ones(len(clean)), np.log1p(np.array(list(both.values()), float))])
+    told = np.concatenate([np.ones(len(toxic), bool), np.zeros(len(clean), bool), np.ones(len(both), bool)])
+    c[told] *= max(1.0, len(clean) / max(c[y > 0].sum(), 1e-9) / 4)
+    x = np.concatenate([gram(features(units[k:k + 4096]), z) for k in range(0, len(units), 4096)])
+    w, offset = fit_svm(x @ root, y, c / c.sum() * 100)
     alpha = root @ w
     table = np.bincount(z[0].ravel(), (z[1] * alpha[:, None]).ravel(), CLASSES**3)
     table[0] = 0
@@ -261,24 +304,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
         return float(next(iter(totals), 0))
     counts = cut_lineage(units.groupBy("unit").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")),
                          "toxic-counts")
-    odds = F.log((F.col("pos") + 0.5) / (totals[1] + 1)) - F.log((F.col("neg") + 0.5) / (totals[0] + 1))
-    told = counts.withColumn("odds", odds)
-    # one unit for each toxic document: at most TOXIC_ROWS rows
-    least = max(TOLD_ROWS, math.ceil(TOLD_SHARE * totals[1]))
-    witness = (units.filter("toxic = 1").join(told.filter(F.col("pos") >= least), "unit").groupBy("doc")
-               .agg(F.max_by("unit", F.struct("odds", "unit")).alias("unit"), F.max("odds").alias("odds"))
-               .groupBy("unit").agg(F.count("*").alias("n"), F.max("odds").alias("odds")).collect())
-    weight = {r["unit"]: r["n"] for r in witness if r["odds"] >= TOLD_ODDS}
-    if not weight:
-        return 0.0
+    pairs = {(r["pos"], r["neg"]): r["count"] for r in counts.groupBy("pos", "neg").count().collect()}
+    chosen = telling(pairs, totals[1], totals[0])
+    if not chosen:
+        return 0.0                                     # no toxic document has a unit
+    # a few kinds of counts; the units are among those of TOXIC_ROWS documents
+    kinds = docs.sparkSession.createDataFrame(sorted(chosen), "pos long, neg long")
+    told = {r["unit"]: r for r in counts.join(F.broadcast(kinds), ["pos", "neg"]).collect()}
     clean = counts.filter("neg > 0")
     half = CLEAN_UNITS // 2
     negatives = [r[0] for r in clean.orderBy(F.desc("neg"), "unit").limit(half).collect()]
     negatives += [r[0] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(half).collect()]
-    positives = sorted(weight)
-    negatives = [u for u in dict.fromkeys(negatives) if u not in weight]
-    heavy = np.array([weight[u] for u in positives], float)
-    model = fit_units(positives, negatives, heavy)
+    positives = sorted(told)
+    negatives = [u for u in dict.fromkeys(negatives) if u not in told]
+    heavy = np.array([told[u]["pos"] * chosen[told[u]["pos"], told[u]["neg"]] for u in positives])
+    both = {u: told[u]["neg"] for u in positives if told[u]["neg"]}
+    model = fit_units(positives, negatives, heavy, both)
 
     def margins_of(batches, model=model):
         out = pa.schema([("unit", pa.string()), ("margin", pa.float64())])
@@ -287,8 +328,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
 
     worst = clean.select("unit").mapInArrow(margins_of, "unit string, margin double").orderBy(F.desc("margin"), "unit")
     hard = [r[0] for r in worst.limit(HARD_UNITS).collect()]
-    negatives += [u for u in dict.fromkeys(hard) if u not in weight and u not in set(negatives)]
-    model = fit_units(positives, negatives, heavy)
+    known = set(negatives)
+    negatives += [u for u in dict.fromkeys(hard) if u not in told and u not in known]
+    model = fit_units(positives, negatives, heavy, both)
     margins = (counts.select("unit").mapInArrow(lambda b: margins_of(b, model), "unit string, margin double"))
     per_doc = units.join(margins, "unit").groupBy("doc").agg(F.max("toxic"), F.max("margin")).collect()
     toxic, margin = (np.array([r[k] for r in per_doc], float) for k in (1, 2))
