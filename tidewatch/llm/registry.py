@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe_codec import decode, encode
+from tidewatch.llm.conversation_repair import damaged, repair
 from tidewatch.llm.decontaminate import contaminated
 from tidewatch.llm.line_dedup import line_dedup
 from tidewatch.llm.ngram_jaccard import jaccard_classes
@@ -167,6 +168,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -178,5 +183,6 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE_SQL = {"op4_ngram_jaccard": OP4_SQL, "op5_exact_topk": OP5_SQL, "op8_suffix_dedup": OP8_SQL}
