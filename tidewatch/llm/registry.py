@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe_codec import decode, encode
 from tidewatch.llm.conversation_repair import damaged, repair
+from tidewatch.llm.cross_align import cross_align
 from tidewatch.llm.decontaminate import contaminated
 from tidewatch.llm.line_dedup import line_dedup
 from tidewatch.llm.ngram_jaccard import jaccard_classes
@@ -168,6 +169,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = cross_align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("piece_bpe_32k.model"))
+    return aligned.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(_table(spark, sf_dir, "conversations")))
 
@@ -183,6 +190,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_cross_align": op11_cross_align,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE_SQL = {"op4_ngram_jaccard": OP4_SQL, "op5_exact_topk": OP5_SQL, "op8_suffix_dedup": OP8_SQL}
