@@ -12,6 +12,7 @@ from tidewatch.llm.cross_align import cross_align
 from tidewatch.llm.decontaminate import contaminated
 from tidewatch.llm.line_dedup import line_dedup
 from tidewatch.llm.ngram_jaccard import jaccard_classes
+from tidewatch.llm.nn_descent import neighbours
 from tidewatch.llm.sharding import shard_by_bytes
 from tidewatch.llm.substring_dedup import substring_dedup
 from tidewatch.llm.suffix_dedup import suffix_dedup
@@ -175,6 +176,10 @@ def op11_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
 
 
+def op12_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(_table(spark, sf_dir, "conversations")))
 
@@ -191,6 +196,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_cross_align": op11_cross_align,
+    "op12_nn_descent": op12_nn_descent,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE_SQL = {"op4_ngram_jaccard": OP4_SQL, "op5_exact_topk": OP5_SQL, "op8_suffix_dedup": OP8_SQL}
