@@ -107,3 +107,4 @@ def test_one_word_of_a_megabyte_and_bounded_cache(monkeypatch):
     texts = ["one two three four five", "six seven", "y" * 20_000, "one two"]
     got = [[e[:5] for e in t] for t in aligner.texts(texts)]
     assert got[3] == got[0][:2] and all(len(w) < 300 for w in aligner.kept)
+    assert len(aligner.texts(texts[:1])[0]) == 5 and len(aligner.kept) <= 5

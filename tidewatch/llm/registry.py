@@ -172,8 +172,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = cross_align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                          public_tokenizers.path("piece_bpe_32k.model"))
-    return aligned.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
+                          public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
 
 
 def op12_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
