@@ -2,8 +2,9 @@
 
 No pairs are emitted: each (entity, date) gets one sorted set of metric names through a
 partially-aggregated ``collect_set`` (its size is bounded by the number of metrics of one
-entity), and every anomaly takes that set minus itself. A +/-N-day window is an equi-join
-on dates after each (metric, date) is spread over the 2N+1 dates it can reach.
+entity), and every anomaly takes that set minus itself. For a +/-N-day window dates fall into
+bins of N days, whose sets are built once; each date looks into its own bin and the two beside
+it and keeps what is within N days, so a row has three copies at most, whatever N is.
 """
 
 from __future__ import annotations
@@ -24,11 +25,16 @@ def date_metric_sets(anomalies: DataFrame, keys: Sequence[str] = (), ts: str = "
                      window_days: int = 0) -> DataFrame:
     """``(keys..., date, names)``: sorted distinct metrics flagged within +/-N days."""
     md = _metric_dates(anomalies, keys, ts)
-    if window_days > 0:
-        n = int(window_days)
-        md = md.withColumn("date", F.explode(F.sequence(F.date_sub("date", n),
-                                                        F.date_add("date", n))))
-    return md.groupBy(*keys, "date").agg(F.array_sort(F.collect_set("metric")).alias("names"))
+    if window_days <= 0:
+        return md.groupBy(*keys, "date").agg(F.array_sort(F.collect_set("metric")).alias("names"))
+    n = int(window_days)
+    binned = md.withColumn("_bin", F.floor(F.unix_date("date") / n))
+    bins = binned.groupBy(*keys, "_bin").agg(F.collect_set(F.struct("date", "metric")).alias("_near"))
+    looks = binned.select(*keys, "date", F.explode(F.array(*[F.col("_bin") + k for k in (-1, 0, 1)])).alias("_bin"))
+    within = F.filter("_near", lambda x: F.abs(F.date_diff(x["date"], F.col("date"))) <= n)
+    names = F.transform(within, lambda x: x["metric"])
+    return looks.distinct().join(bins, [*keys, "_bin"]).groupBy(*keys, "date").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(names)))).alias("names"))
 
 
 def co_occurrences(anomalies: DataFrame, options: CoOccurrenceOptions = CoOccurrenceOptions(),

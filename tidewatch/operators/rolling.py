@@ -37,8 +37,11 @@ def rolling_columns(value: Column, window_size: int, min_periods: int, keys: Seq
 def rolling_stats(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
                   ts: str = "ts", value: str = "value", tiebreak: Sequence[str] = (),
                   extra_partition: Sequence[str] = ()) -> DataFrame:
-    """Add ``n_obs, rolling_mean, rolling_std, z`` to a long frame."""
+    """Add ``n_obs, rolling_mean, rolling_std, z`` to a long frame. Large windows take blocks."""
+    from .blocks import LARGE_WINDOW, blocked_rolling_stats
     opts = options.validated()
+    if opts.window_size > LARGE_WINDOW:
+        return blocked_rolling_stats(long, opts, keys, ts, value, tiebreak, extra_partition)
     cols = rolling_columns(F.col(value), opts.window_size, opts.periods, keys, [ts, *tiebreak],
                            extra_partition)
     out = long.withColumns(cols)

@@ -247,6 +247,15 @@ def q_co_occurrence_pm_n_days(spark, sf_dir):
     return finish(with_text_lists(co.withColumnRenamed("others", "co_occurrences")))
 
 
+@register("co_occurrence_pm_60_days", f"""
+WITH {_anoms_cte()}, {_co_sql(60)}
+SELECT metric, strftime(date, '%Y-%m-%d') AS date, others AS co_occurrences FROM co""")
+def q_co_occurrence_pm_60_days(spark, sf_dir):
+    # a window far wider than the cube's days are dense: dates meet through bins
+    co = co_occurrences(flagship_anomalies(spark, sf_dir), CoOccurrenceOptions(60, "window"))
+    return finish(with_text_lists(co.withColumnRenamed("others", "co_occurrences")))
+
+
 @register("co_occurrence_strict", f"""
 WITH {_anoms_cte()}, {_co_sql(0)}
 SELECT metric, arg_max(others, date) AS co_occurrences FROM co WHERE others <> '' GROUP BY metric""")
@@ -753,14 +762,35 @@ def q_halo_rolling_zscore(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 from ..session import scratch_path  # noqa: E402
-from ..streaming.cube import read_table_stream, stream_metric_cube  # noqa: E402
+from ..streaming.cube import stream_metric_cube  # noqa: E402
 from ..streaming.sinks import (latest_by_key, new_stream_dir, read_batches,  # noqa: E402
                                run_available_now)
 from ..streaming.stateful import stream_suppression, stream_zscore  # noqa: E402
 
 
-def _events_stream(spark, sf_dir):
-    return read_table_stream(spark, f"{sf_dir}/events.parquet", T.table(spark, sf_dir, "events").schema)
+#: How far rows are out of order in the streamed folders, and the watermark's delay that covers it.
+DISORDER_DAYS, DELAY = 6, "8 days"
+STREAM_FILES = 5
+
+
+def _disordered_files(spark, rows, ts: str, name: str, closing: dict | None = None):
+    """``rows`` as a stream over several files, one for each trigger, in which days are out of order:
+    a row comes up to ``DISORDER_DAYS`` before its turn. ``closing`` names the series of one last row, a month
+    later, which moves the watermark past all others (it stays in the buffer itself)."""
+    folder = new_stream_dir(spark, name)
+    rows = cut_lineage(rows, name)
+    day = F.unix_date(F.to_date(ts))
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    span = (last - first + DISORDER_DAYS) // STREAM_FILES + 1
+    turn = F.floor((day - first + F.pmod(F.xxhash64(*rows.columns), F.lit(DISORDER_DAYS + 1))) / span)
+    for k in range(STREAM_FILES):
+        rows.filter(turn == k).coalesce(1).write.parquet(f"{folder}/file-{k}")
+    if closing is not None:
+        at = F.date_from_unix_date(F.lit(last + 30)).cast(rows.schema[ts].dataType).alias(ts)
+        fields = [at if f.name == ts else F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema]
+        spark.range(1).select(*fields).coalesce(1).write.parquet(f"{folder}/file-{STREAM_FILES}")
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1")
+            .option("recursiveFileLookup", "true").parquet(folder))
 
 
 @register("stream_metric_cube", """
@@ -768,10 +798,11 @@ SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS ts,
        count(*) AS n_events, round(sum(value), 6) + 0.0 AS total_value
 FROM events GROUP BY 1, 2""")
 def q_stream_metric_cube(spark, sf_dir):
-    stream = _events_stream(spark, sf_dir).select("ts", "event_type", "value")
+    rows = T.table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    stream = _disordered_files(spark, rows, "ts", "cube-input")
     cube = stream_metric_cube(stream, "ts", {"n_events": F.count(F.lit(1)),
                                             "total_value": F.sum("value")},
-                              bucket="1 hour", dims=["event_type"], watermark="1 hour")
+                              bucket="1 hour", dims=["event_type"], watermark=DELAY)
     path = run_available_now(cube, new_stream_dir(spark, "metric_cube"), "update")
     return finish(latest_by_key(spark, path, ["event_type", "ts"]))
 
@@ -786,9 +817,9 @@ SELECT metric, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, {r6('value')}
        n_obs, {r6('m')} AS rolling_mean, {r6('sd')} AS rolling_std, {r6('z')} AS z
 FROM scored""")
 def q_stream_zscore(spark, sf_dir):
-    stream = _events_stream(spark, sf_dir).select(F.col("event_type").alias("metric"),
-                                                  "event_id", "ts", "value")
-    scored = stream_zscore(stream, STREAM_Z, carry=["event_id"])
+    rows = T.table(spark, sf_dir, "events").select(F.col("event_type").alias("metric"), "event_id", "ts", "value")
+    stream = _disordered_files(spark, rows, "ts", "zscore-input", {"metric": "(end)"})
+    scored = stream_zscore(stream, STREAM_Z, carry=["event_id"], delay=DELAY)
     path = run_available_now(scored, new_stream_dir(spark, "zscore"), "append")
     return finish(read_batches(spark, path).drop("batch_id"))
 
@@ -800,15 +831,11 @@ SELECT a.metric, strftime(a.ts, '%Y-%m-%d') AS timestamp, {r6('a.z')} AS z_score
        f.decision = 'escalation' AS is_escalation
 FROM anom a JOIN fold f USING (metric, rn)""")
 def q_stream_suppression(spark, sf_dir):
-    # the batch job writes its anomaly table; the stream decides them as they arrive
-    anomalies = summarize(flagship_anomalies(spark, sf_dir))
-    table_dir = scratch_path(spark, "tables", new_stream_dir(spark, "anomalies").rsplit("/", 1)[1])
-    (anomalies.select("metric", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
-                      "timestamp", "z_score", "actual")
-     .write.mode("overwrite").parquet(table_dir))
-    schema = spark.read.parquet(table_dir).schema
-    stream = spark.readStream.schema(schema).parquet(table_dir)
-    decided = stream_suppression(stream, SuppressOptions(True, DELTA))
+    # the batch job writes its anomaly table; the stream decides them in the order of event time
+    anomalies = summarize(flagship_anomalies(spark, sf_dir)).select(
+        "metric", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "timestamp", "z_score", "actual")
+    stream = _disordered_files(spark, anomalies, "event_ts", "suppression-input", {"metric": "(end)"})
+    decided = stream_suppression(stream, SuppressOptions(True, DELTA), delay=DELAY)
     path = run_available_now(decided, new_stream_dir(spark, "suppression"), "append")
     return _decisions_view(read_batches(spark, path))
 
@@ -1158,3 +1185,93 @@ def q_empty_run(spark, sf_dir):
             .join(count(alert_body_lines(kept, RUN_TS), "body_lines"))
             .join(count(run_metadata(kept, "run-000001", "zscore", RUN_TS), "reports"))
             .join(count(kept, "anomalies")))
+
+
+# ---------------------------------------------------------------------------
+# scheduled runs over micro-batches; resets; large windows
+# ---------------------------------------------------------------------------
+
+from ..plans.monitor import MonitorConfig  # noqa: E402
+from ..streaming.scheduled import read_records, run_scheduled  # noqa: E402
+
+RUNS = 3
+
+
+@register("scheduled_runs", f"""
+WITH RECURSIVE cube AS (SELECT * FROM ({T.ORDERS_DAILY_SQL})),
+long AS ({_unpivot_sql('cube', T.ORDER_METRICS)}),
+scored AS ({_rolling_sql('long', 30, 30)}),
+points AS (SELECT metric, ts, value, z, z IS NOT NULL AND abs(z) > 3 AS flagged FROM scored WHERE value IS NOT NULL),
+streaks AS (SELECT *, sum(CASE WHEN flagged THEN 0 ELSE 1 END) OVER (PARTITION BY metric ORDER BY ts) AS streak
+            FROM points),
+anom AS (SELECT metric, ts, value, z, abs(z) AS az, streak,
+                row_number() OVER (PARTITION BY metric, streak ORDER BY ts) AS rn FROM streaks WHERE flagged),
+fold(metric, streak, rn, lz, decision) AS (
+  SELECT metric, streak, rn, az, 'new' FROM anom WHERE rn = 1
+  UNION ALL
+  SELECT a.metric, a.streak, a.rn, CASE WHEN a.az - f.lz >= {DELTA} THEN a.az ELSE f.lz END,
+         CASE WHEN a.az - f.lz >= {DELTA} THEN 'escalation' ELSE 'suppressed' END
+  FROM fold f JOIN anom a ON a.metric = f.metric AND a.streak = f.streak AND a.rn = f.rn + 1),
+decided AS (SELECT a.*, f.decision, f.lz FROM anom a JOIN fold f USING (metric, streak, rn)),
+ends AS (SELECT p.metric, arg_max(p.flagged, p.ts) AS active FROM points p GROUP BY 1),
+after AS (SELECT d.metric, arg_max(d.lz, d.ts) AS lz, arg_max(d.value, d.ts) AS last_value,
+                 arg_max({day('d.ts')}, d.ts) FILTER (WHERE d.decision <> 'suppressed') AS alerted
+          FROM decided d GROUP BY 1)
+SELECT d.metric, {day('d.ts')} AS timestamp, {r6('d.z')} AS z_score, d.decision,
+       d.decision = 'escalation' AS is_escalation,
+       CASE WHEN e.active THEN 'active_anomaly' ELSE 'normal' END AS state,
+       CASE WHEN e.active THEN {r6('a.lz')} END AS last_alert_z,
+       CASE WHEN e.active THEN a.alerted END AS last_alert_at, {r6('a.last_value')} AS last_value
+FROM decided d JOIN ends e USING (metric) JOIN after a USING (metric)""")
+def q_scheduled_runs(spark, sf_dir):
+    # the cube in several files in time order, one run each; every window reaches into earlier runs' rows
+    cube = cut_lineage(T.orders_daily(spark, sf_dir), "cube")
+    day_no = F.unix_date(F.to_date("ts"))
+    first, last = cube.agg(F.min(day_no), F.max(day_no)).first()
+    folder = new_stream_dir(spark, "scheduled")
+    for k in range(RUNS):
+        part = F.floor((day_no - first) * RUNS / (last - first + 1)) == k
+        cube.filter(part).coalesce(1).write.parquet(f"{folder}/input/file-{k}")
+    stream = (spark.readStream.schema(cube.schema).option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(f"{folder}/input"))
+    config = MonitorConfig(detect=FLAGSHIP, suppress=SuppressOptions(True, DELTA, "point"), run_ts=RUN_TS,
+                           state_base=f"{folder}/runs")
+    run_scheduled(stream, "ts", T.ORDER_METRICS, config, f"{folder}/checkpoint")
+    decisions = read_records(spark, config.state_base, "decisions")
+    state = read_state(spark, config.state_base).select("metric", "state", "last_alert_z", "last_alert_at", "last_value")
+    return finish(decisions.select("metric", "timestamp", "z_score", "decision", "is_escalation").join(state, "metric"))
+
+
+@register("quiet_metrics_reset", f"""
+WITH RECURSIVE {_anoms_cte()},
+{_fold_sql('fold', 'anom', None)},
+after AS ({_state_after_sql('fold', 'anom', None)})
+SELECT metric, 'normal' AS state, CAST(NULL AS DOUBLE) AS last_alert_z, CAST(NULL AS VARCHAR) AS last_alert_at,
+       {r6('last_value')} AS last_value, true AS reset FROM after""")
+def q_quiet_metrics_reset(spark, sf_dir):
+    # a second run over the cube's first days, too few for any window: it sees all metrics and no anomaly
+    _decisions, active = _whole_run(spark, sf_dir)
+    active = cut_lineage(active, "state")
+    quiet = T.orders_daily(spark, sf_dir)
+    quiet = quiet.filter(F.col("ts") < F.lit(quiet.agg(F.min("ts")).first()[0]) + F.expr("INTERVAL 20 DAYS"))
+    none = attach_notes(summarize(detect_anomalies(quiet, "ts", T.ORDER_METRICS, options=FLAGSHIP)))
+    _none, state = apply_suppression(none, active, observed_from_metrics(spark, T.ORDER_METRICS),
+                                     SuppressOptions(True, DELTA), RUN_TS)
+    was = active.select("metric", (F.col("state") == "active_anomaly").alias("was"))
+    reset = F.col("was") & (F.col("state") == "normal")
+    return finish(state.join(was, "metric").select("metric", "state", "last_alert_z", "last_alert_at", "last_value",
+                                                   reset.alias("reset")))
+
+
+#: A window of a prime number of rows: means don't end on a half of the digits that are compared.
+LARGE = DetectOptions(window_size=401, z_threshold=3.0)
+
+
+@register("large_window_zscore", f"""
+WITH long AS (SELECT event_type AS metric, event_id, ts, value FROM events),
+scored AS ({_rolling_sql('long', 401, 401)})
+SELECT metric, event_id, n_obs, {r6('m')} AS rolling_mean, {r6('sd')} AS rolling_std, {r6('z')} AS z FROM scored""")
+def q_large_window_zscore(spark, sf_dir):
+    # windows of 401 rows: two look-ups a row
+    long = T.table(spark, sf_dir, "events").select(F.col("event_type").alias("metric"), "event_id", "ts", "value")
+    return finish(rolling_stats(long, LARGE).select("metric", "event_id", "n_obs", "rolling_mean", "rolling_std", "z"))

@@ -19,6 +19,7 @@ from ..operators.report import report_tables, write_report
 from ..operators.rolling import detect_long
 from ..operators.suppress import apply_suppression, kept_only, observed_from_metrics
 from ..options import CoOccurrenceOptions, DetectOptions, SuppressOptions
+from ..sources.lookback import split_late
 from ..sources.metrics import WideMetrics, to_long
 from ..session import cut_lineage
 from ..sources.state import read_state, write_state
@@ -36,14 +37,31 @@ class MonitorConfig:
     tiebreak: tuple[str, ...] = ()
 
 
+#: Marks this run's rows among those of earlier runs; the last thing that rows are ordered by.
+NEW = "_new"
+
+
 def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
-                state: DataFrame | None = None) -> dict[str, DataFrame]:
+                state: DataFrame | None = None, history: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``history``: rows of earlier runs (long form) that this run's windows look back at; they are not
+    scored again. Rows of ``wide`` that are not later than their series' last row there come back as
+    ``late`` and are left out."""
     if (config.state_base or config.report_base) and not config.run_id:
         raise ValueError("A run that writes needs a run_id: ids tell earlier runs from later ones.")
     keys = list(wide.keys)
     long = to_long(wide.df, wide.ts, wide.metrics, keys, carry=list(config.tiebreak))
+    out = {}
+    found, order_by = long, list(config.tiebreak)
+    if history is not None:
+        found, out["late"] = split_late(long, history, keys, "ts", order_by)
+        found = long = cut_lineage(found, "new-rows")
+        found = history.select(long.columns).withColumn(NEW, F.lit(False)).unionByName(long.withColumn(NEW, F.lit(True)))
+        order_by.append(NEW)
     # one pass over all points; everything after reads the (small) anomaly table
-    anomalies = cut_lineage(detect_long(long, config.detect, keys, "ts", list(config.tiebreak)))
+    anomalies = detect_long(found, config.detect, keys, "ts", order_by)
+    if history is not None:
+        anomalies = anomalies.filter(NEW).drop(NEW)
+    anomalies = cut_lineage(anomalies)
     annotated = attach_notes(summarize(anomalies), config.co_occurrence, keys)
     if state is None:
         state = read_state(spark, config.state_base, keys, before=config.run_id)
@@ -59,7 +77,9 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
         in_range = points.join(flagged, [*keys, "metric", *order], "left_anti")
     # observed series: every metric column of the run, even all-null ones (from the schema;
     # with entity keys, every key present in the run times every metric)
-    if keys:
+    if in_range is not None:
+        observed = in_range.select(*keys, "metric").distinct()      # a point resets, not a column's presence
+    elif keys:
         observed = wide.df.select(*keys).distinct().withColumn(
             "metric", F.explode(F.array(*[F.lit(m) for m in wide.metrics])))
     else:
@@ -70,7 +90,8 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
     kept = kept_only(decisions)
     if config.state_base:
         write_state(new_state, config.state_base, config.run_id)
-    out = {
+    out |= {
+        "points": long,
         "anomalies": anomalies,
         "summaries": summary_view(decisions, keys),
         "decisions": decisions,

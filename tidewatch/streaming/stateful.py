@@ -1,17 +1,20 @@
-"""Stateful streaming operators built on ``applyInPandasWithState``.
-
-* ``stream_zscore``     trailing-row z-score per series. Row windows are not supported on
-                        streams, so the state holds the last ``w - 1`` values (NULLs
-                        included: they occupy frame rows) and each micro-batch is scored
-                        after the buffer. State per series is O(w).
-* ``stream_suppression`` the suppress/escalate rules per series; state is one row
-                        (state, last alert z / time, last value). With ``reset_scope='point'``
-                        an in-range observation resets the series to normal.
-
-Micro-batches carry no order, so handlers sort their rows by event time; series must
-arrive in event-time order across micro-batches (a row older than the buffer is scored
-against the newer buffer). Micro-batch size (``maxFilesPerTrigger``) bounds the rows a
-handler holds for one series.
+"""Stateful streaming operators on ``applyInPandasWithState``, with an event-time buffer.
+
+* ``stream_zscore``      trailing-row z-score per series. The state holds the last ``w - 1``
+                         released values (NULLs included: they occupy frame rows).
+* ``stream_suppression`` the suppress/escalate rules per series; the state is one row
+                         (state, last alert z / time, last value). With ``reset_scope='point'``
+                         an in-range observation resets the series to normal.
+
+Rows arrive in any order. Each series holds them back until the stream's watermark (the latest
+event time seen, less ``delay``) has reached them; then a timer releases them in the order of
+event time, whether or not the series got new rows. So the result does not depend on how the
+rows were cut into micro-batches. A row that is older than the watermark when it arrives is late
+and dropped, as by every watermarked operator: nothing already released ever changes. Rows of the
+last ``delay`` before the latest event stay in the state until later rows move the watermark on.
+
+The buffer is one Arrow table per series, bounded by the rows of that series within ``delay`` and
+a micro-batch. Input frames are taken one by one, and nothing loops over rows.
 """
 
 from __future__ import annotations
@@ -19,16 +22,58 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType,
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, LongType, StringType,
                                StructField, StructType)
 
 from ..options import DetectOptions, SuppressOptions
 
 STATE_NORMAL = "normal"
 STATE_ACTIVE = "active_anomaly"
+#: Event time as microseconds, beside the rows in the buffer.
+AT = "_at"
+EVENT = "_event_ts"
+
+
+def _timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
+    """The stream with its watermark and the event time as a number. TIMESTAMP_NTZ is read under
+    the session time zone, which ``build_session`` sets to UTC."""
+    timed = stream.withColumn(EVENT, F.col(ts).cast("timestamp"))
+    return timed.withColumn(AT, F.unix_micros(EVENT)).withWatermark(EVENT, delay)
+
+
+def _unpack(blob: bytes | None) -> list[pa.Table]:
+    return [] if blob is None else [pa.ipc.open_stream(blob).read_all()]
+
+
+def _pack(table: pa.Table) -> bytes | None:
+    if not table.num_rows:
+        return None
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _release(blob: bytes | None, frames, schema: pa.Schema, state, order: Sequence[str]
+             ) -> tuple[pa.Table, bytes | None]:
+    """Rows that the watermark has reached, in order, and the others packed; sets the timer of
+    the earliest one that stays."""
+    held = _unpack(blob)
+    for frame in frames:
+        held.append(pa.Table.from_pandas(frame[schema.names], schema=schema, preserve_index=False))
+    rows = pa.concat_tables(held) if held else schema.empty_table()
+    mark = state.getCurrentWatermarkMs()
+    at = rows.column(AT).to_numpy()
+    reached = at <= mark * 1000
+    stay = rows.filter(pa.array(~reached))
+    if stay.num_rows:
+        # a timer fires when the watermark has passed it
+        state.setTimeoutTimestamp(max(int(at[~reached].min()) // 1000, mark + 1))
+    return rows.filter(pa.array(reached)).sort_by([(c, "ascending") for c in (AT, *order)]), _pack(stay)
 
 
 def rolling_scores(buffer: np.ndarray, values: np.ndarray, window: int, min_periods: int):
@@ -51,10 +96,22 @@ def rolling_scores(buffer: np.ndarray, values: np.ndarray, window: int, min_peri
     return n, mean, sd, z
 
 
+def _buffer_schema(stream: DataFrame, columns: Sequence[str]) -> pa.Schema:
+    fields = {f.name: f for f in stream.schema.fields}
+    kept = StructType([fields[c] for c in dict.fromkeys(columns)] + [StructField(AT, LongType())])
+    return to_arrow_schema(kept)
+
+
+#: Rows scored at once: their frames take this many times the window in memory.
+SCORED_ROWS = 4096
+
+
 def stream_zscore(stream: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
-                  ts: str = "ts", value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
-    """Score every incoming row: ``(keys, metric, carry..., ts, value, n_obs, rolling_mean,
-    rolling_std, z)``. Output mode append."""
+                  ts: str = "ts", value: str = "value", carry: Sequence[str] = (),
+                  delay: str = "0 seconds") -> DataFrame:
+    """Score every incoming row once the watermark has reached it: ``(keys, metric, carry..., ts,
+    value, n_obs, rolling_mean, rolling_std, z)``. Rows of one time come in the order of ``carry``.
+    Output mode append."""
     opts = options.validated()
     w, mp = opts.window_size, opts.periods
     sk = [*keys, "metric"]
@@ -62,39 +119,68 @@ def stream_zscore(stream: DataFrame, options: DetectOptions, keys: Sequence[str]
     out_schema = StructType([in_fields[c] for c in [*sk, *carry, ts, value]] + [
         StructField("n_obs", LongType()), StructField("rolling_mean", DoubleType()),
         StructField("rolling_std", DoubleType()), StructField("z", DoubleType())])
-    state_schema = StructType([StructField("buffer", ArrayType(DoubleType()))])
+    state_schema = StructType([StructField("buffer", ArrayType(DoubleType())),
+                               StructField("waiting", BinaryType())])
     names = [f.name for f in out_schema.fields]
-
-    def handler(key, pdfs, state):
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if batch.empty:
-            return
-        batch = batch.sort_values([ts, *carry], kind="mergesort").reset_index(drop=True)
-        buffer = np.array([np.nan if v is None else v for v in state.get[0]], dtype=float) \
-            if state.exists else np.empty(0)
-        vals = batch[value].to_numpy(dtype=float, na_value=np.nan)
-        n, mean, sd, z = rolling_scores(buffer, vals, w, mp)
-        batch["n_obs"], batch["rolling_mean"], batch["rolling_std"], batch["z"] = n, mean, sd, z
-        keep = np.concatenate([buffer, vals])[-(w - 1):] if w > 1 else np.empty(0)
-        state.update(([None if np.isnan(v) else float(v) for v in keep],))
-        yield batch[names]
-
-    return stream.groupBy(*sk).applyInPandasWithState(
-        handler, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    held = _buffer_schema(stream, [*sk, *carry, ts, value])
+
+    def handler(key, frames, state):
+        last, blob = state.get if state.exists else ([], None)
+        rows, blob = _release(blob, frames, held, state, carry)
+        buffer = np.array([np.nan if v is None else v for v in last], dtype=float)
+        for k in range(0, rows.num_rows, SCORED_ROWS):
+            part = rows.slice(k, SCORED_ROWS)
+            values = part.column(value).to_numpy().astype(float)
+            n, mean, sd, z = rolling_scores(buffer, values, w, mp)
+            buffer = np.concatenate([buffer, values])[-(w - 1):]
+            out = part.drop_columns([AT]).to_pandas()
+            out["n_obs"], out["rolling_mean"], out["rolling_std"], out["z"] = n, mean, sd, z
+            yield out[names]
+        state.update(([None if np.isnan(v) else float(v) for v in buffer], blob))
+
+    return _timed(stream, ts, delay).groupBy(*sk).applyInPandasWithState(
+        handler, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+NEW, ESCALATION, SUPPRESSED, KEPT = "new", "escalation", "suppressed", "kept"
+
+
+def decide_streak(az: np.ndarray, last: float | None, delta: float) -> tuple[np.ndarray, float]:
+    """Decisions of anomalies without an in-range row between them, and the last alert's |z|.
+    ``last``: the |z| of the alert that the streak continues, or None."""
+    out = np.full(len(az), SUPPRESSED, dtype=object)
+    at = 0
+    if last is None:
+        out[0], last, at = NEW, az[0], 1
+    if delta == 0:
+        before = np.maximum.accumulate(np.concatenate([[last], az[at:]]))[:-1]
+        out[at:][az[at:] >= before] = ESCALATION
+        return out, float(max(last, az[at:].max(initial=last)))
+    while at < len(az):
+        higher = az[at:] - last >= delta
+        step = int(higher.argmax())
+        if not higher[step]:
+            break
+        at += step
+        out[at], last = ESCALATION, az[at]
+        at += 1
+    return out, float(last)
 
 
 def stream_suppression(stream: DataFrame, options: SuppressOptions = SuppressOptions(),
                        keys: Sequence[str] = (), ts: str = "event_ts",
-                       anomaly_flag: str | None = None) -> DataFrame:
-    """Decide anomalies as they arrive.
+                       anomaly_flag: str | None = None, delay: str = "0 seconds",
+                       tiebreak: Sequence[str] = ("actual", "z_score")) -> DataFrame:
+    """Decide anomalies in the order of event time, once the watermark has reached them.
 
     ``stream`` rows: keys, metric, ``ts``, timestamp (date text), z_score, actual and, for
-    ``reset_scope='point'``, a boolean ``anomaly_flag`` column (False = in-range point).
-    Output (append): keys, metric, ts, timestamp, z_score, decision, is_escalation.
+    ``reset_scope='point'``, a boolean ``anomaly_flag`` column (False = in-range point). In-range
+    points come before anomalies of the same time; anomalies of one time in the order of
+    ``tiebreak``. Output (append): keys, metric, ts, timestamp, z_score, decision, is_escalation.
     """
     sk = [*keys, "metric"]
+    options.validated()
     delta = float(options.escalation_z_delta)
-    enabled = options.enabled
     point = options.reset_scope == "point"
     if point and anomaly_flag is None:
         raise ValueError("reset_scope='point' needs the anomaly_flag column")
@@ -104,43 +190,47 @@ def stream_suppression(stream: DataFrame, options: SuppressOptions = SuppressOpt
     state_schema = StructType([StructField("state", StringType()),
                                StructField("last_alert_z", DoubleType()),
                                StructField("last_alert_at", StringType()),
-                               StructField("last_value", DoubleType())])
+                               StructField("last_value", DoubleType()),
+                               StructField("waiting", BinaryType())])
     names = [f.name for f in out_schema.fields]
-
-    def handler(key, pdfs, state):
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if batch.empty:
-            return
-        batch = batch.sort_values([ts], kind="mergesort").reset_index(drop=True)
-        st, lz, lat, lv = state.get if state.exists else (STATE_NORMAL, None, None, None)
-        decisions = []
-        for r in batch.to_dict("records"):
-            if point and not bool(r[anomaly_flag]):
-                if st == STATE_ACTIVE:
-                    st, lz, lat = STATE_NORMAL, None, None
-                continue
-            az = abs(float(r["z_score"]))
-            if not enabled:
-                st, lz, lat, lv = STATE_ACTIVE, az, r["timestamp"], r["actual"]
-                decision = "kept"
-            elif st != STATE_ACTIVE:
-                st, lz, lat, lv = STATE_ACTIVE, az, r["timestamp"], r["actual"]
-                decision = "new"
-            else:
-                prev = abs(lz) if lz is not None else 0.0
-                if az - prev >= delta:
-                    lz, lat, lv = az, r["timestamp"], r["actual"]
-                    decision = "escalation"
+    flagged = [anomaly_flag] if point else []
+    held = _buffer_schema(stream, [*sk, ts, "timestamp", "z_score", "actual", *flagged, *tiebreak])
+
+    def handler(key, frames, state):
+        st, lz, lat, lv, blob = state.get if state.exists else (STATE_NORMAL, None, None, None, None)
+        rows, blob = _release(blob, frames, held, state, [*flagged, *tiebreak])
+        flags = rows.column(anomaly_flag).to_numpy().astype(bool) if point else np.ones(rows.num_rows, bool)
+        found = rows.filter(pa.array(flags))
+        if found.num_rows:
+            az = np.abs(found.column("z_score").to_numpy().astype(float))
+            decisions = np.full(len(az), KEPT, dtype=object)
+            if options.enabled:
+                # streaks: anomalies between two in-range rows; the first may continue the state
+                streak = np.cumsum(~flags)[flags]
+                start = np.concatenate([[0], np.flatnonzero(np.diff(streak)) + 1, [len(az)]])
+                decisions[:] = NEW
+                goes_on = st == STATE_ACTIVE and streak[0] == 0
+                last = (abs(lz) if lz is not None else 0.0) if goes_on else None
+                alone = np.diff(start) == 1
+                for k in np.flatnonzero(~alone | (np.arange(len(alone)) == 0) & goes_on):
+                    a, b = start[k], start[k + 1]
+                    decisions[a:b], top = decide_streak(az[a:b], last if k == 0 else None, delta)
+                k = len(start) - 2
+                a = start[k]
+                alerts = np.flatnonzero(decisions[a:] != SUPPRESSED)
+                if len(alerts):
+                    lz, lat = float(az[a + alerts[-1]]), found.column("timestamp")[int(a + alerts[-1])].as_py()
                 else:
-                    lz, lv = prev, r["actual"]
-                    decision = "suppressed"
-            decisions.append(decision)
-        state.update((st, lz, lat, lv))
-        scored = batch[batch[anomaly_flag].astype(bool)] if point else batch
-        if len(scored):
-            scored = scored.assign(decision=decisions,
-                                   is_escalation=[d == "escalation" for d in decisions])
-            yield scored[names]
-
-    return stream.groupBy(*sk).applyInPandasWithState(
-        handler, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+                    lz = last
+            else:
+                lz, lat = float(az[-1]), found.column("timestamp")[-1].as_py()
+            st, lv = STATE_ACTIVE, float(found.column("actual")[-1].as_py())
+            out = found.to_pandas()
+            out["decision"], out["is_escalation"] = decisions, decisions == ESCALATION
+            yield out[names]
+        if len(flags) and not flags[-1] and st == STATE_ACTIVE:
+            st, lz, lat = STATE_NORMAL, None, None
+        state.update((st, lz, lat, lv, blob))
+
+    return _timed(stream, ts, delay).groupBy(*sk).applyInPandasWithState(
+        handler, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
