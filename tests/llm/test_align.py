@@ -73,7 +73,8 @@ def rows(frame):
 def wild(seed, n=150):
     rng = random.Random(seed)
     parts = ["word", "Wörter", " ", "  ", "\n", "\t", "\u3000", "\u00a0", "漢字", "🙂👍🏽", "e\u0301", "\u2581", "<0x41>", "<|endoftext|>", "<s>",
-             "don't", "'ll", "123456", "...", "_", "\x1f", "\x85", "\u200b", "\ufeff", "\u180e", "\u2028", "\x00", "न", "\u202f", "x" * 40]
+             "don't", "'ll", "123456", "...", "_", "\x1f", "\x85", "\u200b", "\ufeff", "\u180e", "\u2028", "\x00", "न", "\u202f", "x" * 40,
+             "a,", "a", "x_y", "f(x)", "²!", "ɏ.", "é#", "9%", "a.b.c", "`a`", "it's", "a\u0301.", "ﬁ!", "५.", "ß;"]
     return ["".join(rng.choice(parts) + rng.choice(["", " ", " "]) for _ in range(rng.randint(1, 25))) for _ in range(n)]
 
 

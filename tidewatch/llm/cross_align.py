@@ -5,9 +5,11 @@ the text. Where a token's decoded bytes fill its coarse span, the span stands; t
 character (parts of a multibyte one, byte-fallback tokens) are laid out by their decoded bytes.
 
 Both tokenizers always cut before a single space that stands between two other characters: byte-level
-pre-tokens only begin with a space, and no piece has a space mark behind another character (checked in
-the vocabulary; without that, texts are encoded whole). So a text is encoded word by word, from a bounded
-cache in the worker, which is exact. Pairs are counted for each document before they leave the task.
+pre-tokens only begin with a space, and no piece has a space mark behind another character. They also cut
+between a Latin letter or a digit and a punctuation mark: no pre-token and no piece holds both, in that
+order. (Both are checked in the vocabulary; without that, texts are encoded whole.) So a text is encoded
+part by part, from a bounded cache in the worker, which is exact. A part without a space before it is
+encoded behind the letter a, whose own token is taken off again. Pairs are counted for each document before they leave the task.
 A document's sums then need the corpus-wide counts: the most frequent pairs, a table of fixed size, are
 looked up where the documents are, the rest by a join.
 """
@@ -28,7 +30,7 @@ from tidewatch.llm.bpe import load_json
 from tidewatch.session import cut_lineage
 
 #: Words that a worker keeps (half of them those met last), and the longest kept.
-CACHE_ENTRIES, KEPT_CHARS = 150_000, 200
+CACHE_ENTRIES, KEPT_CHARS = 300_000, 200
 #: Words encoded at once, and the bytes of text in a step.
 MISSES, TEXT_BYTES = 8_000, 2 << 20
 #: Frequent pairs that are broadcast: 17 bytes each, whatever the input. The others are joined.
@@ -41,6 +43,11 @@ WHITE = r"\s\u180e\u200b\ufeff" + SPACE
 #: Where the words of a text can't simply be cut at every space.
 ODD = re.compile(f"[{WHITE}] | (?:{SPACE}|\\Z)|\\A ")
 CUT = re.compile(f"(?<=[^{WHITE}])(?= [^ {SPACE}])")
+#: A letter or digit that all engines know, and the marks before which both sides cut behind it (no underscore).
+LETTER, MARK = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-\^`{-~"
+INNER = re.compile(f"(?<=[{LETTER}])(?=[{MARK}])")
+#: A part that stands behind no space; no other part looks like this.
+CARRIED = re.compile(f"a[{MARK}]").match
 #: Words that others may stand beside in one call: nothing that counts as white space at either end.
 SIMPLE = re.compile(f"[^{WHITE}](?:.*[^{WHITE}])?", re.DOTALL).fullmatch
 DOCS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
@@ -91,7 +98,8 @@ class Aligner:
         self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         self.width = len(pieces)
         self.codes = self.width * len(self.a_bytes)            # pairs that there can be
-        self.by_word = not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        self.by_word = not any(SPACE in p.lstrip(SPACE) or INNER.search(p) for i, p in enumerate(pieces)
+                               if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))) and {len(self.a.encode(" a").ids), len(self.b.encode("a"))} == {1}
         #: ids as text with what follows them: a comma, or the mark behind the last one of a group's side
         self.shown = [f"{i}{c}" for side, last in ((self.a_bytes, "|"), (self.b_bytes, ";"))
                       for i in range(len(side)) for c in (",", last)]
@@ -101,6 +109,7 @@ class Aligner:
         """The parts of space + text that are encoded for themselves, without their first space."""
         if not self.by_word:
             return [text]
+        text = INNER.sub(" a", text)
         if ODD.search(text):
             return [w[1:] for w in CUT.split(" " + text)]
         return text.split(" ")
@@ -175,7 +184,11 @@ class Aligner:
         parts, at = list(map(self.shown.__getitem__, shown[order].tolist())), _bounds(a_n + b_n).tolist()
         texts = ["".join(parts[s:e])[:-1] for s, e in zip(at, at[1:])]
         held = [pairs[s:e] for s, e in zip((8 * links).tolist(), (8 * links[1:]).tolist())]
-        return list(zip(a_n.tolist(), b_n.tolist(), groups.tolist(), np.diff(links).tolist(), texts, held))
+        out = list(zip(a_n.tolist(), b_n.tolist(), groups.tolist(), np.diff(links).tolist(), texts, held))
+        for k in [k for k, w in enumerate(words) if CARRIED(w)] if self.by_word else []:
+            a, b, g, n, text, pair = out[k]                    # the carrying letter is the first group and link
+            out[k] = a - 1, b - 1, g - 1, n - 1, text[text.index(";") + 1:], pair[8:]
+        return out
 
     def texts(self, texts: list[str | None]) -> list[list | None]:
         """For each text its words' entries; None for a text without tokens."""
