@@ -24,7 +24,8 @@ LARGE_WINDOW = 256
 def _moments(value: Column, window) -> Column:
     n = F.count(value).over(window)
     return F.struct(n.alias("n"), F.avg(value).over(window).alias("mean"),
-                    (F.var_pop(value).over(window) * n).alias("m2"))
+                    (F.var_pop(value).over(window) * n).alias("m2"),
+                    F.min(value).over(window).alias("low"), F.max(value).over(window).alias("high"))
 
 
 def blocked_rolling_stats(long: DataFrame, options: DetectOptions, keys: Sequence[str] = (),
@@ -51,6 +52,9 @@ def blocked_rolling_stats(long: DataFrame, options: DetectOptions, keys: Sequenc
     both = (na > 0) & (nb > 0)
     mean = F.when(both, a["mean"] + apart * nb / n).otherwise(F.coalesce(b["mean"], a["mean"]))
     m2 = F.when(both, a["m2"] + b["m2"] + apart * apart * na * nb / n).otherwise(F.coalesce(b["m2"], a["m2"]))
+    # equal values have no deviation, whatever their means round to (least and greatest skip nulls)
+    equal = F.least(a["low"], b["low"]) == F.greatest(a["high"], b["high"])
+    m2 = F.when(equal, F.lit(0.0)).otherwise(m2)
     ok = n >= F.lit(opts.periods)
     out = placed.withColumns({"n_obs": n, "rolling_mean": F.when(ok, mean),
                               "rolling_std": F.when(ok, F.sqrt(m2 / n))})

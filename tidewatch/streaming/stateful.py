@@ -9,8 +9,8 @@
 Rows arrive in any order. Each series holds them back until the stream's watermark (the latest
 event time seen, less ``delay``) has reached them; then a timer releases them in the order of
 event time, whether or not the series got new rows. So the result does not depend on how the
-rows were cut into micro-batches. A row that is older than the watermark when it arrives is late
-and dropped, as by every watermarked operator: nothing already released ever changes. Rows of the
+rows were cut into micro-batches. A row whose time (in milliseconds, as watermarks count) is not after
+the watermark when it arrives is late and dropped: nothing already released ever changes. Rows of the
 last ``delay`` before the latest event stay in the state until later rows move the watermark on.
 
 The buffer is one Arrow table per series, bounded by the rows of that series within ``delay`` and
@@ -62,13 +62,13 @@ def _release(blob: bytes | None, frames, schema: pa.Schema, state, order: Sequen
              ) -> tuple[pa.Table, bytes | None]:
     """Rows that the watermark has reached, in order, and the others packed; sets the timer of
     the earliest one that stays."""
-    held = _unpack(blob)
+    held, mark = _unpack(blob), state.getCurrentWatermarkMs()
     for frame in frames:
-        held.append(pa.Table.from_pandas(frame[schema.names], schema=schema, preserve_index=False))
+        new = pa.Table.from_pandas(frame[schema.names], schema=schema, preserve_index=False)
+        held.append(new.filter(pa.array(new.column(AT).to_numpy() // 1000 > mark)))     # the others are late
     rows = pa.concat_tables(held) if held else schema.empty_table()
-    mark = state.getCurrentWatermarkMs()
     at = rows.column(AT).to_numpy()
-    reached = at <= mark * 1000
+    reached = at // 1000 <= mark
     stay = rows.filter(pa.array(~reached))
     if stay.num_rows:
         # a timer fires when the watermark has passed it
