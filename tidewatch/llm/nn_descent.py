@@ -39,8 +39,6 @@ BEAM, OPENED, HOPS, EXACT = 256, 96, 5, 64
 SAMPLE, SAMPLE_BYTES = 20_000, 16 << 20
 #: Nodes of a tree's group that one task splits further.
 GROUP = 8192
-CODED = pa.schema([("block", pa.int64()), ("node", pa.int64()), ("code", pa.binary()), ("scale", pa.float64()),
-                   ("place", pa.int64())])
 NEAR = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("d", pa.list_(pa.float32()))])
 NEAR_SQL = "node long, ids array<long>, d array<float>"
 
@@ -307,11 +305,6 @@ def block_pairs(table: pa.Table):
         yield batch_of(NEAR, node[of], listed(node[other], sizes, pa.int64()), listed(d, sizes, pa.float32()))
 
 
-BEAMS = pa.schema([("q", pa.int64()), ("code", pa.binary()), ("scale", pa.float64()), ("ids", pa.list_(pa.int64())),
-                   ("d", pa.list_(pa.float32())), ("done", pa.list_(pa.int64())), ("seen", pa.list_(pa.int64()))])
-BEAMS_SQL = "q long, code binary, scale double, ids array<long>, d array<float>, done array<long>, seen array<long>"
-
-
 def hop(beams: DataFrame, open_nodes: DataFrame) -> DataFrame:
     """One hop of all queries. ``beams``: q, code, scale, ids and d (nearest first), done (opened ids), seen."""
     waiting = F.slice(F.array_except("ids", "done"), 1, OPENED)
@@ -386,7 +379,6 @@ def build(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame] | N
     centre = np.median(sample, axis=0)       # one huge value must not move it
     blocks = max(1, -(-n_rows // BLOCK))
     kind = dict(rows.dtypes)["v"]
-    schema = None
 
     def number(batches):
         block, at = None, 0
