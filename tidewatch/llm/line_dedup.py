@@ -18,14 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.arrow import batch_of, sliced
+from tidewatch.llm.firsts import later, place
 from tidewatch.llm.skew import attach
 from tidewatch.llm.spans import cut_spans, numbered
 from tidewatch.session import cut_lineage
 
 #: Lines of a chunk that are not blank.
 LEAST = 2
-CHUNKS = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("d1", pa.int64()),
-                    ("d2", pa.int64())])
+CHUNKS = pa.schema([("row", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
+                    ("d1", pa.int64()), ("d2", pa.int64()), ("own", pa.bool_())])
 TEXTS = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("chunk", pa.binary())])
 
 
@@ -60,20 +61,26 @@ def _bare(text: bytes, start: int, end: int) -> bytes:
 
 
 def chunks(rows: DataFrame, least: int) -> DataFrame:
-    """All chunks: row, start, length and the halves of the digest."""
+    """All chunks: row, doc, start, length, the halves of the digest, and own: whether the same text
+    has the chunk before."""
     def cut(batches):
         for batch in sliced(batches, "text"):
-            row, start, length, digests = [], [], [], []
-            for r, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            start, length, digests, own, counts = [], [], [], [], []
+            for text in batch.column(2).cast(pa.binary()).to_pylist():
+                seen, before = set(), len(start)
                 for a, b in line_chunks(text, least):
-                    row.append(r)
                     start.append(a)
                     length.append(b - a)
                     digests.append(hashlib.blake2b(_bare(text, a, b), digest_size=16).digest())
+                    own.append(digests[-1] in seen)
+                    seen.add(digests[-1])
+                counts.append(len(start) - before)
             d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield batch_of(CHUNKS, row, start, length, d[:, 0], d[:, 1])
+            row, doc = (np.repeat(batch.column(c).to_numpy(), counts) for c in (0, 1))
+            yield batch_of(CHUNKS, row, doc, start, length, d[:, 0], d[:, 1], own)
 
-    return rows.select("row", "text").mapInArrow(cut, "row long, start long, length long, d1 long, d2 long")
+    return rows.select("row", place(), "text").mapInArrow(
+        cut, "row long, doc long, start long, length long, d1 long, d2 long, own boolean")
 
 
 def chunk_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -107,13 +114,13 @@ def line_dedup(docs: DataFrame, least: int = LEAST, changed: bool = False) -> Da
     """
     rows = numbered(docs)
     keys = ["d1", "d2"]
-    found = cut_lineage(chunks(rows, least).withColumn("at", F.monotonically_increasing_id()), "line-chunks")
-    twice = cut_lineage(found.groupBy(*keys).agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    found = cut_lineage(chunks(rows, least), "line-chunks")
+    twice = cut_lineage(found.groupBy(*keys).agg(F.count("*").alias("n"), F.min("doc").alias("first"))
                         .filter("n > 1"), "line-digests")
     again = cut_lineage(attach(found, twice, keys), "line-repeats")
     # byte comparison: equal texts meet in one group, and partial counts make it small first
     texts = chunk_texts(rows, again).groupBy(*keys, "chunk").agg(F.count("*").alias("m"))
     unequal = texts.groupBy(*keys).agg(F.count("*").alias("texts")).filter("texts > 1").select(*keys)
     unequal = cut_lineage(unequal, "line-unequal")
-    spans = again.filter("at > first").join(unequal, keys, "left_anti")
+    spans = later(rows, again, keys).join(unequal, keys, "left_anti")
     return cut_spans(rows, spans.select("row", "start", "length"), only=changed)

@@ -35,8 +35,8 @@ LAST_BLOCK = 1024
 #: Equal sketch bytes from which two sets are candidates: at the threshold, 51 of 64 are equal
 #: on average with a deviation of 3.2, so a similar pair falls short with a chance of 1e-4.
 AGREE = 39
-SETS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()),
-                  ("k2", pa.int64()), ("tokens", pa.binary()), ("sketch", pa.binary())])
+SETS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("n", pa.int64()),
+                  ("k1", pa.int64()), ("k2", pa.int64()), ("tokens", pa.binary()), ("sketch", pa.binary())])
 PATHS = pa.schema([("path", pa.int64()), ("rep", pa.int64())])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 MEMBERS = pa.schema([("rep", pa.int64()), ("comp", pa.int64()), ("size", pa.int64()), ("weight", pa.int64()),
@@ -99,10 +99,10 @@ def grams(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sets_of(rows: DataFrame, words: int) -> DataFrame:
-    """Per row: the size of its set, 128 bits that name the set, its minhash tokens, a sketch."""
+    """Per row: its text's hash, the size of its set, 128 bits that name the set, its minhash tokens, a sketch."""
     def run(batches):
         for batch in sliced(batches, "text"):
-            hashes, ends = grams(batch.column(2), words)
+            hashes, ends = grams(batch.column(3), words)
             n = np.diff(ends)
             some = np.flatnonzero(n)
             tokens = np.zeros((len(n), COORDINATES), np.uint32)
@@ -114,10 +114,12 @@ def sets_of(rows: DataFrame, words: int) -> DataFrame:
                 for c in range(COORDINATES):
                     tokens[some, c] = np.minimum.reduceat(hashes * MULTIPLY[c], starts) >> U(32)
             small = (tokens >> np.uint32(4)).astype(np.uint8)
-            yield batch_of(SETS, batch.column(0), batch.column(1), n, k1.view(np.int64), k2.view(np.int64),
+            yield batch_of(SETS, *batch.columns[:3], n, k1.view(np.int64), k2.view(np.int64),
                            [t.tobytes() for t in tokens], [t.tobytes() for t in small])
 
-    return rows.mapInArrow(run, "row long, doc_id long, n long, k1 long, k2 long, tokens binary, sketch binary")
+    hashed = rows.select("row", "doc_id", F.xxhash64("text").alias("hash"), "text")
+    return hashed.mapInArrow(
+        run, "row long, doc_id long, hash long, n long, k1 long, k2 long, tokens binary, sketch binary")
 
 
 def children(path: np.ndarray, tokens: np.ndarray, more: float) -> tuple[np.ndarray, np.ndarray]:
@@ -302,9 +304,9 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     """Near-duplicate classes by the Jaccard similarity of word n-gram sets.
 
     ``docs``: doc_id and text. Returns for each row: row (its number in the table), doc_id,
-    class_row and class_id (row and doc_id of the first row of its class; classes are what
-    links connect) and n_links (the number of other rows at the threshold or above). Rows with
-    equal sets are linked; a text without any word (null, empty) is alone in its class. Repeated
+    class_row and class_id (row and doc_id of the first row of its class, by doc_id, then the
+    text's hash; classes are what links connect) and n_links (the number of other rows at the
+    threshold or above). Rows with equal sets are linked; a text without any word (null, empty) is alone in its class. Repeated
     rows are rows of their own; an empty table gives no rows.
     """
     rows = numbered(docs)
@@ -327,11 +329,13 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRE
         same.select(*keys, "rep", "weight").join(of_rep, "rep", "left")
         .select(*keys, "weight", F.coalesce("label", "rep").alias("class_row"),
                 (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "set-links")
-    slim = sets.select("row", "doc_id", *keys)
+    slim = sets.select("row", "doc_id", "hash", *keys)
     linked = attach(slim, of_set.withColumnRenamed("weight", "copies"), keys, "copies")
-    alone = slim.filter("n = 0").select("row", "doc_id", F.col("row").alias("class_row"), F.lit(0).cast("long").alias("n_links"))
+    alone = slim.filter("n = 0").select("row", "doc_id", "hash", F.col("row").alias("class_row"),
+                                        F.lit(0).cast("long").alias("n_links"))
     placed = cut_lineage(linked.select(*alone.columns).unionAll(alone), "class-rows")
-    heads = placed.groupBy("class_row").agg(F.count("*").alias("n")).join(
-        slim.select(F.col("row").alias("class_row"), F.col("doc_id").alias("class_id")), "class_row")
+    # row numbers follow the scan's splits, so the first of a class is named by what its row holds
+    order = F.struct("doc_id", "hash", "row")
+    heads = placed.groupBy("class_row").agg(F.count("*").alias("n"), F.min(order).alias("head"))
     return attach(placed, cut_lineage(heads, "class-heads"), ["class_row"]).select(
-        "row", "doc_id", "class_row", "class_id", "n_links")
+        "row", "doc_id", F.col("head.row").alias("class_row"), F.col("head.doc_id").alias("class_id"), "n_links")
