@@ -13,6 +13,9 @@ import math
 
 import numpy as np
 
+#: Weights held at once for points near the ends of a series, where each has a window of its own shape.
+EDGE_CELLS = 1 << 18
+
 
 def _odd_at_least(x: int) -> int:
     return x if x % 2 == 1 else x + 1
@@ -59,20 +62,69 @@ def _estimate(y: np.ndarray, rw: np.ndarray | None, xs: np.ndarray, nleft: np.nd
     return (w * y[pos - 1]).sum(axis=1), ok
 
 
+def _tricube(r: np.ndarray, h: float) -> np.ndarray:
+    """Weights at distances ``r`` of a window that reaches ``h`` far."""
+    return np.where(r <= 0.999 * h, np.where(r <= 0.001 * h, 1.0, (1.0 - (r / max(h, 1.0)) ** 3) ** 3), 0.0)
+
+
+def _inner_fits(y: np.ndarray, span: int, degree: int, rw: np.ndarray | None,
+                total_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fits at the points whose window of ``span`` rows is whole, from weighted moments.
+
+    There the tricube weights depend on the offset alone, so each moment of the local line (weights
+    times offset, offset squared, value) is one correlation with a band of ``span`` numbers: memory
+    is a few arrays of the length of ``y``, whatever the span. Products of weights are summed as
+    they are, so a window without any positive weight has a total of exactly 0.
+    """
+    half = (span + 1) // 2
+    d = np.arange(span) - (half - 1.0)
+    h = float(max(half - 1, span - half))
+    band = _tricube(np.abs(d), h)
+    level = y.mean()                         # a fitted line keeps constants; this keeps the digits
+    v = y - level
+
+    def moment(values: np.ndarray, power: int) -> np.ndarray:
+        return np.correlate(values, band * d ** power, "valid")
+
+    fits = len(y) - span + 1
+    if rw is None:
+        s0, s1, s2 = (np.full(fits, (band * d ** k).sum()) for k in range(3))
+    else:
+        s0, s1, s2 = (moment(rw, k) for k in range(3))
+        v = v * rw
+    ok = s0 > 0
+    s0 = np.where(ok, s0, 1.0)
+    fit = moment(v, 0) / s0
+    if degree > 0:
+        centre = s1 / s0
+        spread = np.maximum(s2 / s0 - centre ** 2, 0.0)
+        adjust = (h > 0) & (np.sqrt(spread) > 0.001 * (total_rows - 1.0))
+        slope = np.where(adjust, -centre / np.where(spread > 0, spread, 1.0), 0.0)
+        fit = fit + slope * (moment(v, 1) / s0 - centre * fit)
+    return fit + level, ok
+
+
 def _smooth(y: np.ndarray, span: int, degree: int, rw: np.ndarray | None,
             total_rows: int | None = None) -> np.ndarray:
-    """Loess smooth evaluated at every point 1..n."""
+    """Loess smooth evaluated at every point 1..n: moments where the window is whole, and rows of
+    weights, ``EDGE_CELLS`` at a time, where it is cut off at an end."""
     n = len(y)
     if n < 2:
         return y.copy()
-    xs = np.arange(1, n + 1, dtype=float)
-    if span >= n:
-        nleft, width = np.ones(n, dtype=int), n
-    else:
-        half = (span + 1) // 2
-        nleft = np.clip(np.arange(1, n + 1) - half + 1, 1, n - span + 1)
-        width = span
-    fit, ok = _estimate(y, rw, xs, nleft, width, span, degree, total_rows)
+    half, width = (span + 1) // 2, min(span, n)
+    fit, ok = np.empty(n), np.empty(n, bool)
+    ends = [(0, n)]
+    if span < n:
+        inner = slice(half - 1, n - span + half)
+        fit[inner], ok[inner] = _inner_fits(y, span, degree, rw, total_rows or n)
+        ends = [(0, half - 1), (n - span + half, n)]
+    step = max(1, EDGE_CELLS // width)
+    for first, last in ends:
+        for a in range(first, last, step):
+            b = min(last, a + step)
+            at = np.arange(a + 1, b + 1)
+            nleft = np.clip(at - half + 1, 1, n - width + 1)
+            fit[a:b], ok[a:b] = _estimate(y, rw, at.astype(float), nleft, width, span, degree, total_rows)
     return np.where(ok, fit, y)
 
 

@@ -716,6 +716,26 @@ def q_stl_components(spark, sf_dir):
     return finish(_relative(parts, ["trend", "seasonal", "resid", "expected"], "filled"))
 
 
+HOUR_CTES, HOUR_LAST = stl_ctes("f", 168)
+
+
+@register("stl_weekly_cycle_of_hours", f"""
+WITH cube AS ({T.EVENTS_HOURLY_SQL}),
+long AS ({_unpivot_sql('cube', T.EVENT_METRICS)}),
+f AS (SELECT *, {_FILL_SQL} AS filled, row_number() OVER (PARTITION BY metric ORDER BY ts) AS i FROM long),
+{HOUR_CTES}
+SELECT metric, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, {r6('value')} AS value,
+       {r6('t / greatest(abs(filled), 1)')} AS trend, {r6('s / greatest(abs(filled), 1)')} AS seasonal,
+       {r6('(y - s - t) / greatest(abs(filled), 1)')} AS resid
+FROM f JOIN {HOUR_LAST} USING (metric, i)""")
+def q_stl_weekly_cycle_of_hours(spark, sf_dir):
+    """A period of 168 rows: the trend's window has 321, worked out from moments."""
+    long = to_long(T.events_hourly(spark, sf_dir), "ts", T.EVENT_METRICS)
+    parts = _relative(stl_components(gap_fill(long), 168), ["trend", "seasonal", "resid"], "filled")
+    return finish(parts.select("metric", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "value",
+                               "trend", "seasonal", "resid"))
+
+
 def _stl_anomalies_select(scored: str, mode: str, period: str) -> str:
     scale = "greatest(abs(value), 1)"
     return f"""SELECT metric, {day('ts')} AS timestamp, {r6('value')} AS actual,
