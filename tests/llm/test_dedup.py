@@ -51,11 +51,20 @@ def test_large_groups_are_compared_by_offset(spark, monkeypatch):
         suffix = texts[k][at:at + 40].encode()
         shared = 0 if before is None else common(group[-1][1], suffix)
         group.append((shared, suffix, texts[k][max(0, at - 39):at].encode(), 1))
-    assert len(group) > suffixes.PAIRS
-    pairs = suffixes.reach(group, 40)
-    monkeypatch.setattr(suffixes, "PAIRS", 1000)
-    assert pairs == suffixes.reach(group, 40)
-    assert sum(a + b > 0 for a, b in pairs) == sum(r > 0 for r, _, _ in expected)
+    reaches = []                                   # every pair, byte by byte
+    for i, (_, a, before, _) in enumerate(group):
+        left = right = 0
+        for j, (_, b, other, _) in enumerate(group):
+            if i != j:
+                r = common(a, b)
+                both = common(before[::-1], other[::-1])
+                if r + both >= 40:
+                    left, right = max(left, both), max(right, min(r, 40))
+        reaches.append((left, right))
+    for pairs in (1, 1000):                        # by offsets, and pair by pair
+        monkeypatch.setattr(suffixes, "PAIRS", pairs)
+        assert suffixes.reach(group, 40) == reaches
+    assert sum(a + b > 0 for a, b in reaches) == sum(r > 0 for r, _, _ in expected)
 
 
 def test_loser_tree_merges_and_knows_prefixes():

@@ -11,6 +11,7 @@ anchors and to look at the bytes before them.
    there on) are counted, and one of them stands for all.
 2. Tasks sort the suffixes of their texts and front-code the runs (the length of the prefix
    shared with the suffix before, then the rest); runs are exchanged by ranges of the key.
+   Groups with one kind of surroundings need no sorting: all of these are covered.
 3. Loser trees that never compare a known prefix again merge the runs of a range
    (``loser_tree.py``). Neighbours' common prefixes give how far matches reach to the right,
    the bytes before the anchors how far to the left; a match of ``length`` or more makes spans.
@@ -39,10 +40,11 @@ from tidewatch.session import cut_lineage
 LENGTH, WINDOW, GRAM = 400, 256, 16
 #: Suffixes of a run, groups of at most so many are compared in pairs, and different
 #: surroundings of a group from which on it is dealt out.
-RUN, PAIRS, LARGE = 20_000, 16, 50_000
+RUN, PAIRS, LARGE = 20_000, 300, 50_000
 #: Bytes of suffixes that a range should have.
 RANGE_BYTES = 64 << 20
-ANCHORS = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("c", pa.int64())])
+ANCHORS = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("after", pa.int32()),
+                     ("h", pa.int64()), ("c", pa.int64())])
 RUNS = pa.schema([("range", pa.int64()), ("run", pa.binary())])
 REACH = pa.schema([("id", pa.int64()), ("left", pa.int32()), ("right", pa.int32())])
 WINDOWS = pa.schema([("id", pa.int64()), ("offset", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())])
@@ -91,10 +93,11 @@ def _anchor_rows(rows: DataFrame, length: int, window: int) -> DataFrame:
                 whole = text[start:min(b, p + length)]
                 c.append(digest(whole, digest_size=8, salt=(p - start).to_bytes(4, "little")).digest())
             row = batch.column(0).to_numpy()[doc]
-            yield batch_of(ANCHORS, row, (at - off[doc]).astype(np.int32), np.frombuffer(b"".join(h), np.int64),
-                           np.frombuffer(b"".join(c), np.int64))
+            after = np.minimum(off[doc + 1] - at, length)
+            yield batch_of(ANCHORS, row, (at - off[doc]).astype(np.int32), after.astype(np.int32),
+                           np.frombuffer(b"".join(h), np.int64), np.frombuffer(b"".join(c), np.int64))
 
-    return rows.select("row", "text").mapInArrow(find, "row long, pos int, h long, c long")
+    return rows.select("row", "text").mapInArrow(find, "row long, pos int, after int, h long, c long")
 
 
 def _surroundings(rows: DataFrame, some: DataFrame) -> DataFrame:
@@ -159,13 +162,6 @@ def _exchanged(texts: DataFrame, ranges: int, length: int, window: int) -> DataF
     return texts.mapInArrow(run, "range long, run binary")
 
 
-def _alike(a: bytes, b: bytes, most: int) -> int:
-    """The length of the common suffix."""
-    n = min(len(a), len(b), most)
-    x = int.from_bytes(a[len(a) - n:]) ^ int.from_bytes(b[len(b) - n:])
-    return n if not x else min(n, (x & -x).bit_length() - 1 >> 3)
-
-
 def reach(group: list[tuple[int, bytes, bytes, int]], length: int) -> list[tuple[int, int]]:
     """How far before and after its anchor each suffix of a group is covered, (0, 0) if not at all.
 
@@ -174,39 +170,63 @@ def reach(group: list[tuple[int, bytes, bytes, int]], length: int) -> list[tuple
     is at least ``length``.
     """
     n = len(group)
-    out = [(len(b), len(s)) if count > 1 else (0, 0) for _, s, b, count in group]
-    if n <= PAIRS:
-        for i in range(n):
-            r = length
-            for j in range(i + 1, n):
-                r = min(r, group[j][0])
-                both = _alike(group[i][2], group[j][2], length)
-                if r + both >= length:
-                    for k in (i, j):
-                        out[k] = (max(out[k][0], both), max(out[k][1], r))
-        return out
-    # by offset of the string's start: suffixes that share length - offset bytes are neighbours,
-    # and those of equal bytes before are found by their hash
-    shared = np.array([g[0] for g in group])
-    widest = max(len(g[2]) for g in group)
-    before = np.zeros((n, widest), np.uint8)
-    for k, g in enumerate(group):
-        if g[2]:
-            before[k, :len(g[2])] = np.frombuffer(g[2], np.uint8)[::-1]
-    size, hashes = np.array([len(g[2]) for g in group]), np.zeros(n, U)
-    left, right = (np.array([o[k] for o in out]) for k in (0, 1))
-    for offset in range(widest + 1):
-        if offset:
-            hashes = mix64(hashes ^ (before[:, offset - 1].astype(U) + U(256 * offset)))
-        far = np.flatnonzero(size >= offset)
-        block = np.cumsum(shared < length - offset)
-        _, of, counts = np.unique(mix64(block[far].astype(U)) ^ hashes[far], return_inverse=True, return_counts=True)
-        hit = far[counts[of] > 1]
-        left[hit] = np.maximum(left[hit], offset)
-        right[hit] = np.maximum(right[hit], length - offset)
+    size = np.array([len(b) for _, _, b, _ in group])
+    several = np.array([count > 1 for *_, count in group])
+    left = np.where(several, size, 0)
+    right = np.where(several, [len(s) for _, s, _, _ in group], 0)
+    if n > 1:
+        shared = np.minimum([g[0] for g in group], length)
+        before = np.zeros((n, max(int(size.max()), 1)), np.uint8)     # from the anchor backwards
+        for k, (_, _, b, _) in enumerate(group):
+            before[k, :len(b)] = np.frombuffer(b, np.uint8)[::-1]
+        (_pairs if n <= PAIRS else _blocks)(shared, before, size, length, left, right)
     return list(zip(left.tolist(), right.tolist()))
 
 
+def _alike(a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many bytes rows of ``a`` (m of them filled) and ``b`` (n) share from the front."""
+    differ = a != b
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), differ.shape[1])
+    return np.minimum(first, np.minimum(m, n))
+
+
+def _pairs(shared, before, size, length, left, right):
+    """Each suffix with all that follow it in its group."""
+    for i in range(len(size) - 1):
+        r = np.minimum.accumulate(shared[i + 1:])
+        both = _alike(before[i], size[i], before[i + 1:], size[i + 1:])
+        hit = np.flatnonzero(r + both >= length)
+        if len(hit):
+            j, r, both = hit + i + 1, r[hit], both[hit]
+            left[j], right[j] = np.maximum(left[j], both), np.maximum(right[j], r)
+            left[i], right[i] = max(left[i], both.max()), max(right[i], r.max())
+
+
+def _blocks(shared, before, size, length, left, right):
+    """The same by offset of the string's start, for groups with too many pairs.
+
+    At an offset, suffixes that share length - offset bytes are a block of neighbours in their
+    own order, and those with equal bytes before are one in the order of these; a suffix is
+    covered if both its blocks hold another one too. Offsets between which no block
+    changes are taken together.
+    """
+    order = np.lexsort((size, *before.T[::-1]))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    a, n = before[order], size[order]
+    alike = np.concatenate([[0], _alike(a[:-1], n[:-1], a[1:], n[1:])])
+    widest = int(size.max())
+    turns = np.unique(np.concatenate([[0], length - shared, alike + 1, size + 1]))
+    turns = turns[(turns >= 0) & (turns <= widest)]
+    for first, last in zip(turns.tolist(), [*(turns[1:] - 1).tolist(), widest]):
+        far = np.flatnonzero(size >= first)
+        block = np.cumsum(shared < length - first)[far] * (len(size) + 1) + np.cumsum(alike < first)[rank[far]]
+        _, of, counts = np.unique(block, return_inverse=True, return_counts=True)
+        hit = far[counts[of] > 1]
+        left[hit] = np.maximum(left[hit], last)
+        right[hit] = np.maximum(right[hit], length - first)
+
+
 def _merged(runs: DataFrame, length: int, window: int) -> DataFrame:
     """id, left and right of every suffix that is covered at all."""
     sure = 8 + length - window + 1
@@ -281,18 +301,18 @@ def covered_spans(rows: DataFrame, length: int = LENGTH, window: int = WINDOW, l
     # one anchor for each of the surroundings, with the number of kinds in its group
     heads = some.join(same.select(F.col("id").alias("at"), "n"), "at").withColumnRenamed("at", "id")
     heads = attach(heads.withColumnRenamed("n", "copies"), groups, ["h"]).withColumnRenamed("copies", "n")
-    heads = cut_lineage(heads.select("row", "pos", "id", "h", "n", "kinds"), "suffix-heads")
-    total = heads.count()
+    heads = cut_lineage(heads.select("row", "pos", "after", "id", "h", "n", "kinds"), "suffix-heads")
+    sorted_ = (F.col("kinds") > 1) & (F.col("kinds") <= large)
+    total = heads.filter(sorted_).count()
     ranges = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), total * (length + window) // RANGE_BYTES)
-    runs = _exchanged(_surroundings(rows, heads.filter(F.col("kinds") <= large)), ranges, length, window)
-    reaches = _merged(runs, length, window)
+    runs = _exchanged(_surroundings(rows, heads.filter(sorted_)), ranges, length, window)
+    # copies of the same surroundings cover all of these, whatever else is in their group
+    copied = heads.filter(~sorted_ & (F.col("n") > 1)).select(
+        "id", F.least("pos", F.lit(window - 1)).cast("int").alias("left"), F.col("after").alias("right"))
+    reaches = _merged(runs, length, window).unionAll(copied)
     big = heads.filter(F.col("kinds") > large)
     if not big.isEmpty():
-        texts = _surroundings(rows, big)
-        copied = big.filter("n > 1").join(rows.select("row", F.octet_length("text").alias("size")), "row").select(
-            "id", F.least("pos", F.lit(window - 1)).cast("int").alias("left"),
-            F.least(F.col("size") - F.col("pos"), F.lit(length)).cast("int").alias("right"))
-        reaches = reaches.unionAll(_dealt(texts, length, window)).unionAll(copied).groupBy("id").agg(
+        reaches = reaches.unionAll(_dealt(_surroundings(rows, big), length, window)).groupBy("id").agg(
             F.max("left").alias("left"), F.max("right").alias("right"))
     of_kind = same.join(cut_lineage(reaches, "reaches"), "id").select("h", "c", "n", "left", "right")
     anchors_ = attach(some, cut_lineage(of_kind, "kind-reaches"), ["h", "c"])
