@@ -65,3 +65,17 @@ def test_run_monitor_writes_alert_text(spark, tmp_dir):
     assert lines[0] == "Anomaly Detection Agent - 1 alert item(s) at 2024-06-30 00:00:00"
     assert lines[4].startswith("#1. Revenue  (2024-02-10)  -  UP")
     assert lines[-1] == "This is an automated alert. Investigate each item above."
+
+
+def test_runs_through_the_state_log_equal_snapshots(spark, tmp_dir):
+    from tidewatch.sources.state_log import log_version, read_log
+    frame = wide_frame(spark, {40: 30.0, 41: 45.0, 60: 35.0}).cache()
+    for run, days in enumerate((55, 80, 15), 1):                # the last run sees no anomaly: a reset
+        wide = clean_wide(frame.filter(F.col("rid") < days), "Date", ["Revenue", "Error_Rate"])
+        for where in ({"state_base": f"{tmp_dir}/state"}, {"state_log": f"{tmp_dir}/log"}):
+            run_monitor(spark, wide, MonitorConfig(detect=DetectOptions(window_size=20), run_id=f"{run:012d}",
+                                                   run_ts=f"2024-06-{run:02d} 00:00:00", tiebreak=("rid",), **where))
+        got = read_log(spark, f"{tmp_dir}/log").collect()
+        assert log_version(spark, f"{tmp_dir}/log") == run and got
+        assert sorted(got) == sorted(read_state(spark, f"{tmp_dir}/state").select(*got[0].__fields__).collect())
+    assert {r.state for r in got} == {"normal"}

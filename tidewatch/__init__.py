@@ -12,6 +12,7 @@ from .session import build_session, cut_lineage, ensure_checkpoint_dir
 from .sources.metrics import (MetricLoadError, MetricSource, WideMetrics, clean_wide,
                               read_metrics, to_long, to_wide)
 from .sources.state import read_state, write_state
+from .sources.state_log import StateConflict, commit_state, read_log
 from .operators.cube import metric_cube, pivot_cube
 from .operators.rolling import detect_anomalies, detect_long, rolling_stats
 from .operators.seasonal import seasonal_anomalies
@@ -25,7 +26,8 @@ from .plans.monitor import MonitorConfig, run_monitor
 __all__ = [
     "CoOccurrenceOptions", "DetectOptions", "SuppressOptions", "build_session", "cut_lineage",
     "ensure_checkpoint_dir", "MetricLoadError", "MetricSource", "WideMetrics", "clean_wide",
-    "read_metrics", "to_long", "to_wide", "read_state", "write_state", "metric_cube",
+    "read_metrics", "to_long", "to_wide", "read_state", "write_state", "read_log",
+    "commit_state", "StateConflict", "metric_cube",
     "pivot_cube", "detect_anomalies", "detect_long", "rolling_stats", "seasonal_anomalies",
     "summarize", "summary_view", "attach_notes", "co_occurrences", "apply_suppression",
     "kept_only", "alert_body_lines", "alert_subject", "digest_items", "report_tables",

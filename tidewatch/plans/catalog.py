@@ -1084,6 +1084,7 @@ from ..operators.ranking import global_row_number  # noqa: E402
 from ..operators.records import anomaly_records, write_ordered  # noqa: E402
 from ..operators.report import run_metadata  # noqa: E402
 from ..sources.state import read_state, write_state  # noqa: E402
+from ..sources.state_log import commit_state, log_entry, read_log, version_before  # noqa: E402
 
 
 @register("ordered_anomalies", f"""
@@ -1286,6 +1287,42 @@ def q_quiet_metrics_reset(spark, sf_dir):
                                                    reset.alias("reset")))
 
 
+_STATE_COLS = f"metric, state, {r6('last_alert_z')} AS last_alert_z, last_alert_at, {r6('last_value')} AS last_value"
+
+
+@register("state_log_runs", _two_run_sql(f"""
+SELECT 1 AS version, {_STATE_COLS}, true AS written FROM state1
+UNION ALL
+SELECT 2, {_STATE_COLS}, metric IN (SELECT metric FROM upd2) OR metric IN (SELECT metric FROM reset2) FROM state2
+UNION ALL
+SELECT 3, metric, 'normal', CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), {r6('last_value')}, state = 'active_anomaly'
+FROM state2"""))
+def q_state_log_runs(spark, sf_dir):
+    """Three runs (days before the cutoff, the rest, the cube's first days: no anomaly, so all reset)
+    that hand state on through the log; each version as read back, and which rows the run wrote."""
+    base = scratch_path(spark, "state-log", uuid.uuid4().hex)
+    observed = observed_from_metrics(spark, T.ORDER_METRICS)
+    cube = T.orders_daily(spark, sf_dir)
+    quiet = cube.filter(F.col("ts") < F.lit(cube.agg(F.min("ts")).first()[0]) + F.expr("INTERVAL 20 DAYS"))
+    runs = [flagship_anomalies(spark, sf_dir, f"ts < DATE'{RUN_CUTOFF}'"),
+            flagship_anomalies(spark, sf_dir, f"ts >= DATE'{RUN_CUTOFF}'"),
+            detect_anomalies(quiet, "ts", T.ORDER_METRICS, options=FLAGSHIP)]
+    out = None
+    for k, found in enumerate(runs, 1):
+        version = version_before(spark, base, f"run-{k}")
+        state = read_log(spark, base, version=version) if version else None
+        _decisions, after = apply_suppression(attach_notes(summarize(found)), state, observed,
+                                              SuppressOptions(True, DELTA), f"2024-06-{k:02d} 00:00:00")
+        commit_state(after, base, f"run-{k}", version)
+        part = spark.read.schema(after.schema).parquet(f"{base}/{log_entry(spark, base, k)['parts'][-1]}")
+        rows = (read_log(spark, base, version=k)
+                .join(part.select("metric", F.lit(True).alias("_new")), "metric", "left")
+                .select(F.lit(k).alias("version"), "metric", "state", "last_alert_z", "last_alert_at", "last_value",
+                        F.coalesce("_new", F.lit(False)).alias("written")))
+        out = rows if out is None else out.unionByName(rows)
+    return finish(out)
+
+
 #: A window of a prime number of rows: means don't end on a half of the digits that are compared.
 LARGE = DetectOptions(window_size=401, z_threshold=3.0)
 

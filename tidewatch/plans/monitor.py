@@ -23,6 +23,7 @@ from ..sources.lookback import split_late
 from ..sources.metrics import WideMetrics, to_long
 from ..session import cut_lineage
 from ..sources.state import read_state, write_state
+from ..sources.state_log import commit_state, read_log, version_before
 
 
 @dataclass
@@ -33,6 +34,7 @@ class MonitorConfig:
     run_id: str = ""                    # needed with state_base; ids sort in the order of the runs
     run_ts: str = "1970-01-01 00:00:00"
     state_base: str | None = None
+    state_log: str | None = None        # instead of state_base: only changed rows are written
     report_base: str | None = None
     tiebreak: tuple[str, ...] = ()
 
@@ -46,8 +48,10 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
     """``history``: rows of earlier runs (long form) that this run's windows look back at; they are not
     scored again. Rows of ``wide`` that are not later than their series' last row there come back as
     ``late`` and are left out."""
-    if (config.state_base or config.report_base) and not config.run_id:
+    if (config.state_base or config.state_log or config.report_base) and not config.run_id:
         raise ValueError("A run that writes needs a run_id: ids tell earlier runs from later ones.")
+    if config.state_base and config.state_log:
+        raise ValueError("State goes to state_base or to state_log, not to both.")
     keys = list(wide.keys)
     long = to_long(wide.df, wide.ts, wide.metrics, keys, carry=list(config.tiebreak))
     out = {}
@@ -63,7 +67,11 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
         anomalies = anomalies.filter(NEW).drop(NEW)
     anomalies = cut_lineage(anomalies)
     annotated = attach_notes(summarize(anomalies), config.co_occurrence, keys)
-    if state is None:
+    if config.state_log:
+        version = version_before(spark, config.state_log, config.run_id)
+        if state is None and version:
+            state = read_log(spark, config.state_log, keys, version=version)
+    elif state is None:
         state = read_state(spark, config.state_base, keys, before=config.run_id)
     order = ("event_ts", *config.tiebreak)
     in_range = None
@@ -90,6 +98,8 @@ def run_monitor(spark: SparkSession, wide: WideMetrics, config: MonitorConfig,
     kept = kept_only(decisions)
     if config.state_base:
         write_state(new_state, config.state_base, config.run_id)
+    if config.state_log:
+        commit_state(new_state, config.state_log, config.run_id, version, keys)
     out |= {
         "points": long,
         "anomalies": anomalies,
