@@ -78,7 +78,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):   # local-cluster has workers
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder before running")
         configured = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
