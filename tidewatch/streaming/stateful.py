@@ -1,4 +1,4 @@
-"""Stateful streaming operators on ``applyInPandasWithState``, with an event-time buffer.
+"""Stateful streaming operators on ``transformWithStateInPandas``, with an event-time buffer.
 
 * ``stream_zscore``      trailing-row z-score per series. The state holds the last ``w - 1``
                          released values (NULLs included: they occupy frame rows).
@@ -13,67 +13,50 @@ rows were cut into micro-batches. A row whose time (in milliseconds, as watermar
 the watermark when it arrives is late and dropped: nothing already released ever changes. Rows of the
 last ``delay`` before the latest event stay in the state until later rows move the watermark on.
 
-The buffer is one Arrow table per series, bounded by the rows of that series within ``delay`` and
-a micro-batch. Input frames are taken one by one, and nothing loops over rows.
+The buffer (``waiting.py``) lies in the state store as sorted runs of blocks, and rows are released
+block by block, so a Python worker's memory does not grow with the rows that wait or arrive. The state
+store must be RocksDB: ``run_available_now`` sees to it, other starts set ``STATE_STORE`` (``sinks.py``)
+on the session.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..options import DetectOptions, SuppressOptions
+from .waiting import AT, SERIES, Waiting, buffer_schema, packed
 
 STATE_NORMAL = "normal"
 STATE_ACTIVE = "active_anomaly"
-#: Event time as microseconds, beside the rows in the buffer.
-AT = "_at"
-EVENT = "_event_ts"
 
 
-def _timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
-    """The stream with its watermark and the event time as a number. TIMESTAMP_NTZ is read under
-    the session time zone, which ``build_session`` sets to UTC."""
-    timed = stream.withColumn(EVENT, F.col(ts).cast("timestamp"))
-    return timed.withColumn(AT, F.unix_micros(EVENT)).withWatermark(EVENT, delay)
+class _Released(StatefulProcessor):
+    """``work`` on the rows of each series that the watermark has reached, in order, with its own state."""
 
+    def __init__(self, held: pa.Schema, order: Sequence[str], work: Callable, state: str):
+        self.held, self.order, self.work, self.state_schema = held, order, work, state
 
-def _unpack(blob: bytes | None) -> list[pa.Table]:
-    return [] if blob is None else [pa.ipc.open_stream(blob).read_all()]
+    def init(self, handle) -> None:
+        self.waiting = Waiting(handle, self.held, self.order)
+        self.state = handle.getValueState("series", self.state_schema)
 
+    def handleInputRows(self, key, rows, timerValues):
+        return self.work(self.waiting.taken(rows, timerValues.getCurrentWatermarkInMs()), self.state)
 
-def _pack(table: pa.Table) -> bytes | None:
-    if not table.num_rows:
-        return None
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table.combine_chunks())
-    return sink.getvalue().to_pybytes()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        return self.work(self.waiting.taken([], timerValues.getCurrentWatermarkInMs(), fired=True), self.state)
 
 
-def _release(blob: bytes | None, frames, schema: pa.Schema, state, order: Sequence[str]
-             ) -> tuple[pa.Table, bytes | None]:
-    """Rows that the watermark has reached, in order, and the others packed; sets the timer of
-    the earliest one that stays."""
-    held, mark = _unpack(blob), state.getCurrentWatermarkMs()
-    for frame in frames:
-        new = pa.Table.from_pandas(frame[schema.names], schema=schema, preserve_index=False)
-        held.append(new.filter(pa.array(new.column(AT).to_numpy() // 1000 > mark)))     # the others are late
-    rows = pa.concat_tables(held) if held else schema.empty_table()
-    at = rows.column(AT).to_numpy()
-    reached = at // 1000 <= mark
-    stay = rows.filter(pa.array(~reached))
-    if stay.num_rows:
-        # a timer fires when the watermark has passed it
-        state.setTimeoutTimestamp(max(int(at[~reached].min()) // 1000, mark + 1))
-    return rows.filter(pa.array(reached)).sort_by([(c, "ascending") for c in (AT, *order)]), _pack(stay)
+def _by_series(stream: DataFrame, held: pa.Schema, series: Sequence[str], ts: str, delay: str,
+               order: Sequence[str], work: Callable, state: str, out: StructType) -> DataFrame:
+    return packed(stream, held, series, ts, delay).groupBy(SERIES).transformWithStateInPandas(
+        _Released(held, order, work, state), out, "append", "EventTime")
 
 
 def rolling_scores(buffer: np.ndarray, values: np.ndarray, window: int, min_periods: int):
@@ -96,12 +79,6 @@ def rolling_scores(buffer: np.ndarray, values: np.ndarray, window: int, min_peri
     return n, mean, sd, z
 
 
-def _buffer_schema(stream: DataFrame, columns: Sequence[str]) -> pa.Schema:
-    fields = {f.name: f for f in stream.schema.fields}
-    kept = StructType([fields[c] for c in dict.fromkeys(columns)] + [StructField(AT, LongType())])
-    return to_arrow_schema(kept)
-
-
 #: Rows scored at once: their frames take this many times the window in memory.
 SCORED_ROWS = 4096
 
@@ -119,27 +96,23 @@ def stream_zscore(stream: DataFrame, options: DetectOptions, keys: Sequence[str]
     out_schema = StructType([in_fields[c] for c in [*sk, *carry, ts, value]] + [
         StructField("n_obs", LongType()), StructField("rolling_mean", DoubleType()),
         StructField("rolling_std", DoubleType()), StructField("z", DoubleType())])
-    state_schema = StructType([StructField("buffer", ArrayType(DoubleType())),
-                               StructField("waiting", BinaryType())])
     names = [f.name for f in out_schema.fields]
-    held = _buffer_schema(stream, [*sk, *carry, ts, value])
-
-    def handler(key, frames, state):
-        last, blob = state.get if state.exists else ([], None)
-        rows, blob = _release(blob, frames, held, state, carry)
-        buffer = np.array([np.nan if v is None else v for v in last], dtype=float)
-        for k in range(0, rows.num_rows, SCORED_ROWS):
-            part = rows.slice(k, SCORED_ROWS)
-            values = part.column(value).to_numpy().astype(float)
-            n, mean, sd, z = rolling_scores(buffer, values, w, mp)
-            buffer = np.concatenate([buffer, values])[-(w - 1):]
-            out = part.drop_columns([AT]).to_pandas()
-            out["n_obs"], out["rolling_mean"], out["rolling_std"], out["z"] = n, mean, sd, z
-            yield out[names]
-        state.update(([None if np.isnan(v) else float(v) for v in buffer], blob))
-
-    return _timed(stream, ts, delay).groupBy(*sk).applyInPandasWithState(
-        handler, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    held = buffer_schema(stream, [*sk, *carry, ts, value])
+
+    def score(rows, state):
+        buffer = np.frombuffer(state.get()[0]) if state.exists() else np.empty(0)
+        for table in rows:
+            for k in range(0, table.num_rows, SCORED_ROWS):
+                part = table.slice(k, SCORED_ROWS)
+                values = part.column(value).to_numpy().astype(float)
+                n, mean, sd, z = rolling_scores(buffer, values, w, mp)
+                buffer = np.concatenate([buffer, values])[-(w - 1):]
+                out = part.drop_columns([AT]).to_pandas()
+                out["n_obs"], out["rolling_mean"], out["rolling_std"], out["z"] = n, mean, sd, z
+                yield out[names]
+        state.update((buffer.tobytes(),))
+
+    return _by_series(stream, held, sk, ts, delay, carry, score, "buffer binary", out_schema)
 
 
 NEW, ESCALATION, SUPPRESSED, KEPT = "new", "escalation", "suppressed", "kept"
@@ -187,50 +160,45 @@ def stream_suppression(stream: DataFrame, options: SuppressOptions = SuppressOpt
     in_fields = {f.name: f for f in stream.schema.fields}
     out_schema = StructType([in_fields[c] for c in [*sk, ts, "timestamp", "z_score"]] + [
         StructField("decision", StringType()), StructField("is_escalation", BooleanType())])
-    state_schema = StructType([StructField("state", StringType()),
-                               StructField("last_alert_z", DoubleType()),
-                               StructField("last_alert_at", StringType()),
-                               StructField("last_value", DoubleType()),
-                               StructField("waiting", BinaryType())])
     names = [f.name for f in out_schema.fields]
     flagged = [anomaly_flag] if point else []
-    held = _buffer_schema(stream, [*sk, ts, "timestamp", "z_score", "actual", *flagged, *tiebreak])
-
-    def handler(key, frames, state):
-        st, lz, lat, lv, blob = state.get if state.exists else (STATE_NORMAL, None, None, None, None)
-        rows, blob = _release(blob, frames, held, state, [*flagged, *tiebreak])
-        flags = rows.column(anomaly_flag).to_numpy().astype(bool) if point else np.ones(rows.num_rows, bool)
-        found = rows.filter(pa.array(flags))
-        if found.num_rows:
-            az = np.abs(found.column("z_score").to_numpy().astype(float))
-            decisions = np.full(len(az), KEPT, dtype=object)
-            if options.enabled:
-                # streaks: anomalies between two in-range rows; the first may continue the state
-                streak = np.cumsum(~flags)[flags]
-                start = np.concatenate([[0], np.flatnonzero(np.diff(streak)) + 1, [len(az)]])
-                decisions[:] = NEW
-                goes_on = st == STATE_ACTIVE and streak[0] == 0
-                last = (abs(lz) if lz is not None else 0.0) if goes_on else None
-                alone = np.diff(start) == 1
-                for k in np.flatnonzero(~alone | (np.arange(len(alone)) == 0) & goes_on):
-                    a, b = start[k], start[k + 1]
-                    decisions[a:b], top = decide_streak(az[a:b], last if k == 0 else None, delta)
-                k = len(start) - 2
-                a = start[k]
-                alerts = np.flatnonzero(decisions[a:] != SUPPRESSED)
-                if len(alerts):
-                    lz, lat = float(az[a + alerts[-1]]), found.column("timestamp")[int(a + alerts[-1])].as_py()
+    held = buffer_schema(stream, [*sk, ts, "timestamp", "z_score", "actual", *flagged, *tiebreak])
+
+    def decide(released, state):
+        st, lz, lat, lv = state.get() if state.exists() else (STATE_NORMAL, None, None, None)
+        for rows in released:
+            flags = rows.column(anomaly_flag).to_numpy().astype(bool) if point else np.ones(rows.num_rows, bool)
+            found = rows.filter(pa.array(flags))
+            if found.num_rows:
+                az = np.abs(found.column("z_score").to_numpy().astype(float))
+                decisions = np.full(len(az), KEPT, dtype=object)
+                if options.enabled:
+                    # streaks: anomalies between two in-range rows; the first may continue the state
+                    streak = np.cumsum(~flags)[flags]
+                    start = np.concatenate([[0], np.flatnonzero(np.diff(streak)) + 1, [len(az)]])
+                    decisions[:] = NEW
+                    goes_on = st == STATE_ACTIVE and streak[0] == 0
+                    last = (abs(lz) if lz is not None else 0.0) if goes_on else None
+                    alone = np.diff(start) == 1
+                    for k in np.flatnonzero(~alone | (np.arange(len(alone)) == 0) & goes_on):
+                        a, b = start[k], start[k + 1]
+                        decisions[a:b], top = decide_streak(az[a:b], last if k == 0 else None, delta)
+                    k = len(start) - 2
+                    a = start[k]
+                    alerts = np.flatnonzero(decisions[a:] != SUPPRESSED)
+                    if len(alerts):
+                        lz, lat = float(az[a + alerts[-1]]), found.column("timestamp")[int(a + alerts[-1])].as_py()
+                    else:
+                        lz = last
                 else:
-                    lz = last
-            else:
-                lz, lat = float(az[-1]), found.column("timestamp")[-1].as_py()
-            st, lv = STATE_ACTIVE, float(found.column("actual")[-1].as_py())
-            out = found.to_pandas()
-            out["decision"], out["is_escalation"] = decisions, decisions == ESCALATION
-            yield out[names]
-        if len(flags) and not flags[-1] and st == STATE_ACTIVE:
-            st, lz, lat = STATE_NORMAL, None, None
-        state.update((st, lz, lat, lv, blob))
-
-    return _timed(stream, ts, delay).groupBy(*sk).applyInPandasWithState(
-        handler, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+                    lz, lat = float(az[-1]), found.column("timestamp")[-1].as_py()
+                st, lv = STATE_ACTIVE, float(found.column("actual")[-1].as_py())
+                out = found.to_pandas()
+                out["decision"], out["is_escalation"] = decisions, decisions == ESCALATION
+                yield out[names]
+            if len(flags) and not flags[-1] and st == STATE_ACTIVE:
+                st, lz, lat = STATE_NORMAL, None, None
+        state.update((st, lz, lat, lv))
+
+    return _by_series(stream, held, sk, ts, delay, [*flagged, *tiebreak], decide,
+                      "state string, last_alert_z double, last_alert_at string, last_value double", out_schema)
