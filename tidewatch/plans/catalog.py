@@ -823,7 +823,7 @@ def q_stream_metric_cube(spark, sf_dir):
     cube = stream_metric_cube(stream, "ts", {"n_events": F.count(F.lit(1)),
                                             "total_value": F.sum("value")},
                               bucket="1 hour", dims=["event_type"], watermark=DELAY)
-    path = run_available_now(cube, new_stream_dir(spark, "metric_cube"), "update")
+    path = run_available_now(cube, new_stream_dir(spark, "metric_cube"), "update", settings={})
     return finish(latest_by_key(spark, path, ["event_type", "ts"]))
 
 
