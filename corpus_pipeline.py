@@ -71,7 +71,9 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With n_tokens and ids (little-endian unsigned 32-bit integers), in place of columns of
     those names. The ids are decoded again; a text that they don't give back stops the job."""
     docs = docs.drop("n_tokens", "ids", "decoded")
-    ids = decode(encode(docs, BYTE_BPE_RANKS), BYTE_BPE_RANKS)
+    # written between the two: a task that does both holds two Python workers at a time
+    encoded = cut_lineage(encode(docs, BYTE_BPE_RANKS), "pipeline-ids")
+    ids = decode(encoded, BYTE_BPE_RANKS)
     whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     checked = F.when(whole, F.col("ids")).otherwise(F.raise_error(F.lit("ids don't give the text back")))
     return ids.select(*docs.columns, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), checked.alias("ids"))

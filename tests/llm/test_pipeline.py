@@ -1,9 +1,13 @@
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline as pipeline
 from tests.llm.samples import ODD, table
 from tests.llm.test_search import classes_by_brute_force
 
+from tidewatch.llm import arrow, registry, toxicity
 from tidewatch.llm import decontaminate as leaks
-from tidewatch.llm import registry
+from tidewatch.llm.bpe_codec import encode
 from tidewatch.llm.line_dedup import line_chunks
 from tidewatch.session import cut_lineage
 
@@ -48,3 +52,30 @@ def test_run_against_brute_force(spark, sf_dir):
         for i, t in here:
             assert i not in leaked and final[i].text == t and final[i].n_chars == len(t)
     assert len(final) == got.count()
+
+
+def test_a_task_of_a_stage_holds_one_python_worker(spark, sf_dir, odd):
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, odd, sf_dir)
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1, name
+    assert out.count() == odd.count()
+
+
+def test_a_worker_keeps_what_one_stage_has_looked_up(spark, odd, monkeypatch):
+    monkeypatch.setattr(arrow, "_KEPT", {})
+    first = arrow.kept("one", dict)
+    first["x"] = 1
+    assert arrow.kept("one", dict) is first
+    assert arrow.kept("other", dict) == {} and list(arrow._KEPT) == ["other"]
+
+    docs, model = odd.select("doc_id", "text"), toxicity.Model(np.zeros(toxicity.CLASSES**3), 0.0)
+
+    def left(batches):
+        from tidewatch.llm.arrow import _KEPT
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"keys": [str(list(_KEPT))] * batch.num_rows})
+
+    toxicity.toxicity(docs, model).coalesce(1).collect()
+    encode(docs, registry.BYTE_BPE_RANKS).coalesce(1).collect()
+    seen = {r.keys for r in docs.coalesce(1).mapInArrow(left, "keys string").collect()}
+    assert not any("margins" in k and "encoder" in k for k in seen)

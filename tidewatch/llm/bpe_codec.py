@@ -13,13 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidewatch.llm.arrow import sliced
+from tidewatch.llm.arrow import kept, sliced
 from tidewatch.llm.bpe import load_tiktoken
 from tidewatch.llm.pretoken import splitter
 
 CACHE_ENTRIES = 300_000
 TEXT_BYTES = 4 << 20
-_WORKER: dict = {}
 
 
 class Encoder:
@@ -66,15 +65,13 @@ def encode(docs: DataFrame, ranks: str, entries: int = CACHE_ENTRIES) -> DataFra
     fields = docs.schema
 
     def run(batches):
-        key = (ranks, entries)
-        if key not in _WORKER:
-            _WORKER[key] = Encoder(ranks, entries)
+        encoder = kept(("encoder", ranks, entries), lambda: Encoder(ranks, entries))
         for batch in batches:
             named = [*batch.schema.names, "ids"]
             # the text once more, without nulls: its own column stays as it is
             batch = pa.RecordBatch.from_arrays([*batch.columns, batch.column(k)], names=named)
             for part in sliced([batch], "ids", TEXT_BYTES):
-                ids = _WORKER[key].encode(part.column(part.num_columns - 1).to_pylist())
+                ids = encoder.encode(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], names=named)
 
     return docs.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.BinaryType())]))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.arrow import batch_of, sliced
+from tidewatch.llm.arrow import batch_of, kept, sliced
 from tidewatch.session import cut_lineage
 
 #: Labelled rows that training takes at most, of either label.
@@ -49,7 +49,6 @@ CLASSES = 64
 #: Characters that stand in for letters.
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
-_WORKER: dict = {}
 
 
 def units_of(text: str) -> set[str]:
@@ -361,9 +360,7 @@ def toxicity(docs: DataFrame, model: Model | float, keep: bool = False,
 
     def score(batches):
         model = shared.value
-        if _WORKER.get("model") != token:
-            _WORKER.update(model=token, known={})
-        known = _WORKER["known"]
+        known = kept(("margins", token), dict)
         for batch in batches:
             texts = batch.column(k)
             batch = pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "whole text"])
