@@ -18,7 +18,7 @@ from tidewatch.llm.bpe import load_tiktoken
 from tidewatch.llm.pretoken import splitter
 
 CACHE_ENTRIES = 300_000
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 
 
 class Encoder:

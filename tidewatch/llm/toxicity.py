@@ -44,7 +44,7 @@ FALSE_SHARE = 0.25
 #: Margins below this are all the same: clean.
 FLOOR = -1.0
 CACHE_ENTRIES = 400_000
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 CLASSES = 64
 #: Characters that stand in for letters.
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
